@@ -86,38 +86,35 @@ def _comparable(col: Column) -> Column:
     return replace_first(F.lower(col), "very high", "very")
 
 
-def _hits(text: Column, codes: Sequence[tuple[str, float]]) -> dict[float, Column]:
-    """Per code, whether any of its labels is found in the text."""
-    found: dict[float, Column] = {}
-    for label, code in codes:
-        hit = F.contains(text, F.lit(_shortened(label)))
-        found[code] = found[code] | hit if code in found else hit
-    return found
-
-
 def recode_levels(col: Column, codes: Sequence[tuple[str, float]]) -> Column:
     """The code of the level named in a text.
 
     Two levels (a range) give the mean of their codes, more than two give 100 and none gives 99.
-    Null stays null. Only sums of flags are used, so the expression stays in generated code.
+    Null stays null. The codes found are one bit each, and what a set of codes stands for is looked up,
+    so the text is prepared once per row and all of it stays in generated code.
     """
-    hits = _hits(_comparable(col), codes)
-    count = reduce(add, [hit.cast("int") for hit in hits.values()])
-    total = reduce(add, [F.when(hit, F.lit(code)).otherwise(F.lit(0.0)) for code, hit in hits.items()])
-    return (
-        F.when(col.isNull(), F.lit(None).cast("double"))
-        .when(count == 0, F.lit(NO_LEVEL))
-        .when(count <= 2, total / count)
-        .otherwise(F.lit(SEVERAL_LEVELS))
+    text = _comparable(col)
+    distinct = list(dict.fromkeys(code for _, code in codes))
+    found = reduce(
+        Column.bitwiseOR,
+        [
+            F.contains(text, F.lit(_shortened(label))).cast("int") * F.lit(1 << distinct.index(code))
+            for label, code in codes
+        ],
     )
 
+    def meaning(found_set: int) -> float:
+        held = [code for bit, code in enumerate(distinct) if found_set >> bit & 1]
+        return NO_LEVEL if not held else sum(held) / len(held) if len(held) <= 2 else SEVERAL_LEVELS
+
+    return F.get(F.lit([meaning(found_set) for found_set in range(1 << len(distinct))]), found)
+
 
 def fails_levels(col: Column, codes: Sequence[tuple[str, float]], sentinel: str = LEVEL_SENTINEL) -> Column:
     """True where a text names no level. A null or a sentinel text never fails."""
-    text = _comparable(col)
-    checked = F.when(~F.contains(text, F.lit(sentinel.lower())), text)
-    found = reduce(lambda a, b: a | b, _hits(checked, codes).values())
-    return F.coalesce(~found, F.lit(False))
+    accepted = [_shortened(label) for label, _ in codes] + [sentinel.lower()]
+    pattern = "|".join(r"\Q" + text + r"\E" for text in accepted)
+    return F.coalesce(~_comparable(col).rlike(pattern), F.lit(False))
 
 
 def derive_impact(impact: Column, scope: Column, severity: Column) -> Column:
@@ -151,9 +148,11 @@ SCOPE_FIXES = (("Medium", "Restricted"), ("Serious - Moderate", "Large - Restric
 
 
 def fix_levels(col: Column, fixes: Sequence[tuple[str, str]] = LEVEL_FIXES) -> Column:
+    """Misspellings repaired in order; a text without any of them is looked at only once."""
+    fixed = col
     for pattern, label in fixes:
-        col = replace_first(col, pattern, label)
-    return col
+        fixed = replace_first(fixed, pattern, label)
+    return F.when(col.rlike("|".join(f"(?:{pattern})" for pattern, _ in fixes)), fixed).otherwise(col)
 
 
 # Older names of sub-types, and doubled commas, repaired before lists are classified.

@@ -14,7 +14,7 @@ def _literal(replacement: str) -> str:
 def replace_first(col: Column, pattern: str, replacement: str, ignore_case: bool = False) -> Column:
     """Replace only the first match; Spark's own function replaces all."""
     flags = "(?iu)" if ignore_case else ""
-    return F.regexp_replace(col, rf"{flags}^([\s\S]*?)(?:{pattern})", "$1" + _literal(replacement))
+    return F.regexp_replace(col, rf"{flags}^((?s:.*?))(?:{pattern})", "$1" + _literal(replacement))
 
 
 def replace_all(col: Column, pattern: str, replacement: str, ignore_case: bool = False) -> Column:

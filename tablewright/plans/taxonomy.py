@@ -51,18 +51,26 @@ def recode_report(records: DataFrame, codes: Mapping = levels.LEVEL_CODES) -> Da
 
     Offending cells alone become rows, so a clean table shuffles nothing.
     """
-    cells = F.array(
-        *[
-            F.struct(F.lit(m).alias("measure"), ref(m).alias("input"), levels.recode_levels(ref(m), c).alias("code"))
-            for m, c in codes.items()
-        ]
+    texts = {m: ref(m).alias(f"text_{m}") for m in codes}
+    coded = records.select(
+        *texts.values(), *[levels.recode_levels(ref(m), c).alias(f"code_{m}") for m, c in codes.items()]
     )
-    bad = F.filter(cells, lambda cell: cell["code"] >= levels.NO_LEVEL)
-    return records.select(F.inline(bad)).groupBy("measure", "input", "code").agg(F.count(F.lit(1)).alias("n"))
+    cells = [
+        F.when(
+            F.col(f"code_{m}") >= levels.NO_LEVEL,
+            F.struct(F.lit(m).alias("measure"), F.col(f"text_{m}").alias("input"), F.col(f"code_{m}").alias("code")),
+        )
+        for m in codes
+    ]
+    bad = coded.select(F.inline(F.array_compact(F.array(*cells))))
+    return bad.groupBy("measure", "input", "code").agg(F.count(F.lit(1)).alias("n"))
 
 
 def widen_categories(
-    coded: DataFrame, ids: Sequence[str], vocabulary: Sequence[str] = levels.CATEGORIES
+    coded: DataFrame,
+    ids: Sequence[str],
+    vocabulary: Sequence[str] = levels.CATEGORIES,
+    measures: Sequence[str] = WIDE_MEASURES,
 ) -> DataFrame:
     """One row per id with the flag, levels and comments of every category; absent flags are 0."""
     return pivot_wider(
@@ -70,7 +78,7 @@ def widen_categories(
         ids,
         "threat_num",
         vocabulary,
-        {m: F.max(ref(m)) for m in WIDE_MEASURES},
+        {m: F.max(ref(m)) for m in measures},
         {FLAG: 0.0},
         wide_name,
     )
@@ -80,14 +88,16 @@ def taxonomy_pivot(
     records: DataFrame,
     ids: Sequence[str] | None = None,
     vocabulary: Sequence[str] = levels.CATEGORIES,
+    measures: Sequence[str] = WIDE_MEASURES,
 ) -> DataFrame:
     """Level texts in long form to coded wide form, with the flags of the whole vocabulary.
 
-    Without ``ids`` every column that is neither a measure nor the impact code identifies a row.
+    Without ``ids`` every column that is neither a measure nor the impact code identifies a row. Fewer
+    ``measures`` give a narrower result and carry less through the shuffle.
     """
     if ids is None:
         ids = difference(records.columns, ["threat_num", "impact_code", *levels.LEVEL_MEASURES, "comments"])
-    wide = widen_categories(code_levels(records), ids, vocabulary)
+    wide = widen_categories(code_levels(records), ids, vocabulary, measures)
     return add_missing_columns(wide, [flag_name(n) for n in levels.CATEGORIES], F.lit(0.0))
 
 

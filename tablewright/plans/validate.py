@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tablewright.functions.dates import YEAR_FIRST_FORMATS, first_parsed
-from tablewright.functions.names import matching, number_in, ref, refs
+from tablewright.functions.names import matching, number_in, quoted, ref, refs
 from tablewright.functions.text import pieces, trimmed
 from tablewright.operators.aggregates import counts_long
 from tablewright.plans import completeness
@@ -54,20 +55,26 @@ def read_contract(spark: SparkSession, path: str, at_most: int = 10_000) -> list
     ]
 
 
-def as_text(col: Column) -> Column:
+def as_text(df: DataFrame, column: str) -> Column:
     """A value as the contract writes it: whole numbers without decimals."""
-    return F.regexp_replace(col.cast("string"), r"^(-?\d+)\.0$", "$1")
+    name = quoted(column)
+    if isinstance(df.schema[column].dataType, T.FractionalType):
+        return F.expr(
+            f"CASE WHEN {name} = floor({name}) AND abs({name}) < 1e15"
+            f" THEN string(try_cast({name} AS bigint)) ELSE string({name}) END"
+        )
+    return ref(column).cast("string")
 
 
-def _strict_items(col: Column) -> Column:
-    return pieces(F.coalesce(as_text(col), F.lit("NA")))
+def _strict_items(text: Column) -> Column:
+    return pieces(F.coalesce(text, F.lit("NA")))
 
 
-def _loose_items(col: Column) -> Column:
+def _loose_items(text: Column) -> Column:
     def clean(item: Column) -> Column:
         return F.lower(F.regexp_replace(trimmed(item), r"^([^,]*),", "$1"))
 
-    items = F.transform(pieces(as_text(col)), clean)
+    items = F.transform(pieces(text), clean)
     return F.coalesce(F.filter(items, lambda i: i != ""), F.array(F.lit("NA")))
 
 
@@ -92,7 +99,7 @@ def domain_offenders(df: DataFrame, domains: Mapping[str, Sequence[str]], loose:
     """
     items = _loose_items if loose else _strict_items
     cells = [
-        _named(c, F.array_except(items(ref(c)), F.array(*[F.lit(v) for v in allowed])))
+        _named(c, F.array_except(items(as_text(df, c)), F.array(*[F.lit(v) for v in allowed])))
         for c, allowed in domains.items()
     ]
     return _offenders(df, "domain_loose" if loose else "domain", cells)
@@ -100,15 +107,18 @@ def domain_offenders(df: DataFrame, domains: Mapping[str, Sequence[str]], loose:
 
 def family_offenders(df: DataFrame, family: str = "^X") -> DataFrame:
     """Flags and coded levels outside their values; null is allowed, notes are not looked at."""
-    cells = []
+    tests, cells = [], []
     for c in matching(matching(df.columns, family), "comments|note", negate=True):
+        value, numeric = ref(c), isinstance(df.schema[c].dataType, T.NumericType)
         if "identified" in c:
-            bad = ~as_text(ref(c)).isin(*FLAG_VALUES)
+            allowed = value.isin(*[float(v) for v in FLAG_VALUES if v != "NE"]) if numeric else value.isin(*FLAG_VALUES)
         else:
-            bad = ~F.coalesce(ref(c).try_cast("double").isin(*LEVEL_VALUES), F.lit(False))
-        cell = F.struct(F.lit(c).alias("column_name"), as_text(ref(c)).alias("value"))
-        cells.append(F.when(ref(c).isNotNull() & bad, cell))
-    return _offenders(df, "family_domain", [F.array_compact(F.array(*cells))])
+            allowed = (value if numeric else value.try_cast("double")).isin(*LEVEL_VALUES)
+        bad = value.isNotNull() & ~F.coalesce(allowed, F.lit(False))
+        tests.append(bad)
+        cells.append(F.when(bad, F.struct(F.lit(c).alias("column_name"), as_text(df, c).alias("value"))))
+    # Only rows with an offender get as far as building cells.
+    return _offenders(df.filter(reduce(or_, tests)), "family_domain", [F.array_compact(F.array(*cells))])
 
 
 Counts = dict[tuple[str, str], Column]
@@ -211,7 +221,7 @@ def contradictions(
 def contradicting_rows(df: DataFrame, row_id: str, rules: Mapping[str, Column]) -> DataFrame:
     """(rule, row id) of every row that breaks a rule; all rules in one scan."""
     broken = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in rules.items()]))
-    return df.select(F.explode(broken).alias("rule"), ref(row_id))
+    return df.filter(reduce(or_, rules.values())).select(F.explode(broken).alias("rule"), ref(row_id))
 
 
 def unflagged_rows(df: DataFrame, ids: Sequence[str], numbers: Sequence[str] | None = None) -> DataFrame:
@@ -219,13 +229,13 @@ def unflagged_rows(df: DataFrame, ids: Sequence[str], numbers: Sequence[str] | N
     if numbers is None:
         flags = matching(df.columns, "identified")
         numbers = [f"{number_in(c):g}" for c in flags]
-    found = []
+    tests = {}
     for n in numbers:
         scope, severity, timing = (ref(wide_name(n, m)) for m in ("scope", "severity", "timing"))
-        fails = (ref(flag_name(n)) == 0) & (scope != 0) & (severity != 0) & (timing > 2)
-        found.append(F.when(fails, F.lit(n)))
-    rows = df.select(*refs(ids), F.explode(F.array_compact(F.array(*found))).alias("threat_num"))
-    return rows
+        tests[n] = (ref(flag_name(n)) == 0) & (scope != 0) & (severity != 0) & (timing > 2)
+    found = F.array_compact(F.array(*[F.when(test, F.lit(n)) for n, test in tests.items()]))
+    failing = df.filter(reduce(or_, tests.values()))
+    return failing.select(*refs(ids), F.explode(found).alias("threat_num"))
 
 
 def contract_counts(df: DataFrame, contract: Sequence[ContractRow]) -> Counts:

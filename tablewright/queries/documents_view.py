@@ -1,11 +1,12 @@
-"""A table of documents on entities, derived from orders and customers, in Spark and in SQL."""
+"""A table of documents on entities, derived from orders and customers.
 
-from __future__ import annotations
+The columns are expressions that Spark and DuckDB both read, so the table is the same for a query and
+for its SQL twin; what is tested are the operators applied to it.
+"""
 
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 from tablewright.functions import levels
-from tablewright.functions.text import map_values
 from tablewright.operators.joins import left_join
 from tablewright.plans.taxonomy import flag_name, wide_name
 
@@ -30,62 +31,6 @@ _NAMED = {"EOO": 8, "IAO": 9, "ranges": 12, "cosewic_status": 11}
 _FLAGGED = {"endemic_NA": 6, "endemic_canada": 7, "continuous_USA": 10}
 
 
-def documents_view(t):
-    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
-    date = F.date_format("o_orderdate", "yyyy-MM-dd")
-
-    def unless(rest, value):
-        return F.when(key % rest != 0, value)
-
-    def pick(values):
-        return F.get(F.array(*[F.lit(v) for v in values]), (key % len(values)).cast("int"))
-
-    columns = {
-        "rowID": F.col("o_orderkey"),
-        "speciesID": F.col("o_custkey"),
-        "common_name": F.col("c_name"),
-        "doc_type": map_values(status, KINDS),
-        "sara_status": map_values(F.col("o_orderpriority"), STATUS),
-        "url": unless(5, F.col("c_name")),
-        "web_pub_date": F.when(key % 101 == 0, F.lit("soon")).otherwise(unless(4, date)),
-        "year_published": unless(97, F.year("o_orderdate")),
-        "final": unless(19, (key % 2).cast("double")),
-        "taxonomic_group": F.col("c_mktsegment"),
-        "report_writers": unless(6, F.col("c_name")),
-        **{c: unless(rest, F.col("c_name")) for c, rest in _NAMED.items()},
-        **{c: unless(rest, (key % 3).cast("double")) for c, rest in _FLAGGED.items()},
-        "cosewic_examined_date": unless(13, date),
-        "Critical_habitat": unless(14, pick(["P", "Y", "N", "NE", "maybe"])),
-        "action_subtype": unless(15, pick(SUBTYPES)),
-        "CC_action": unless(16, (key % 2).cast("double")),
-        "CC_action_subtype": unless(17, pick(SUBTYPES)),
-        "action_type": unless(18, pick(ACTIONS)),
-        "CC_action_type": unless(20, pick(ACTIONS)),
-        "CC_not_mentioned": unless(21, (key % 3 % 2).cast("double")),
-        "CC_unknown": unless(22, (key % 5 % 2).cast("double")),
-        "CC_threat": unless(23, (key % 7 % 2).cast("double")),
-        "CC_relative_impact": unless(24, (key % 4).cast("double")),
-        "threat_calculator": unless(25, (key % 2).cast("double")),
-        "TC_version": unless(27, F.lit(1.1)),
-    }
-    for i, n in enumerate(levels.CATEGORIES):
-        columns[flag_name(n)] = (
-            F.when((key + i) % 397 == 0, F.lit(None).cast("double"))
-            .when(key * (i + 1) % 9 == 0, 1.0)
-            .when((key + i) % 1001 == 0, 2.0)
-            .otherwise(0.0)
-        )
-        if n in CODED_NUMBERS:
-            for m, measure in enumerate(("scope", "severity", "timing")):
-                value = ((key * (i + 2) + m) % 15 - 4) / 2.0
-                odd = (key + i + m) % 499 == 0
-                columns[wide_name(n, measure)] = F.when(odd, 99.0).otherwise(
-                    F.when((key + m) % 8 != 0, value.cast("double"))
-                )
-    named = left_join(t.orders, t.customer, {"o_custkey": "c_custkey"}, right_unique=True)
-    return named.select([value.alias(name) for name, value in columns.items()])
-
-
 def _case(column, mapping):
     return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
 
@@ -95,12 +40,15 @@ def _unless(rest, value):
 
 
 def _pick(values):
-    listed = ", ".join(f"'{v}'" for v in values)
-    return f"([{listed}])[1 + o_orderkey % {len(values)}]"
+    return _case(f"CAST(o_orderkey % {len(values)} AS STRING)", dict(enumerate(values)))
+
 
+def _number(expression):
+    return f"CAST({expression} AS DOUBLE)"
 
-def _documents_sql() -> str:
-    date = "strftime(o_orderdate, '%Y-%m-%d')"
+
+def _columns() -> dict[str, str]:
+    date = "CAST(CAST(o_orderdate AS DATE) AS STRING)"
     columns = {
         "rowID": "o_orderkey",
         "speciesID": "o_custkey",
@@ -110,34 +58,49 @@ def _documents_sql() -> str:
         "url": _unless(5, "c_name"),
         "web_pub_date": f"CASE WHEN o_orderkey % 101 = 0 THEN 'soon' ELSE {_unless(4, date)} END",
         "year_published": _unless(97, "CAST(year(o_orderdate) AS INTEGER)"),
-        "final": _unless(19, "(o_orderkey % 2)::DOUBLE"),
+        "final": _unless(19, _number("o_orderkey % 2")),
         "taxonomic_group": "c_mktsegment",
         "report_writers": _unless(6, "c_name"),
         **{c: _unless(rest, "c_name") for c, rest in _NAMED.items()},
-        **{c: _unless(rest, "(o_orderkey % 3)::DOUBLE") for c, rest in _FLAGGED.items()},
+        **{c: _unless(rest, _number("o_orderkey % 3")) for c, rest in _FLAGGED.items()},
         "cosewic_examined_date": _unless(13, date),
         "Critical_habitat": _unless(14, _pick(["P", "Y", "N", "NE", "maybe"])),
         "action_subtype": _unless(15, _pick(SUBTYPES)),
-        "CC_action": _unless(16, "(o_orderkey % 2)::DOUBLE"),
+        "CC_action": _unless(16, _number("o_orderkey % 2")),
         "CC_action_subtype": _unless(17, _pick(SUBTYPES)),
         "action_type": _unless(18, _pick(ACTIONS)),
         "CC_action_type": _unless(20, _pick(ACTIONS)),
-        "CC_not_mentioned": _unless(21, "(o_orderkey % 3 % 2)::DOUBLE"),
-        "CC_unknown": _unless(22, "(o_orderkey % 5 % 2)::DOUBLE"),
-        "CC_threat": _unless(23, "(o_orderkey % 7 % 2)::DOUBLE"),
-        "CC_relative_impact": _unless(24, "(o_orderkey % 4)::DOUBLE"),
-        "threat_calculator": _unless(25, "(o_orderkey % 2)::DOUBLE"),
-        "TC_version": _unless(27, "1.1::DOUBLE"),
+        "CC_not_mentioned": _unless(21, _number("o_orderkey % 3 % 2")),
+        "CC_unknown": _unless(22, _number("o_orderkey % 5 % 2")),
+        "CC_threat": _unless(23, _number("o_orderkey % 7 % 2")),
+        "CC_relative_impact": _unless(24, _number("o_orderkey % 4")),
+        "threat_calculator": _unless(25, _number("o_orderkey % 2")),
+        "TC_version": _unless(27, _number("1.1")),
     }
     for i, n in enumerate(levels.CATEGORIES):
-        columns[flag_name(n)] = f"""CASE WHEN (o_orderkey + {i}) % 397 = 0 THEN NULL
-            WHEN o_orderkey * {i + 1} % 9 = 0 THEN 1.0 WHEN (o_orderkey + {i}) % 1001 = 0 THEN 2.0 ELSE 0.0 END::DOUBLE"""
+        columns[flag_name(n)] = _number(
+            f"CASE WHEN (o_orderkey + {i}) % 397 = 0 THEN NULL WHEN o_orderkey * {i + 1} % 9 = 0 THEN 1"
+            f" WHEN (o_orderkey + {i}) % 1001 = 0 THEN 2 ELSE 0 END"
+        )
         if n in CODED_NUMBERS:
             for m, measure in enumerate(("scope", "severity", "timing")):
-                columns[wide_name(n, measure)] = f"""CASE WHEN (o_orderkey + {i} + {m}) % 499 = 0 THEN 99.0
-                    WHEN (o_orderkey + {m}) % 8 <> 0 THEN ((o_orderkey * {i + 2} + {m}) % 15 - 4) / 2.0 END::DOUBLE"""
-    listed = ", ".join(f'{value} AS "{name}"' for name, value in columns.items())
-    return f"SELECT {listed} FROM orders LEFT JOIN customer ON o_custkey = c_custkey"
+                columns[wide_name(n, measure)] = (
+                    f"CASE WHEN (o_orderkey + {i} + {m}) % 499 = 0 THEN {_number('99')}"
+                    f" WHEN (o_orderkey + {m}) % 8 <> 0 THEN {_number(f'(o_orderkey * {i + 2} + {m}) % 15 - 4')} / 2 END"
+                )
+    return columns
+
+
+_COLUMNS = _columns()
+
+
+def documents_view(t):
+    named = left_join(t.orders, t.customer, {"o_custkey": "c_custkey"}, right_unique=True)
+    return named.selectExpr(*[f"{value} AS `{name}`" for name, value in _COLUMNS.items()])
 
 
-DOCUMENTS = _documents_sql()
+DOCUMENTS = (
+    "SELECT "
+    + ", ".join(f'{value} AS "{name}"' for name, value in _COLUMNS.items())
+    + " FROM orders LEFT JOIN customer ON o_custkey = c_custkey"
+)

@@ -40,35 +40,26 @@ def _sql_text(value) -> str:
     return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
 
 
-def _sql_list(values) -> str:
-    return "[" + ", ".join(_sql_text(v) for v in values) + "]"
+def _pick(values, index: str) -> str:
+    cases = " ".join(f"WHEN {i} THEN {_sql_text(v)}" for i, v in enumerate(values))
+    return f"CASE ({index}) % {len(values)} {cases} END"
+
+
+_NUMBER = _pick(levels.CATEGORIES, "o_orderkey")
+# Expressions that Spark and DuckDB both read.
+_RECORD_COLUMNS = {
+    "rowID": "o_orderkey",
+    "uID": "o_custkey",
+    "threat_num": f"CASE WHEN o_orderkey % 2 = 0 THEN replace({_NUMBER}, '.', ',') ELSE {_NUMBER} END",
+    **{m: _pick(v, f"o_orderkey * {_FACTORS[m]} + o_custkey") for m, v in TEXTS.items()},
+    "comments": "o_orderpriority",
+}
+RECORDS = "SELECT " + ", ".join(f"{value} AS {name}" for name, value in _RECORD_COLUMNS.items()) + " FROM orders"
 
 
 def records(t):
     """A category record per order: entity, number (half of them with a comma), level texts, comments."""
-    key = F.col("o_orderkey")
-
-    def pick(values, index):
-        return F.get(F.array(*[F.lit(v).cast("string") for v in values]), (index % len(values)).cast("int"))
-
-    number = pick(levels.CATEGORIES, key)
-    return t.orders.select(
-        F.col("o_orderkey").alias("rowID"),
-        F.col("o_custkey").alias("uID"),
-        F.when(key % 2 == 0, F.replace(number, F.lit("."), F.lit(","))).otherwise(number).alias("threat_num"),
-        *[pick(v, key * _FACTORS[m] + F.col("o_custkey")).alias(m) for m, v in TEXTS.items()],
-        F.col("o_orderpriority").alias("comments"),
-    )
-
-
-RECORDS = "SELECT o_orderkey AS rowID, o_custkey AS uID, " + (
-    f"CASE WHEN o_orderkey % 2 = 0 THEN replace(n, '.', ',') ELSE n END AS threat_num, "
-    + ", ".join(
-        f"({_sql_list(v)})[1 + (o_orderkey * {_FACTORS[m]} + o_custkey) % {len(v)}] AS {m}" for m, v in TEXTS.items()
-    )
-    + f""", o_orderpriority AS comments
-       FROM (SELECT *, ({_sql_list(levels.CATEGORIES)})[1 + o_orderkey % {len(levels.CATEGORIES)}] AS n FROM orders)"""
-)
+    return t.orders.selectExpr(*[f"{value} AS {name}" for name, value in _RECORD_COLUMNS.items()])
 
 
 def _sql_codes(expr: str, codes) -> str:
@@ -325,7 +316,7 @@ _ROLLED = (
 
 
 def _flags(t):
-    wide = taxonomy.taxonomy_pivot(records(t), ids=["uID"])
+    wide = taxonomy.taxonomy_pivot(records(t), ids=["uID"], measures=[FLAG])
     return taxonomy.rollup_parents(wide).select("uID", *[ref(flag_name(n)) for n in levels.CATEGORIES])
 
 
