@@ -36,7 +36,7 @@ def pivot_wider(
     rows = cells.groupBy(*refs(ids)).agg(F.map_from_entries(F.collect_list(cell)).alias("__cells"))
 
     def value_of(value, i: int, measure: str) -> Column:
-        found = F.col("__cells").getItem(F.lit(value))
+        found = F.col("__cells")[value]
         held = found[f"m{i}"]
         if fill.get(measure) is not None:
             held = F.when(found.isNull(), F.lit(fill[measure])).otherwise(held)
