@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -37,16 +39,29 @@ def n_distinct(df: DataFrame, columns: Sequence[str], name: str = "n_distinct")
 
 
 def string_agg(
-    df: DataFrame, keys: Sequence[str], value: str, sep: str = ", ", name: str | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    sep: str = ", ",
+    name: str | None = None,
+    at_most: int = 1_000_000,
 ) -> DataFrame:
     """The distinct values of each group as one sorted, delimited text.
 
     Values are made distinct before they are gathered, so a group's text grows with its vocabulary
-    and not with its rows.
+    and not with its rows. A group with more than ``at_most`` values is an error, found before any of
+    its values are gathered.
     """
-    pairs = df.select(*refs(keys), ref(value)).distinct()
-    text = F.array_join(F.sort_array(F.collect_list(ref(value))), sep)
-    return pairs.groupBy(*refs(keys)).agg(text.alias(name or value))
+    pairs = df.select(*refs(keys), ref(value).alias("__value")).distinct()
+    sizes = pairs.groupBy(*refs(keys)).agg(F.count("__value").alias("__size"))
+    same = reduce(and_, [ref(k, "l").eqNullSafe(ref(k, "r")) for k in keys])
+    message = F.lit(f"a group has more than {at_most} values to join")
+    bounded = pairs.alias("l").join(sizes.alias("r"), same, "inner").select(
+        *[ref(k, "l") for k in keys],
+        F.when(F.col("r.__size") <= at_most, F.col("l.__value")).otherwise(F.raise_error(message)).alias("__value"),
+    )
+    text = F.array_join(F.sort_array(F.collect_list("__value")), sep)
+    return bounded.groupBy(*refs(keys)).agg(text.alias(name or value))
 
 
 def distinct_values(df: DataFrame, column: str, sep: str | None = None) -> DataFrame:

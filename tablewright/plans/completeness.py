@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.functions import levels
+from tablewright.functions.logic import any_of
 from tablewright.functions.names import matching, ref, refs
 from tablewright.plans.taxonomy import flag_name
 
@@ -54,7 +53,7 @@ class Scope:
         """The missing columns' names, or the label, or an empty text."""
         nulls = [(c, ref(c).isNull()) for c in self.required]
         if self.label is not None:
-            found = F.when(reduce(or_, [n for _, n in nulls]), F.lit(self.label)).otherwise(F.lit(""))
+            found = F.when(any_of(n for _, n in nulls), F.lit(self.label)).otherwise(F.lit(""))
         else:
             found = F.concat_ws(", ", *[F.when(n, F.lit(c)) for c, n in nulls])
         return F.when(self.rows(), found).otherwise(F.lit(""))
@@ -83,4 +82,4 @@ def completeness_report(df: DataFrame, scopes: Sequence[Scope], prefix: str = "m
     """
     listings = [s.missing().alias(prefix + s.name) for s in scopes]
     named = [ref(prefix + s.name) for s in scopes]
-    return df.select(*listings, *refs(df.columns)).filter(reduce(or_, [n != "" for n in named]))
+    return df.select(*listings, *refs(df.columns)).filter(any_of(n != "" for n in named))

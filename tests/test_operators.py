@@ -178,6 +178,13 @@ def test_aggregates(spark):
     assert rows(aggregates.null_counts(df, ["k", "v"], F.col("k") == 1)) == [("v", 1)]
 
 
+def test_string_agg_checks_its_bound(spark):
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (None, "c"), (2, None)], "k int, v string")
+    assert rows(aggregates.string_agg(df, ["k"], "v")) == sorted([(1, "a, b"), (None, "c"), (2, "")], key=repr)
+    with pytest.raises(Exception, match="more than 1 values"):
+        aggregates.string_agg(df, ["k"], "v", at_most=1).collect()
+
+
 def test_pivot_keeps_nulls_and_fills_absent_cells(spark):
     df = spark.createDataFrame(
         [("x", "1", None, "c"), ("x", "1.1", 2.0, None), ("y", "1", 1.0, "d"), ("z", "77", 1.0, "e")],
