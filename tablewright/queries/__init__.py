@@ -1,6 +1,7 @@
 """Every operator as a query on the test tables, with the same query in SQL beside it."""
 
 from tablewright.queries import (  # noqa: F401
+    build_queries,
     change_queries,
     column_queries,
     grouped_queries,

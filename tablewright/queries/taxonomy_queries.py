@@ -86,16 +86,19 @@ def _cleaned(measure: str) -> str:
 _DERIVED = """coalesce(impact0, CASE WHEN scope = 1 OR severity = 1 THEN 1 WHEN scope = 0 OR severity = 0 THEN 0
     WHEN scope = -1 OR severity = -1 THEN -1 WHEN scope = -2 OR severity = -2 THEN -2
     WHEN scope IS NULL AND severity IS NOT NULL THEN -1 WHEN scope IS NOT NULL AND severity IS NULL THEN -1 END)"""
-CODED = (
-    "SELECT rowID, uID, threat_num, comments, scope, severity, timing, impact, "
-    f"CASE WHEN impact = 0 OR impact IS NULL THEN 0 ELSE 1 END::DOUBLE AS {FLAG} FROM ("
-    f"SELECT *, CAST({_DERIVED} AS DOUBLE) AS impact FROM ("
-    "SELECT rowID, uID, replace(threat_num, ',', '.') AS threat_num, comments, "
-    + ", ".join(
+
+
+def coded_sql(source: str) -> str:
+    codes = ", ".join(
         f"{sql_recode(_cleaned(m), c)} AS {m if m != 'impact' else 'impact0'}" for m, c in levels.LEVEL_CODES.items()
     )
-    + f" FROM ({RECORDS})))"
-)
+    return f"""SELECT rowID, uID, threat_num, comments, scope, severity, timing, impact,
+          CASE WHEN impact = 0 OR impact IS NULL THEN 0 ELSE 1 END::DOUBLE AS {FLAG}
+        FROM (SELECT *, CAST({_DERIVED} AS DOUBLE) AS impact FROM (
+          SELECT rowID, uID, replace(threat_num, ',', '.') AS threat_num, comments, {codes} FROM ({source})))"""
+
+
+CODED = coded_sql(RECORDS)
 
 
 @query(
@@ -141,7 +144,7 @@ def _(t):
     return taxonomy.code_levels(records(t)).select("rowID", "impact", FLAG)
 
 
-def _sql_wide(numbers, measures) -> str:
+def wide_sql(numbers, measures) -> str:
     cells = []
     for measure in measures:
         for n in numbers:
@@ -152,7 +155,7 @@ def _sql_wide(numbers, measures) -> str:
 
 @query(
     "dom4_taxonomy_pivot",
-    f"SELECT uID, {_sql_wide(levels.CATEGORIES, taxonomy.WIDE_MEASURES)} FROM ({CODED}) GROUP BY uID",
+    f"SELECT uID, {wide_sql(levels.CATEGORIES, taxonomy.WIDE_MEASURES)} FROM ({CODED}) GROUP BY uID",
 )
 def _(t):
     return taxonomy.taxonomy_pivot(records(t), ids=["uID"])
@@ -185,15 +188,15 @@ def _sql_fixed(expr: str, fixes) -> str:
     return expr
 
 
-@query(
-    "dom6_fix_levels",
-    "SELECT rowID, "
-    + ", ".join(
+def fixed_sql(source: str) -> str:
+    fixed = ", ".join(
         _sql_fixed(m, levels.LEVEL_FIXES + (levels.SCOPE_FIXES if m == "scope" else ())) + f" AS {m}"
         for m in levels.LEVEL_MEASURES
     )
-    + f" FROM ({RECORDS})",
-)
+    return f"SELECT rowID, uID, threat_num, comments, {fixed} FROM ({source})"
+
+
+@query("dom6_fix_levels", f"SELECT * EXCLUDE (uID, threat_num, comments) FROM ({fixed_sql(RECORDS)})")
 def _(t):
     return taxonomy.fix_level_columns(records(t)).select("rowID", *levels.LEVEL_MEASURES)
 
@@ -295,10 +298,10 @@ def _(t):
     return taxonomy.impute_versions(df).select("doc_id", "TC_version")
 
 
-_FLAGS = f"SELECT uID, {_sql_wide(levels.CATEGORIES, [FLAG])} FROM ({CODED}) GROUP BY uID"
+_FLAGS = f"SELECT uID, {wide_sql(levels.CATEGORIES, [FLAG])} FROM ({CODED}) GROUP BY uID"
 
 
-def _sql_rolled(parent: str) -> str:
+def rolled_sql(parent: str) -> str:
     children = " + ".join(
         f'coalesce("{flag_name(c)}", 0)' for c in levels.CATEGORIES if c.startswith(f"{parent}.")
     )
@@ -308,7 +311,7 @@ def _sql_rolled(parent: str) -> str:
 _ROLLED = (
     "SELECT uID, "
     + ", ".join(
-        (f'{_sql_rolled(n)} AS "{flag_name(n)}"' if n in levels.PARENTS else f'"{flag_name(n)}"')
+        (f'{rolled_sql(n)} AS "{flag_name(n)}"' if n in levels.PARENTS else f'"{flag_name(n)}"')
         for n in levels.CATEGORIES
     )
     + f" FROM ({_FLAGS})"
