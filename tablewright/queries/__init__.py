@@ -6,6 +6,7 @@ from tablewright.queries import (  # noqa: F401
     column_queries,
     grouped_queries,
     join_queries,
+    maintain_queries,
     profile_queries,
     reconcile_queries,
     reshape_queries,

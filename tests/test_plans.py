@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tablewright.plans import completeness, profile, reconcile, taxonomy, validate
+from tablewright.plans import completeness, maintain, profile, reconcile, taxonomy, validate
 from tablewright.plans.completeness import Scope
 from tablewright.plans.validate import ContractRow
 
@@ -241,3 +241,27 @@ def test_dictionary_facts(spark):
     assert rows(facts) == [("c1", "1", "one"), ("c3", "NA", "NA"), ("c3", "NR", "not reported")]
     assert rows(profile.value_dictionary(facts)) == [("c1", "1", "one")]
     assert profile.missing_facts(facts).count() == 2
+
+
+def test_maintenance_rounds(spark):
+    table = spark.createDataFrame(
+        [(1, None, "Threatened", "1999-01-01", None), (2, "b-é", "x", None, "u"), (3, "c", "x", "NE", None)],
+        "rowID int, common_name string, sara_status string, listing_date string, url string",
+    )
+    first = spark.createDataFrame(
+        [(1, "a/b", "yes", "common_name"), (3, "zzz", "", "")], "rowID int, common_name string, change_made string, miss_all string"
+    )
+    patched = maintain.patch_round(table, first, ["rowID"], "u=")
+    assert rows(patched.select("rowID", "common_name", "url")) == sorted(
+        [(1, "a/b", "u=a%20%2F%20b"), (2, "b-é", "u"), (3, "c", None)], key=repr
+    )
+    second = spark.createDataFrame(
+        [(1, "yes", " special concern", "(1-02-2020)"), (2, "remove", None, None)],
+        "rowID int, change_made string, sara_status string, listing_date string",
+    )
+    changed = maintain.change_round(patched, second, ["rowID"])
+    assert rows(changed.select("rowID", "sara_status", "listing_date")) == sorted(
+        [(1, "Special Concern", "2020-02-01"), (3, "X", None)], key=repr
+    )
+    words = spark.createDataFrame([("Nr",), ("NR",), (None,)], "v string")
+    assert rows(maintain.relabel_unreported(words, ["v"])) == sorted([("NR",), ("NR",), (None,)], key=repr)
