@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewright.llm.shared import same, text_or_empty, written
+from tablewright.llm.shared import packed, same, text_or_empty, written
 
 
 def content_hash(text: Column) -> Column:
@@ -67,17 +67,13 @@ def exact_groups(
 def exact_distinct(df: DataFrame, id_column: str = "doc_id", text: str = "text", keep: str = "smallest") -> DataFrame:
     """The rows of ``df`` that stay, with all their columns."""
     groups = written(exact_groups(df, id_column, text, keep), "exact-rows")
-    key = [F.col(id_column), F.sha2(text_or_empty(text), 256)]
-    marked = df.withColumn("__id", key[0]).withColumn("__sha", key[1])
-    here = [F.col("__id"), F.col("__sha")]
-    gone = groups.filter("not kept").select(F.col(id_column).alias("__gone"), F.col("text_sha256").alias("__gone_sha"))
-    gone = gone.distinct()
-    stays = marked.join(gone, same(here, [F.col("__gone"), F.col("__gone_sha")]), "left_anti")
-    twice = (
-        groups.filter("kept").groupBy(F.col(id_column).alias("__two"), F.col("text_sha256").alias("__two_sha")).count()
-    )
-    twice = written(twice.filter("count > 1").drop("count"), "exact-twice")
-    match = same(here, [F.col("__two"), F.col("__two_sha")])
-    once = stays.join(twice, match, "left_anti")
-    one_of = stays.join(twice, match, "left_semi").dropDuplicates(["__id", "__sha"])
-    return once.unionByName(one_of).select([F.col(f"`{c}`") for c in df.columns])
+    rows = packed(df, id=F.col(id_column), sha=F.sha2(text_or_empty(text), 256))
+    here, there = [F.col("id"), F.col("sha")], [F.col("other_id"), F.col("other_sha")]
+    groups = groups.select(F.col(id_column).alias("other_id"), F.col("text_sha256").alias("other_sha"), "kept")
+    gone = groups.filter("not kept").drop("kept").distinct()
+    stays = rows.join(gone, same(here, there), "left_anti")
+    twice = groups.filter("kept").groupBy("other_id", "other_sha").count().filter("count > 1").drop("count")
+    twice = written(twice, "exact-twice")
+    once = stays.join(twice, same(here, there), "left_anti")
+    one_of = stays.join(twice, same(here, there), "left_semi").dropDuplicates(["id", "sha"])
+    return once.unionByName(one_of).select("row.*")

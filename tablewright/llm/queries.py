@@ -94,3 +94,74 @@ def op10_bpe_codec(t: Tables) -> DataFrame:
     from tablewright.llm.bpe_codec import round_trip
 
     return round_trip(t.documents, vocabulary_path())
+
+
+@query("op2_sharding")
+def op2_sharding(t: Tables) -> DataFrame:
+    from tablewright.llm.sharding import sharded
+
+    return sharded(t.documents, shards=40)
+
+
+@query("op3_personal_data")
+def op3_personal_data(t: Tables) -> DataFrame:
+    from tablewright.llm.personal_data import personal_spans
+
+    return personal_spans(t.documents)
+
+
+@query("op5_language_id")
+def op5_language_id(t: Tables) -> DataFrame:
+    from tablewright.llm.language_id import document_rows, language_posteriors
+
+    return language_posteriors(document_rows(t.documents)).withColumnRenamed("id", "doc_id")
+
+
+@query("page_language")
+def page_language(t: Tables) -> DataFrame:
+    from tablewright.llm.language_id import language_posteriors, page_rows
+
+    return language_posteriors(page_rows(t.pages)).withColumnRenamed("id", "page_id")
+
+
+@query("op7_ngram_join")
+def op7_ngram_join(t: Tables) -> DataFrame:
+    from tablewright.llm.ngram_join import near_groups
+
+    return near_groups(t.documents).drop("text_key")
+
+
+@query("op9_mixing")
+def op9_mixing(t: Tables) -> DataFrame:
+    from tablewright.llm.mixing import mixed, n_words
+
+    rows = t.documents.select("doc_id", "source", "text")
+    return mixed(rows).withColumn("n_tokens", n_words("text")).drop("text")
+
+
+@query(
+    "op6_metric_join",
+    """
+    with recursive sound as (
+        select vec_id, label, embedding::double[] as v from embeddings
+        where label is not null and embedding is not null and len(embedding) > 0
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+            and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links as (
+        select a.vec_id as a, b.vec_id as b from sound a join sound b
+        on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+            and list_cosine_similarity(a.v, b.v) >= 0.93),
+    reach(vec_id, other) as (
+        select vec_id, vec_id from embeddings
+        union
+        select r.vec_id, l.b from reach r join links l on l.a = r.other),
+    least as (select vec_id, min(other) as component_id from reach group by vec_id),
+    counts as (select a, count(*) as n from links group by a)
+    select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+    from least left join counts on a = vec_id
+    """,
+)
+def op6_metric_join(t: Tables) -> DataFrame:
+    from tablewright.llm.metric_join import vector_groups
+
+    return vector_groups(t.embeddings, cosine=0.93)

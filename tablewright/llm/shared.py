@@ -25,3 +25,8 @@ def same(left: list[Column], right: list[Column]) -> Column:
     for a, b in zip(left, right, strict=True):
         out = out & a.eqNullSafe(b)
     return out
+
+
+def packed(df: DataFrame, **columns: Column) -> DataFrame:
+    """All columns of ``df`` in one, ``row``, beside others, so that their names cannot clash. ``row.*`` unpacks."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(k) for k, c in columns.items()])

@@ -108,7 +108,7 @@ def url_verdicts(
     kinds = "number int, address boolean, verdict string, name string, expression string, any_case boolean, words array<string>"
     listed = spark.createDataFrame(table, kinds)
 
-    urls = df.select(F.col(url).alias("u")).filter(F.instr("u", "://") > 0).distinct()
+    urls = df.select(F.col(f"`{url}`").alias("u")).filter(F.instr("u", "://") > 0).distinct()
     subject = F.concat(host_of(F.col("u")), F.regexp_extract(_after_scheme(F.col("u")), "(?s)^[^/?#]*(.*)", 1))
     urls = urls.select("u", subject.alias("subject"), F.translate(subject, UPPER, LOWER).alias("lowered"))
     words = F.array_distinct(F.split("lowered", "[^a-z0-9]+"))
@@ -132,14 +132,12 @@ def url_verdicts(
         F.max_by(F.when(F.col("address"), F.col("verdict")), F.when(F.col("address"), longest)).alias("ruled"),
         F.min(F.when(~F.col("address"), F.col("verdict"))).alias("matched"),  # allow sorts before block
     )
-    kept = [c for c in df.columns if c not in ("host", "path", "rule", "verdict")]
-    joined = df.select([F.col(f"`{c}`") for c in kept]).join(
-        judged.withColumnRenamed("rule", "__rule"), F.col(f"`{url}`") == F.col("u"), "left"
-    )
-    return joined.select(
-        *[F.col(f"`{c}`") for c in kept],
-        host_of(F.col(f"`{url}`")).alias("host"),
-        path_of(F.col(f"`{url}`")).alias("path"),
-        F.col("__rule").alias("rule"),
+    kept = [f"`{c}`" for c in df.columns if c not in ("host", "path", "rule", "verdict")]
+    rows = df.select(F.struct(*kept).alias("row"), F.col(f"`{url}`").alias("url")).join(judged, F.col("url") == F.col("u"), "left")
+    return rows.select(
+        "row.*",
+        host_of(F.col("url")).alias("host"),
+        path_of(F.col("url")).alias("path"),
+        "rule",
         F.coalesce("ruled", "matched", F.lit("allow")).alias("verdict"),
     )
