@@ -41,10 +41,11 @@ def exact_groups(
     grouped = F.count(F.lit(1)).alias("n"), best("id").alias("keep")
     groups = written(slim.groupBy("digest").agg(*grouped).filter("n > 1"), "exact-groups")
     # Only texts whose hash occurs again are written and compared.
-    again = written(rows.join(groups, "digest"), "exact-texts")
+    # Sorted and merged at every size, so that small tables show what large ones will do.
+    again = written(rows.join(groups.hint("merge"), "digest"), "exact-texts")
     first = again.filter(F.col("id").eqNullSafe(F.col("keep"))).groupBy("digest")
     # Any text of the kept id will do: if the id has two texts in the group, one of them differs from it.
-    against = first.agg(F.min("body").alias("other"))
+    against = written(first.agg(F.min("body").alias("other")), "exact-first")
     collided = written(
         again.join(against, "digest").filter("body <> other").select("digest").distinct(), "exact-collided"
     )
