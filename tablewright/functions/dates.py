@@ -40,10 +40,30 @@ def parse_mixed_date(col: Column, only_length: int | None = None) -> Column:
     )
 
 
+def _spelt_out(text: Column, year_first: bool) -> Column:
+    """Digits run together cut into parts, and a two-digit year given its century (69 to 99 are in the 1900s)."""
+    year, two = (r"(\d{4})", r"(\d{2})")
+    # Run together, a year after the day and month must be a plausible one, or the run starts with the year.
+    runs = [f"^{two}{two}{two}$", f"^{year}{two}{two}$" if year_first else f"^{two}{two}((?:19|20)\\d{{2}})$"]
+    for run in runs:
+        text = F.regexp_replace(text, run, "$1-$2-$3")
+    parts = F.split(text, "-")
+    at = F.lit(0) if year_first else F.lit(2)
+    short = F.get(parts, at)
+    century = F.when(short.cast("int") >= 69, "19").otherwise("20")
+    full = F.transform(parts, lambda p, i: F.when((i == at) & short.rlike(r"^\d{2}$"), F.concat(century, p)).otherwise(p))
+    return F.when(F.size(parts) == 3, F.array_join(full, "-")).otherwise(text)
+
+
 def fix_date(col: Column) -> Column:
-    """A date from day-month-year text, or else year-month-day; spaces and brackets are ignored."""
+    """A date from day-month-year text, or else year-month-day; spaces and brackets are ignored.
+
+    Parts may be run together (20170213) and years may have two digits.
+    """
     text = _dashed(trimmed(F.regexp_replace(trimmed(col.cast("string")), r"\(|\)", "")))
-    return first_parsed(text, DAY_FIRST_FORMATS + YEAR_FIRST_FORMATS)
+    return F.coalesce(
+        first_parsed(_spelt_out(text, False), DAY_FIRST_FORMATS), first_parsed(_spelt_out(text, True), YEAR_FIRST_FORMATS)
+    )
 
 
 def date_text(col: Column) -> Column:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,11 +15,28 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], count: str = "n") -> Data
     return count_by(df, keys, count).filter(ref(count) > 1)
 
 
-def require_unique(df: DataFrame, keys: Sequence[str], what: str = "table") -> None:
-    """Raise if a key is held by more than one row."""
-    examples = duplicate_keys(df, keys, "__n").limit(3).collect()
-    if examples:
-        raise ValueError(f"keys {list(keys)} of the {what} are not unique, e.g. {[r.asDict() for r in examples]}")
+def unique_or_error(df: DataFrame, keys: Sequence[str], what: str = "table") -> DataFrame:
+    """One row per key with the other columns; a key held by more than one row fails the query.
+
+    The check is part of the plan: rows are reduced by key, and the key is named when its count is read.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        rest_struct = F.struct(F.lit(None).alias("__none"))
+    else:
+        rest_struct = F.struct(*refs(rest))
+    one = df.groupBy(*refs(keys)).agg(F.count(F.lit(1)).alias("__rows"), F.max(rest_struct).alias("__row"))
+    once = F.when(F.col("__rows") == 1, F.col("__row")).otherwise(
+        F.raise_error(key_message(f"keys {list(keys)} of the {what} are not unique, e.g. ", refs(keys)))
+    )
+    checked = one.filter(once.isNotNull())
+    return checked.select([ref(c) if c in keys else ref(c, "__row").alias(c) for c in df.columns])
+
+
+def key_message(text: str, keys: Sequence[Column]) -> Column:
+    """A message with the values of a key."""
+    values = [F.coalesce(k.cast("string"), F.lit("null")) for k in keys]
+    return F.concat(F.lit(text), F.concat_ws(", ", *values))
 
 
 def count_by(df: DataFrame, keys: Sequence[str], count: str = "n") -> DataFrame:
@@ -44,24 +59,28 @@ def string_agg(
     value: str,
     sep: str = ", ",
     name: str | None = None,
-    at_most: int = 1_000_000,
+    order_by: Sequence[str] = (),
+    distinct: bool = False,
+    null_text: str | None = "NA",
 ) -> DataFrame:
-    """The distinct values of each group as one sorted, delimited text.
+    """The values of each group as one delimited text, repeats kept, in a declared order.
 
-    Values are made distinct before they are gathered, so a group's text grows with its vocabulary
-    and not with its rows. A group with more than ``at_most`` values is an error, found before any of
-    its values are gathered.
+    Without ``order_by`` the values order themselves. ``distinct`` keeps one of equal values (which then
+    are their own order) and reduces the rows before they are gathered. A null is written as
+    ``null_text``, or skipped if that is None. The text of a group is one cell, as long as its values.
     """
-    pairs = df.select(*refs(keys), ref(value).alias("__value")).distinct()
-    sizes = pairs.groupBy(*refs(keys)).agg(F.count("__value").alias("__size"))
-    same = reduce(and_, [ref(k, "l").eqNullSafe(ref(k, "r")) for k in keys])
-    message = F.lit(f"a group has more than {at_most} values to join")
-    bounded = pairs.alias("l").join(sizes.alias("r"), same, "inner").select(
-        *[ref(k, "l") for k in keys],
-        F.when(F.col("r.__size") <= at_most, F.col("l.__value")).otherwise(F.raise_error(message)).alias("__value"),
+    text = ref(value).cast("string")
+    rows = df.select(
+        *refs(keys),
+        (text if null_text is None else F.coalesce(text, F.lit(null_text))).alias("__value"),
+        *[ref(c).alias(f"__order{i}") for i, c in enumerate(() if distinct else order_by)],
     )
-    text = F.array_join(F.sort_array(F.collect_list("__value")), sep)
-    return bounded.groupBy(*refs(keys)).agg(text.alias(name or value))
+    order = "__value" if distinct or not order_by else ", ".join(f"__order{i}" for i in range(len(order_by)))
+    if distinct:
+        rows = rows.distinct()
+    quoted_sep = sep.replace("\\", "\\\\").replace("'", "\\'")
+    listed = F.expr(f"listagg(__value, '{quoted_sep}') WITHIN GROUP (ORDER BY {order})")
+    return rows.groupBy(*refs(keys)).agg(F.coalesce(listed, F.lit("")).alias(name or value))
 
 
 def distinct_values(df: DataFrame, column: str, sep: str | None = None) -> DataFrame:

@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.functions import names
 from tablewright.functions.names import ref, refs
-from tablewright.operators.aggregates import require_unique
+from tablewright.operators.aggregates import key_message, unique_or_error
 from tablewright.operators.columns import derive
-from tablewright.operators.joins import anti_join, key_rows, semi_join
+from tablewright.operators.joins import anti_join, key_rows
 
-_HIT = "__hit"
+_HIT, _ROW = "__hit", "__row_mark"
 
 
 def _require_subset(batch: DataFrame, table: DataFrame) -> None:
@@ -21,32 +23,28 @@ def _require_subset(batch: DataFrame, table: DataFrame) -> None:
         raise ValueError(f"the batch has columns that the table lacks: {unknown}")
 
 
-def _require_matched(table: DataFrame, batch: DataFrame, by: Sequence[str]) -> None:
-    """Raise if a batch key is not in the table; only key columns are read, and only hits are shuffled."""
-    wanted = key_rows(batch, by)
-    found = key_rows(semi_join(table.select(refs(by)), wanted, by), by)
-    missing = anti_join(wanted, found, by).limit(3).collect()
-    if missing:
-        raise ValueError(f"batch keys not in the table, e.g. {[r.asDict() for r in missing]}")
-
+def _matched(
+    table: DataFrame, batch: DataFrame, by: Sequence[str], unmatched: str, check: bool = True
+) -> DataFrame:
+    """The table (``l``) joined with a batch (``r``, with a hit mark) whose keys are unique.
 
-def _with_batch(table: DataFrame, batch: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Left join to a batch whose keys are unique."""
-    condition = [ref(k, "l").eqNullSafe(ref(k, "r")) for k in by]
-    joined = table.alias("l")
+    The checks are part of the join: a key that the batch repeats, and (unless ``unmatched`` is "ignore")
+    one that the table lacks, fail the query when its row is read. One scan and one shuffle of each side.
+    """
+    _require_subset(batch, table)
+    if check:
+        batch = unique_or_error(batch, by, "batch")
     right = batch.withColumn(_HIT, F.lit(True)).alias("r")
-    test = condition[0]
-    for part in condition[1:]:
-        test = test & part
-    return joined.join(right, test, "left")
+    test = reduce(and_, [ref(k, "l").eqNullSafe(ref(k, "r")) for k in by])
+    if not check or unmatched == "ignore":
+        return table.alias("l").join(right, test, "left")
+    return _all_known(table.withColumn(_ROW, F.lit(True)).alias("l").join(right, test, "full"), by)
 
 
-def _checks(table, batch, by, unmatched, check):
-    _require_subset(batch, table)
-    if check:
-        require_unique(batch, by, "batch")
-        if unmatched == "error":
-            _require_matched(table, batch, by)
+def _all_known(joined: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Fail where a joined row has no table row."""
+    message = key_message(f"batch keys {list(by)} not in the table, e.g. ", [ref(k, "r") for k in by])
+    return joined.filter(F.when(F.col(f"l.{_ROW}").isNull(), F.raise_error(message).cast("boolean")).otherwise(True))
 
 
 def _typed(table: DataFrame, name: str) -> Column:
@@ -59,12 +57,12 @@ def rows_update(
 ) -> DataFrame:
     """Overwrite matching rows with the batch's values, nulls included.
 
-    Batch keys must be unique and, unless ``unmatched`` is "ignore", all in the table.
+    Batch keys must be unique and, unless ``unmatched`` is "ignore", all in the table. No job runs while the
+    plan is built; ``check=False`` declares that both hold.
     """
-    _checks(table, batch, by, unmatched, check)
     changed = set(names.difference(batch.columns, by))
     hit = F.col(f"r.{_HIT}").isNotNull()
-    return _with_batch(table, batch, by).select(
+    return _matched(table, batch, by, unmatched, check).select(
         [
             F.when(hit, _typed(table, c)).otherwise(ref(c, "l")).alias(c) if c in changed else ref(c, "l")
             for c in table.columns
@@ -76,9 +74,8 @@ def rows_patch(
     table: DataFrame, batch: DataFrame, by: Sequence[str], unmatched: str = "error", check: bool = True
 ) -> DataFrame:
     """As :func:`rows_update`, but only where the table holds null."""
-    _checks(table, batch, by, unmatched, check)
     changed = set(names.difference(batch.columns, by))
-    return _with_batch(table, batch, by).select(
+    return _matched(table, batch, by, unmatched, check).select(
         [
             F.coalesce(ref(c, "l"), _typed(table, c)).alias(c) if c in changed else ref(c, "l")
             for c in table.columns
@@ -89,24 +86,33 @@ def rows_patch(
 def rows_insert(
     table: DataFrame, batch: DataFrame, by: Sequence[str], conflict: str = "error"
 ) -> DataFrame:
-    """Append rows whose key is new; a key already there is an error, or ignored on request."""
+    """Append rows whose key is new; a key already there is an error, or ignored on request.
+
+    A key that the batch itself repeats is an error too (ignored on request: all its rows are appended).
+    """
     _require_subset(batch, table)
     if conflict == "ignore":
         batch = anti_join(batch, table.select(refs(by)), by)
     else:
-        clash = semi_join(table.select(refs(by)), batch, by).limit(3).collect()
-        if clash:
-            raise ValueError(f"keys already in the table, e.g. {[r.asDict() for r in clash]}")
+        there = key_rows(table, by).withColumn(_ROW, F.lit(True)).alias("r")
+        test = reduce(and_, [ref(k, "l").eqNullSafe(ref(k, "r")) for k in by])
+        message = key_message(f"keys {list(by)} already in the table, e.g. ", [ref(k, "l") for k in by])
+        new = F.when(F.col(f"r.{_ROW}").isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)
+        joined = unique_or_error(batch, by, "batch").alias("l").join(there, test, "left")
+        batch = joined.filter(new).select([ref(c, "l") for c in batch.columns])
     return table.unionByName(batch, allowMissingColumns=True)
 
 
 def rows_delete(
     table: DataFrame, batch: DataFrame, by: Sequence[str], unmatched: str = "error", check: bool = True
 ) -> DataFrame:
-    """Remove rows by key; other batch columns are ignored."""
-    if check and unmatched == "error":
-        _require_matched(table, batch, by)
-    return anti_join(table, batch, by)
+    """Remove rows by key; other batch columns are ignored, and keys may repeat."""
+    if not check or unmatched == "ignore":
+        return anti_join(table, batch, by)
+    gone = key_rows(batch, by).withColumn(_HIT, F.lit(True)).alias("r")
+    test = reduce(and_, [ref(k, "l").eqNullSafe(ref(k, "r")) for k in by])
+    joined = _all_known(table.withColumn(_ROW, F.lit(True)).alias("l").join(gone, test, "full"), by)
+    return joined.filter(F.col(f"r.{_HIT}").isNull()).select([ref(c, "l") for c in table.columns])
 
 
 def sentinel_columns(
@@ -168,13 +174,15 @@ def route_changes(
     values = names.difference(batch.columns, [*dropped, *by])
     routed = fill_sentinel(routed, to_fill, F.col("__route") == 2, sentinel)
     routed = routed.select(*refs(by), "__route", *refs(values))
-    _require_subset(routed.drop("__route"), table)
-    require_unique(routed, [*by, "__route"], "batch")
-    if unmatched == "error":
-        _require_matched(table, routed, by)
-
-    winner = routed.groupBy(*refs(by)).agg(F.max(F.struct("__route", *refs(values))).alias("__row"))
-    winner = winner.select(*refs(by), F.col("__row.__route"), *[ref(c, "__row") for c in values])
+    # One row per key: the last verb's. Two rows of one key and verb are an error.
+    counts = [F.count_if(F.col("__route") == n) for n in (1, 2, 3)]
+    winner = routed.groupBy(*refs(by)).agg(
+        F.max(F.struct("__route", *refs(values))).alias("__row"), F.greatest(*counts).alias("__most")
+    )
+    message = key_message(f"keys {list(by)} of the batch are not unique, e.g. ", refs(by))
+    once = F.when(F.col("__most") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+    winner = winner.filter(once).select(*refs(by), F.col("__row.__route"), *[ref(c, "__row") for c in values])
+    _require_subset(winner.drop("__route"), table)
     hit = F.col("r.__route").isNotNull()
 
     def next_value(name: str) -> Column:
@@ -186,5 +194,10 @@ def route_changes(
             old, new = ref(name, "l"), _typed(table, name)
         return F.when(hit, new).otherwise(old).alias(name)
 
-    joined = _with_batch(table, winner, by).filter(~hit | (F.col("r.__route") < 3))
+    test = reduce(and_, [ref(k, "l").eqNullSafe(ref(k, "r")) for k in by])
+    if unmatched == "error":
+        joined = _all_known(table.withColumn(_ROW, F.lit(True)).alias("l").join(winner.alias("r"), test, "full"), by)
+    else:
+        joined = table.alias("l").join(winner.alias("r"), test, "left")
+    joined = joined.filter(~hit | (F.col("r.__route") < 3))
     return joined.select([next_value(c) for c in table.columns])

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.functions import names
+from tablewright.functions.logic import any_of
 from tablewright.functions.names import ref, refs
 
 
@@ -74,12 +73,13 @@ def apply_across(
 
 def keep_if_any(df: DataFrame, pattern: str, test: Callable[[Column], Column] = Column.isNotNull) -> DataFrame:
     """Rows in which at least one column of the family passes the test."""
-    return df.filter(reduce(or_, [test(ref(c)) for c in names.matching(df.columns, pattern)]))
+    return df.filter(any_of(test(ref(c)) for c in names.matching(df.columns, pattern)))
 
 
 def keep_if_all(df: DataFrame, pattern: str, test: Callable[[Column], Column] = Column.isNotNull) -> DataFrame:
     """Rows in which every column of the family passes the test."""
-    return df.filter(reduce(and_, [test(ref(c)) for c in names.matching(df.columns, pattern)]))
+    fails = (F.coalesce(~test(ref(c)), F.lit(True)) for c in names.matching(df.columns, pattern))
+    return df.filter(~any_of(fails))
 
 
 def domain_rank(col: Column, levels: Sequence[str], reverse: bool = False) -> Column:

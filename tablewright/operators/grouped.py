@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablewright.functions.names import ref, refs
 from tablewright.operators.joins import anti_join, drop_matching, semi_join
-from tablewright.session import materialise
+from tablewright.session import written
 
 
 def latest_in_group(df: DataFrame, keys: Sequence[str], year: str, strict: bool = True) -> DataFrame:
@@ -60,26 +60,37 @@ def sequence_ids(
     id_column: str,
     start: int = 1,
     within: Sequence[str] = (),
-    partitions: int | None = None,
+    rows_per_range: int = 1_000_000,
+    check: bool = True,
 ) -> DataFrame:
     """Consecutive ids in a declared order, from ``start``, in all or separately per ``within`` group.
 
-    Rows are sorted by range over the cluster and written once; each row's id is its place in its
-    partition plus the number of rows in the partitions before, so nothing passes through one task.
-    ``order_by`` should identify a row, or the order of ties is open.
+    Rows are sorted by range over the cluster, in as many ranges as their number asks for, and written
+    once; each row's id is its place in its range plus the number of rows in the ranges before, so nothing
+    passes through one task. ``order_by`` must identify a row (within its group), or the ids would not be
+    defined; that is checked first, with the count of rows, on the keys alone.
     """
     session = df.sparkSession
-    partitions = partitions or int(session.conf.get("spark.sql.shuffle.partitions"))
     keys = refs([*within, *order_by])
-    placed = (
-        materialise(df.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys))
+    if check:
+        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        rows, most = counted.agg(F.sum("__n"), F.max("__n")).first()
+        if (most or 0) > 1:
+            raise ValueError(f"{[*within, *order_by]} does not identify a row: one value is held by {most} rows")
+    else:
+        rows = df.count()
+    least = int(session.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(least, -(-(rows or 0) // rows_per_range))
+    placed = written(
+        df.repartitionByRange(partitions, *keys)
+        .sortWithinPartitions(*keys)
         .withColumn("__part", F.spark_partition_id())
         .withColumn("__place", F.monotonically_increasing_id())
     )
     blocks = placed.groupBy(*refs(within), "__part").agg(
         F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__rows")
     )
-    # One row per partition (and per group value, if there are any) from here on.
+    # One row per range (and per group value, if there are any) from here on.
     before = (
         Window.partitionBy(*refs(within)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     )

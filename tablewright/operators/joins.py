@@ -1,9 +1,10 @@
 """Joins whose keys are equal when both are null.
 
-``by`` is a list of key names, or a mapping from left to right names. Left, full and coalescing joins
-against a right side that may repeat keys are built from an inner join and anti joins: adaptive
-execution can then split a hot key on either side, which an outer join does not allow. The shuffles of
-both sides are the same in all parts, so Spark reuses them.
+``by`` is a list of key names, or a mapping from left to right names. Left, full and coalescing joins are
+plain outer joins: one scan and one shuffle of each side. Adaptive execution splits a hot key on the left
+of a left join, but not on the right, nor in a full join. Where the right side is known to hold a hot key
+that matches many rows, ``hot_right`` builds the join from an inner join and anti joins instead, which can
+be split on either side but read both sides more than once.
 """
 
 from __future__ import annotations
@@ -81,15 +82,15 @@ def _combine(
     how: str,
     outputs: Sequence[tuple[str, Callable[[Side, Side], Column]]],
     condition: Callable[[Side, Side], Column] | None = None,
-    right_unique: bool = False,
+    hot_right: bool = False,
 ) -> DataFrame:
     """Join and project; ``outputs`` gives each result column from accessors for the two sides."""
 
     def project(joined: DataFrame, left: Side, right: Side) -> DataFrame:
         return joined.select([make(left, right).alias(name) for name, make in outputs])
 
-    if how == "left" and right_unique:
-        return project(_join(x, y, _condition(pairs, condition), "left"), _left, _right)
+    if not hot_right:
+        return project(_join(x, y, _condition(pairs, condition), how), _left, _right)
     parts = [project(_join(x, y, _condition(pairs, condition), "inner"), _left, _right)]
     if how in ("left", "full"):
         parts.append(project(anti_join(x, y, pairs).alias("l"), _left, _absent(y)))
@@ -122,21 +123,20 @@ def left_join(
     x: DataFrame,
     y: DataFrame,
     by: By,
-    right_unique: bool = False,
     suffixes: tuple[str, str] = (".x", ".y"),
+    hot_right: bool = False,
 ) -> DataFrame:
-    """All left rows with the right columns; right rows that repeat a key multiply them.
-
-    ``right_unique`` declares that the right side holds each key once; then one outer join is enough.
-    """
+    """All left rows with the right columns; right rows that repeat a key multiply them."""
     pairs = key_pairs(by)
-    return _combine(x, y, pairs, "left", _plain_outputs(x, y, pairs, suffixes, False), None, right_unique)
+    return _combine(x, y, pairs, "left", _plain_outputs(x, y, pairs, suffixes, False), hot_right=hot_right)
 
 
-def full_join(x: DataFrame, y: DataFrame, by: By, suffixes: tuple[str, str] = (".x", ".y")) -> DataFrame:
+def full_join(
+    x: DataFrame, y: DataFrame, by: By, suffixes: tuple[str, str] = (".x", ".y"), hot_right: bool = False
+) -> DataFrame:
     """All rows of both sides, the keys merged into one column."""
     pairs = key_pairs(by)
-    return _combine(x, y, pairs, "full", _plain_outputs(x, y, pairs, suffixes, True))
+    return _combine(x, y, pairs, "full", _plain_outputs(x, y, pairs, suffixes, True), hot_right=hot_right)
 
 
 def inner_join(
@@ -151,8 +151,19 @@ def inner_join(
     return _combine(x, y, pairs, "inner", _plain_outputs(x, y, pairs, suffixes, False), condition)
 
 
+def keys_with_earlier(x: DataFrame, y: DataFrame, by: By, left: str, right: str) -> DataFrame:
+    """Left rows for which some right row of their key has a value not after theirs.
+
+    Only the least value of each right key matters, so no pair is made however often keys repeat.
+    """
+    pairs = key_pairs(by)
+    keys = list(pairs.values())
+    least = y.groupBy(*refs(keys)).agg(F.min(ref(right)).alias("__least"))
+    return _join(x, least, _condition(pairs) & (_left(left) >= F.col("r.__least")), "left_semi")
+
+
 def coalesce_join(
-    x: DataFrame, y: DataFrame, by: By, how: str = "full", right_unique: bool = False
+    x: DataFrame, y: DataFrame, by: By, how: str = "full", hot_right: bool = False
 ) -> DataFrame:
     """Join, and take every column present on both sides from the left or, where null, the right.
 
@@ -179,9 +190,9 @@ def coalesce_join(
     for name in right_rest:
         if name not in shared:
             outputs.append((name, lambda l, r, n=name: r(n)))
-    return _combine(x, y, pairs, how, outputs, None, right_unique)
+    return _combine(x, y, pairs, how, outputs, hot_right=hot_right)
 
 
-def join_chain(tables: Sequence[DataFrame], by: By, right_unique: bool = False) -> DataFrame:
+def join_chain(tables: Sequence[DataFrame], by: By) -> DataFrame:
     """Fold tables into the first one by the same key."""
-    return reduce(lambda x, y: left_join(x, y, by, right_unique), tables)
+    return reduce(lambda x, y: left_join(x, y, by), tables)

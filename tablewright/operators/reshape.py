@@ -8,8 +8,10 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tablewright.functions.logic import any_of
 from tablewright.functions.names import quoted, ref, refs
 from tablewright.functions.text import joined, pieces
+from tablewright.operators.grouped import sequence_ids
 
 
 def pivot_wider(
@@ -20,32 +22,54 @@ def pivot_wider(
     measures: Mapping[str, Column],
     fill: Mapping[str, object] | None = None,
     label: Callable[[object, str], str] = lambda value, measure: f"{value}_{measure}",
+    filled: Sequence[str] = (),
 ) -> DataFrame:
     """One row per id and, for every value of ``name`` in the vocabulary, one column per measure.
 
-    ``measures`` are aggregates, so rows that share an id and a name are combined before the shuffle.
-    Cells are then gathered per id; there are at most as many as the vocabulary has values. ``fill`` is
-    for cells that are absent: a null measure of a cell that is there stays null.
+    ``measures`` are aggregates, so rows that share an id and a name are combined before the shuffle. The
+    cells of an id, at most as many as the vocabulary has values, are then put into places once, and the
+    columns read from their places. A name outside the vocabulary fails the query, so no cell is lost (see
+    :func:`unknown_names`); a null name has no cell but keeps its id. ``fill`` is for cells that are
+    absent: a null measure of a cell that is there stays null. With ``filled``, ids are left out that
+    have none of these measures in any cell; that is known before the columns are made.
     """
-    fill = fill or {}
-    known = F.when(ref(name).isin(*vocabulary), ref(name))
-    cells = df.groupBy(*refs(ids), known.alias("__name")).agg(
+    place = F.array_position(F.array(*[F.lit(v) for v in vocabulary]), ref(name)) - 1
+    unknown = F.raise_error(F.concat(F.lit(f"{name} is not in the vocabulary: "), ref(name).cast("string")))
+    known = F.when(place >= 0, place.cast("int")).when(ref(name).isNotNull(), unknown.cast("int"))
+    cells = df.groupBy(*refs(ids), known.alias("__place")).agg(
         F.struct(*[m.alias(f"m{i}") for i, m in enumerate(measures.values())]).alias("__cell")
     )
-    cell = F.when(F.col("__name").isNotNull(), F.struct("__name", "__cell"))
-    rows = cells.groupBy(*refs(ids)).agg(F.map_from_entries(F.collect_list(cell)).alias("__cells"))
-
-    def value_of(value, i: int, measure: str) -> Column:
-        found = F.col("__cells")[value]
-        held = found[f"m{i}"]
-        if fill.get(measure) is not None:
-            held = F.when(found.isNull(), F.lit(fill[measure])).otherwise(held)
-        return held.alias(label(value, measure))
-
-    return rows.select(
-        *refs(ids),
-        *[value_of(value, i, measure) for i, measure in enumerate(measures) for value in vocabulary],
+    cell = F.when(F.col("__place").isNotNull(), F.struct("__place", "__cell"))
+    some = any_of(F.col(f"__cell.m{i}").isNotNull() for i, m in enumerate(measures) if m in filled)
+    has_cell = F.col("__place").isNotNull()
+    rows = cells.groupBy(*refs(ids)).agg(
+        F.map_from_entries(F.collect_list(cell)).alias("__cells"), F.max(has_cell & some).alias("__some")
     )
+    rows = rows.filter("__some") if filled else rows
+    places = F.sequence(F.lit(0), F.lit(len(vocabulary) - 1))
+    rows = rows.withColumn("__slots", F.transform(places, lambda i: F.col("__cells")[i]))
+    fill = {m: v for m, v in (fill or {}).items() if v is not None}
+
+    # As text, since hundreds of columns are slow to build one call at a time.
+    def column(i: int, measure: str, k: int) -> str:
+        held = f"`__slots`[{k}].m{i}"
+        if measure in fill:
+            held = f"CASE WHEN `__slots`[{k}] IS NULL THEN {_literal(fill[measure])} ELSE {held} END"
+        return f"{held} AS {quoted(label(vocabulary[k], measure))}"
+
+    columns = [column(i, m, k) for i, m in enumerate(measures) for k in range(len(vocabulary))]
+    return rows.selectExpr(*[quoted(c) for c in ids], *columns)
+
+
+def _literal(value) -> str:
+    if isinstance(value, float):
+        return f"{value!r}D"
+    return str(value) if isinstance(value, int) else "'" + str(value).replace("'", "\\'") + "'"
+
+
+def unknown_names(df: DataFrame, name: str, vocabulary: Sequence, count: str = "n") -> DataFrame:
+    """Names outside a vocabulary and how often they occur."""
+    return df.filter(~ref(name).isin(*vocabulary)).groupBy(ref(name)).agg(F.count(F.lit(1)).alias(count))
 
 
 def pivot_longer(
@@ -93,33 +117,17 @@ def unite(df: DataFrame, name: str, columns: Sequence[str], sep: str = ", ") ->
 def nest(
     df: DataFrame, keys: Sequence[str], columns: Sequence[str], name: str = "data", rows_per_list: int = 10_000
 ) -> DataFrame:
-    """Rows of each group gathered in sorted lists.
+    """Rows of each group gathered in numbered, sorted lists of ``rows_per_list`` rows; a group's last may be shorter.
 
-    A group of up to ``rows_per_list`` rows gives one list. A larger one is spread over several rows,
-    told apart by ``list_no``, so no task gathers an unbounded group and no row is lost. Equal rows are
-    counted before the shuffle and written out again below the bound.
+    Lists follow the order of the rows over the whole group (list 0 first), whatever its size: rows are
+    numbered over the cluster, so no task gathers a group.
     """
-    limit = F.lit(rows_per_list)
-    row = F.struct(*refs(columns))
-    copies = df.groupBy(*refs(keys), row.alias("__row")).agg(F.count(F.lit(1)).alias("__copies"))
-    sizes = copies.groupBy(*refs(keys)).agg(F.sum("__copies").alias("__size"))
-    same = reduce(and_, [ref(k, "l").eqNullSafe(ref(k, "r")) for k in keys])
-    lists = F.ceil(F.col("r.__size") / limit)
-    # Copies of one row are cut into runs below the bound, each run on its own list.
-    runs = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("l.__copies") - 1) / limit))
-    spread = copies.alias("l").join(sizes.alias("r"), same, "inner").select(
-        *[ref(k, "l") for k in keys],
-        F.col("l.__row"),
-        F.col("l.__copies"),
-        lists.alias("__lists"),
-        F.explode(runs).alias("__run"),
-    )
-    in_run = F.least(limit, F.col("__copies") - F.col("__run") * limit).cast("int")
-    list_no = F.pmod(F.xxhash64("__row", "__run"), F.col("__lists")).alias("list_no")
-    gathered = spread.select(*refs(keys), list_no, F.array_repeat("__row", in_run).alias("__rows"))
-    return gathered.groupBy(*refs(keys), "list_no").agg(
-        F.sort_array(F.flatten(F.collect_list("__rows"))).alias(name)
-    )
+    rows = df.select(*refs(keys), F.struct(*refs(columns)).alias("__row"))
+    # Equal rows are told apart by where they were read, so that they can be spread.
+    rows = rows.withColumn("__tie", F.monotonically_increasing_id())
+    numbered = sequence_ids(rows, ["__row", "__tie"], "__no", 0, within=keys, check=False)
+    listed = numbered.withColumn("list_no", F.floor(F.col("__no") / F.lit(rows_per_list)).cast("bigint"))
+    return listed.groupBy(*refs(keys), "list_no").agg(F.sort_array(F.collect_list("__row")).alias(name))
 
 
 def source_diff(

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
-from tablewright.functions import names
+from tablewright.functions import levels, names
 from tablewright.functions.dates import date_text, fix_date
-from tablewright.functions.names import ref
+from tablewright.functions.names import ref, refs
 from tablewright.functions.text import derive_url, replace_first, status_normalise
 from tablewright.operators.changes import route_changes, rows_patch
-from tablewright.operators.columns import apply_across, drop_columns
-from tablewright.operators.joins import coalesce_join
+from tablewright.operators.columns import apply_across, derive, drop_columns, rename_columns
+from tablewright.operators.joins import coalesce_join, left_join, semi_join
+from tablewright.plans import taxonomy
+from tablewright.plans.reconcile import add_missing_from_registry
 
 
 def patch_round(
@@ -29,6 +31,47 @@ def patch_round(
     return rows_patch(table, changed.withColumn("url", derive_url(ref(name), url_prefix)), by)
 
 
+def batch_categories(
+    records: DataFrame, ids: Mapping[str, str], repairs: Mapping[str, Sequence[tuple[str, str]]] | None = None
+) -> DataFrame:
+    """Category records of a batch in wide form, under the table's id names; level texts repaired first."""
+    repaired = derive(records, {c: spelt(ref(c), rules) for c, rules in (repairs or {}).items()})
+    named = rename_columns(repaired, explicit=dict(ids))
+    return taxonomy.taxonomy_pivot(named, list(ids.values()))
+
+
+def spelt(col: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    """Spelling repairs in their order, each on its first match."""
+    for pattern, replacement in rules:
+        col = replace_first(col, pattern, replacement)
+    return col
+
+
+def prepared_batch(
+    batch: DataFrame,
+    table: DataFrame,
+    by: Sequence[str],
+    url_prefix: str,
+    lists: Mapping[str, str],
+    types: Mapping[str, Sequence[str]],
+    repairs: Mapping[str, Sequence[tuple[str, str]]] | None = None,
+    name: str = "common_name",
+    group: str | None = "taxonomic_group",
+) -> DataFrame:
+    """A batch made ready: lists spelt right and classified, the address from the name, the group from the table.
+
+    ``lists`` maps list to type column, ``repairs`` a list column to its ordered (pattern, replacement) rules.
+    """
+    fixed = derive(batch, {c: spelt(ref(c), rules) for c, rules in (repairs or {}).items()})
+    typed = derive(fixed, {kind: levels.classify_list(ref(c), types) for c, kind in lists.items()})
+    addressed = typed.withColumn("url", derive_url(ref(name), url_prefix))
+    if group is None:
+        return addressed
+    # Groups of the batch's keys alone, one row per key.
+    groups = semi_join(table.select(*refs(by), ref(group)), batch, by)
+    return left_join(addressed, groups, by)
+
+
 def change_round(
     table: DataFrame,
     batch: DataFrame,
@@ -51,6 +94,14 @@ def change_round(
     return apply_across(changed, lambda c: date_text(fix_date(c)), columns=dated) if dated else changed
 
 
+def registry_round(table: DataFrame, registry: DataFrame, headers: Mapping[str, str], **missing) -> DataFrame:
+    """Rows for what a registry shows to be missing; its headings are renamed first.
+
+    ``missing`` goes to :func:`tablewright.plans.reconcile.add_missing_from_registry`.
+    """
+    return add_missing_from_registry(table, rename_columns(registry, explicit=dict(headers)), **missing)
+
+
 def relabel_unreported(df: DataFrame, columns: Sequence[str], wrong: str = "Nr", right: str = "NR") -> DataFrame:
     """The label for "not reported", repaired where it was misspelt."""
     return apply_across(df, lambda c: replace_first(c, wrong, right), columns=columns)

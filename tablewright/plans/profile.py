@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablewright.functions import levels
 from tablewright.functions.names import ref, refs
 from tablewright.functions.text import map_values, pieces, replace_first, sentence_case
-from tablewright.operators.aggregates import count_by, first_in_group, string_agg
+from tablewright.operators.aggregates import count_by, distinct_values, first_in_group, string_agg
 from tablewright.operators.columns import domain_rank
 from tablewright.operators.grouped import group_not_all, latest_in_group
 from tablewright.operators.reshape import flag_counts, pivot_longer, separate, separate_rows
@@ -37,6 +37,7 @@ PARENT_NAMES = {
     "10": "Geological events",
     "11": "Climate change\n& severe weather",
 }
+# Codes that stand for "no value", and the area covered.
 MISSING_CODES = ("NA", "NR")
 COVERAGE_BOX = {"west": -140.99778, "east": -52.6480987209, "north": 83.23324, "south": 41.6751050889}
 
@@ -165,10 +166,17 @@ def missing_facts(facts: DataFrame, codes: Sequence[str] = MISSING_CODES) -> Dat
 
 
 def taxonomy_facts(
-    taxonomy: DataFrame, kind: str, subtype: str, description: str, kind_columns: str, subtype_columns: str
+    taxonomy: DataFrame,
+    kind: str,
+    subtype: str,
+    description: str,
+    kind_columns: str,
+    subtype_columns: str,
+    order_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Facts on types (which list their sub-types) and on sub-types, for each column that holds them."""
-    listed = string_agg(taxonomy, [kind], subtype, ", ", "__subtypes")
+    """Facts on types (which list their sub-types, in the taxonomy's order) and on sub-types, for each column that
+    holds them."""
+    listed = string_agg(taxonomy, [kind], subtype, ", ", "__subtypes", order_by=order_by)
     kinds = listed.select(
         F.lit(kind_columns).alias("attributeName"),
         ref(kind).alias("code"),
@@ -189,10 +197,7 @@ def value_dictionary(facts: DataFrame, more: DataFrame | None = None) -> DataFra
 
 
 def coverage(df: DataFrame, date: str, entity: str, end: str) -> DataFrame:
-    """Earliest date (nulls skipped), the given end, the number of entities, and the area covered.
-
-    The entities themselves are ``distinct_values`` of the entity column.
-    """
+    """Earliest date (nulls skipped), the given end, the number of entities, and the area covered."""
     entities = df.groupBy(ref(entity)).agg(F.min(ref(date)).alias("__first"))
     return entities.agg(
         F.min("__first").alias("begin_date"),
@@ -200,3 +205,8 @@ def coverage(df: DataFrame, date: str, entity: str, end: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_entities"),
         *[F.lit(v).alias(k) for k, v in COVERAGE_BOX.items()],
     )
+
+
+def coverage_entities(df: DataFrame, entity: str) -> DataFrame:
+    """The entities covered, one row each."""
+    return distinct_values(df, entity)

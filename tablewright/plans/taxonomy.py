@@ -7,9 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.functions import levels
-from tablewright.functions.names import difference, ref, refs
+from tablewright.functions.names import difference, ref, refs, union
 from tablewright.functions.text import null_sentinel, replace_first
+from tablewright.operators.aggregates import duplicate_keys, key_message
 from tablewright.operators.columns import add_missing_columns, derive
+from tablewright.operators.grouped import distinct_keep_first
 from tablewright.operators.reshape import pivot_wider
 
 FLAG = "threat_identified"
@@ -66,22 +68,35 @@ def recode_report(records: DataFrame, codes: Mapping = levels.LEVEL_CODES) -> Da
     return bad.groupBy("measure", "input", "code").agg(F.count(F.lit(1)).alias("n"))
 
 
+def duplicate_records(records: DataFrame, ids: Sequence[str], number: str = "threat_num") -> DataFrame:
+    """(ids, number) held by more than one record, with how many; the number is written with a dot."""
+    dotted = records.withColumn(number, replace_first(ref(number), ",", "."))
+    return duplicate_keys(dotted, [*ids, number])
+
+
 def widen_categories(
     coded: DataFrame,
     ids: Sequence[str],
     vocabulary: Sequence[str] = levels.CATEGORIES,
     measures: Sequence[str] = WIDE_MEASURES,
+    order_by: Sequence[str] = (),
+    filled: bool = False,
 ) -> DataFrame:
-    """One row per id with the flag, levels and comments of every category; absent flags are 0."""
-    return pivot_wider(
-        coded,
-        ids,
-        "threat_num",
-        vocabulary,
-        {m: F.max(ref(m)) for m in measures},
-        {FLAG: 0.0},
-        wide_name,
-    )
+    """One row per id with the flag, levels and comments of every category; absent flags are 0.
+
+    Two records of one id and category fail the query, since a mixture of them would be a record that
+    nobody made. With ``order_by`` the first whole record in that order is taken. A category outside the
+    vocabulary fails the query as well. ``filled`` leaves out ids without any level or comment.
+    """
+    keys = [*ids, "threat_num"]
+    if order_by:
+        coded = distinct_keep_first(coded.select(*refs(union(keys, measures, order_by))), keys, order_by)
+        cells = {m: F.max(ref(m)) for m in measures}
+    else:
+        twice = F.raise_error(key_message(f"records {keys} are not unique, e.g. ", [F.max(ref(k)) for k in keys]))
+        cells = {m: F.when(F.count(F.lit(1)) == 1, F.max(ref(m))).otherwise(twice) for m in measures}
+    needed = [m for m in measures if m != FLAG] if filled else []
+    return pivot_wider(coded, ids, "threat_num", vocabulary, cells, {FLAG: 0.0}, wide_name, needed)
 
 
 def taxonomy_pivot(
@@ -89,15 +104,18 @@ def taxonomy_pivot(
     ids: Sequence[str] | None = None,
     vocabulary: Sequence[str] = levels.CATEGORIES,
     measures: Sequence[str] = WIDE_MEASURES,
+    order_by: Sequence[str] = (),
+    filled: bool = False,
 ) -> DataFrame:
     """Level texts in long form to coded wide form, with the flags of the whole vocabulary.
 
     Without ``ids`` every column that is neither a measure nor the impact code identifies a row. Fewer
-    ``measures`` give a narrower result and carry less through the shuffle.
+    ``measures`` give a narrower result and carry less through the shuffle. ``order_by`` and ``filled`` as
+    in :func:`widen_categories`.
     """
     if ids is None:
-        ids = difference(records.columns, ["threat_num", "impact_code", *levels.LEVEL_MEASURES, "comments"])
-    wide = widen_categories(code_levels(records), ids, vocabulary, measures)
+        ids = difference(records.columns, ["threat_num", "impact_code", *levels.LEVEL_MEASURES, "comments", *order_by])
+    wide = widen_categories(code_levels(records), ids, vocabulary, measures, order_by, filled)
     return add_missing_columns(wide, [flag_name(n) for n in levels.CATEGORIES], F.lit(0.0))
 
 
@@ -135,11 +153,13 @@ def classify_columns(
     return derive(out, {kind: levels.classify_list(ref(c), taxonomy) for c, kind in columns.items()})
 
 
-def read_taxonomy(table: DataFrame, kind: str, subtype: str, at_most: int = 10_000) -> dict[str, list[str]]:
-    """A small type and sub-type table as a mapping, in order of first appearance; its size is checked."""
-    rows = table.select(ref(kind), ref(subtype)).limit(at_most + 1).collect()
-    if len(rows) > at_most:
-        raise ValueError(f"a taxonomy of more than {at_most} rows is not a taxonomy")
+def read_taxonomy(table: DataFrame, kind: str, subtype: str, order_by: Sequence[str]) -> dict[str, list[str]]:
+    """A table of types and sub-types as a mapping, in a declared order.
+
+    The mapping is a parameter of expressions, so the whole table reaches the driver: it is for
+    vocabularies that people keep, not for data.
+    """
+    rows = table.orderBy(*refs(order_by)).select(ref(kind), ref(subtype)).collect()
     result: dict[str, list[str]] = {}
     for row in rows:
         result.setdefault(row[0], []).append(row[1])

@@ -1,19 +1,19 @@
 """Rules of a data contract, checked on a table.
 
-Rules that only count bad rows are compiled into one aggregate. Rules that name offenders turn only
-offending cells into rows, so a clean table shuffles nothing.
+A single kind of rule that only counts bad rows is one aggregate. Rules that name offenders, and the whole
+report, turn only offending cells into rows, so a clean table shuffles nothing; the report reads the table
+once for all rules, and once more for columns that must be unique.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tablewright.functions.dates import YEAR_FIRST_FORMATS, first_parsed
+from tablewright.functions.logic import any_of
 from tablewright.functions.names import matching, number_in, quoted, ref, refs
 from tablewright.functions.text import pieces, trimmed
 from tablewright.operators.aggregates import counts_long
@@ -29,6 +29,7 @@ FLAG_VALUES = ("0", "1", "2", "NE")
 LEVEL_VALUES = tuple(half / 2 for half in range(-4, 11))
 # The columns whose lists are compared after cleaning.
 LOOSE_COLUMNS = ("CC_action_subtype", "action_subtype")
+DOMAIN_RULES = ("domain", "domain_loose", "family_domain")
 
 
 @dataclass(frozen=True)
@@ -42,13 +43,11 @@ class ContractRow:
         return word in self.expectation
 
 
-def read_contract(spark: SparkSession, path: str, at_most: int = 10_000) -> list[ContractRow]:
-    """A contract file (colnms, vals, expectation, na_allowed); a contract is small, which is checked."""
+def read_contract(spark: SparkSession, path: str) -> list[ContractRow]:
+    """A contract file (colnms, vals, expectation, na_allowed), one row per column; its rows become a plan."""
     text = T.StringType()
     schema = T.StructType([T.StructField(c, text) for c in ("colnms", "vals", "expectation", "na_allowed")])
-    rows = read_csv(spark, path, schema).limit(at_most + 1).collect()
-    if len(rows) > at_most:
-        raise ValueError(f"a contract of more than {at_most} rows is not a contract")
+    rows = read_csv(spark, path, schema).collect()
     return [
         ContractRow(r["colnms"], tuple((r["vals"] or "NA").split(", ")), r["expectation"], r["na_allowed"] != "0")
         for r in rows
@@ -78,18 +77,28 @@ def _loose_items(text: Column) -> Column:
     return F.coalesce(F.filter(items, lambda i: i != ""), F.array(F.lit("NA")))
 
 
-def _offenders(df: DataFrame, rule: str, cells: Sequence[Column]) -> DataFrame:
-    """Offending values, per column, with the number of rows; ``cells`` are arrays of (column, value)."""
+def _offenders(df: DataFrame, cells: Sequence[Column]) -> DataFrame:
+    """Offending values per rule and column, with the number of rows; ``cells`` are arrays of (rule, column, value)."""
     return (
         df.select(F.inline(F.concat(*cells)))
-        .groupBy("column_name", "value")
+        .groupBy("rule", "column_name", "value")
         .agg(F.count(F.lit(1)).alias("n_bad"))
-        .select(F.lit(rule).alias("rule"), "column_name", "value", "n_bad")
     )
 
 
-def _named(column: str, values: Column) -> Column:
-    return F.transform(values, lambda v: F.struct(F.lit(column).alias("column_name"), v.alias("value")))
+def _cell(rule: str, column: str, value: Column) -> Column:
+    return F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column_name"), value.alias("value"))
+
+
+def domain_cells(df: DataFrame, domains: Mapping[str, Sequence[str]], loose: bool = False) -> list[Column]:
+    """Per column an array of the items outside its allowed values."""
+    items, rule = (_loose_items, "domain_loose") if loose else (_strict_items, "domain")
+
+    def outside(c: str, allowed: Sequence[str]) -> Column:
+        bad = F.array_except(items(as_text(df, c)), F.array(*[F.lit(v) for v in allowed]))
+        return F.transform(bad, lambda v: _cell(rule, c, v))
+
+    return [outside(c, allowed) for c, allowed in domains.items()]
 
 
 def domain_offenders(df: DataFrame, domains: Mapping[str, Sequence[str]], loose: bool = False) -> DataFrame:
@@ -97,28 +106,35 @@ def domain_offenders(df: DataFrame, domains: Mapping[str, Sequence[str]], loose:
 
     Loose: items are trimmed, lose their first comma, become lower case, and empty ones are ignored.
     """
-    items = _loose_items if loose else _strict_items
-    cells = [
-        _named(c, F.array_except(items(as_text(df, c)), F.array(*[F.lit(v) for v in allowed])))
-        for c, allowed in domains.items()
-    ]
-    return _offenders(df, "domain_loose" if loose else "domain", cells)
+    return _offenders(df, domain_cells(df, domains, loose))
 
 
-def family_offenders(df: DataFrame, family: str = "^X") -> DataFrame:
-    """Flags and coded levels outside their values; null is allowed, notes are not looked at."""
-    tests, cells = [], []
+def family_tests(df: DataFrame, family: str = "^X") -> dict[str, Column]:
+    """Per column of the family the condition that its value is outside the allowed ones."""
+    tests = {}
     for c in matching(matching(df.columns, family), "comments|note", negate=True):
         value, numeric = ref(c), isinstance(df.schema[c].dataType, T.NumericType)
         if "identified" in c:
             allowed = value.isin(*[float(v) for v in FLAG_VALUES if v != "NE"]) if numeric else value.isin(*FLAG_VALUES)
         else:
             allowed = (value if numeric else value.try_cast("double")).isin(*LEVEL_VALUES)
-        bad = value.isNotNull() & ~F.coalesce(allowed, F.lit(False))
-        tests.append(bad)
-        cells.append(F.when(bad, F.struct(F.lit(c).alias("column_name"), as_text(df, c).alias("value"))))
-    # Only rows with an offender get as far as building cells.
-    return _offenders(df.filter(reduce(or_, tests)), "family_domain", [F.array_compact(F.array(*cells))])
+        tests[c] = value.isNotNull() & ~F.coalesce(allowed, F.lit(False))
+    return tests
+
+
+def _family_cells(df: DataFrame, tests: Mapping[str, Column]) -> Column:
+    """An array of the offending cells; only rows with one get as far as building cells."""
+    cells = [F.when(bad, _cell("family_domain", c, as_text(df, c))) for c, bad in tests.items()]
+    found = F.array_compact(F.array(*cells))
+    return F.when(any_of(tests.values()), found).otherwise(
+        F.array().cast("array<struct<rule:string,column_name:string,value:string>>")
+    )
+
+
+def family_offenders(df: DataFrame, family: str = "^X") -> DataFrame:
+    """Flags and coded levels outside their values; null is allowed, notes are not looked at."""
+    tests = family_tests(df, family)
+    return _offenders(df.filter(any_of(tests.values())), [_family_cells(df, tests)])
 
 
 Counts = dict[tuple[str, str], Column]
@@ -190,15 +206,14 @@ def rule_counts(df: DataFrame, counts: Mapping[tuple[str, str], Column]) -> Data
 
 
 def unique_offenders(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """How many rows repeat a value of a column that must be unique (null is one value)."""
-    parts = [
-        df.groupBy(ref(c).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n_bad"))
-        .select(F.lit("unique").alias("rule"), F.lit(c).alias("column_name"), "n_bad")
-        for c in columns
-    ]
-    return reduce(DataFrame.unionByName, parts).filter("n_bad > 0")
+    """How many rows repeat a value of a column that must be unique (null is one value).
+
+    All columns are checked in one scan and one shuffle, as (column, value) rows counted before they move.
+    """
+    cells = [F.struct(F.lit(c).alias("column_name"), ref(c).cast("string").alias("value")) for c in columns]
+    counts = df.select(F.inline(F.array(*cells))).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    repeated = counts.filter("n > 1").groupBy("column_name").agg(F.sum(F.col("n") - 1).alias("n_bad"))
+    return repeated.select(F.lit("unique").alias("rule"), "column_name", "n_bad")
 
 
 def implied_required(df: DataFrame, row_id: str, condition: Column, required: str) -> DataFrame:
@@ -221,7 +236,7 @@ def contradictions(
 def contradicting_rows(df: DataFrame, row_id: str, rules: Mapping[str, Column]) -> DataFrame:
     """(rule, row id) of every row that breaks a rule; all rules in one scan."""
     broken = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in rules.items()]))
-    return df.filter(reduce(or_, rules.values())).select(F.explode(broken).alias("rule"), ref(row_id))
+    return df.filter(any_of(rules.values())).select(F.explode(broken).alias("rule"), ref(row_id))
 
 
 def unflagged_rows(df: DataFrame, ids: Sequence[str], numbers: Sequence[str] | None = None) -> DataFrame:
@@ -234,7 +249,7 @@ def unflagged_rows(df: DataFrame, ids: Sequence[str], numbers: Sequence[str] | N
         scope, severity, timing = (ref(wide_name(n, m)) for m in ("scope", "severity", "timing"))
         tests[n] = (ref(flag_name(n)) == 0) & (scope != 0) & (severity != 0) & (timing > 2)
     found = F.array_compact(F.array(*[F.when(test, F.lit(n)) for n, test in tests.items()]))
-    failing = df.filter(reduce(or_, tests.values()))
+    failing = df.filter(any_of(tests.values()))
     return failing.select(*refs(ids), F.explode(found).alias("threat_num"))
 
 
@@ -265,34 +280,37 @@ def validation_report(
     """
     counts = contract_counts(df, contract) | conditional_required(scopes)
     counts |= {(name, "row"): test for name, test in (row_rules or {}).items()}
-    parts = [rule_counts(df, counts).withColumn("message", F.concat(F.col("n_bad").cast("string"), F.lit(" rows")))]
-    unique = [r.column for r in contract if r.expects("unique")]
-    if unique:
-        repeated = unique_offenders(df, unique)
-        parts.append(repeated.withColumn("message", F.lit("repeated values")))
+    none = F.lit(None).cast("string")
+    # In groups, so that no generated method gets too large to be compiled.
+    listed = list(counts.items())
+    cells = [
+        F.array_compact(F.array(*[F.when(test, _cell(rule, c, none)) for (rule, c), test in listed[i : i + 30]]))
+        for i in range(0, len(listed), 30)
+    ]
     domains = {r.column: r.values for r in contract if r.expectation == "vals"}
-    found = []
-    strict = {c: v for c, v in domains.items() if c not in loose}
-    cleaned = {c: v for c, v in domains.items() if c in loose}
-    if strict:
-        found.append(domain_offenders(df, strict))
-    if cleaned:
-        found.append(domain_offenders(df, cleaned, loose=True))
+    cells += domain_cells(df, {c: v for c, v in domains.items() if c not in loose})
+    cells += domain_cells(df, {c: v for c, v in domains.items() if c in loose}, loose=True)
     if family:
-        found.append(family_offenders(df, family))
-    for offenders in found:
-        parts.append(
-            offenders.groupBy("rule", "column_name").agg(
-                F.sum("n_bad").alias("n_bad"),
-                F.concat(F.count(F.lit(1)).cast("string"), F.lit(" values, e.g. "), F.min("value")).alias("message"),
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+        tests = list(family_tests(df, family).items())
+        cells += [_family_cells(df, dict(tests[i : i + 30])) for i in range(0, len(tests), 30)]
+    # One scan for all these rules: offending cells alone become rows, counted before they move.
+    by_rule = _offenders(df, cells).groupBy("rule", "column_name").agg(
+        F.sum("n_bad").alias("n_bad"), F.count(F.lit(1)).alias("__values"), F.min("value").alias("__first")
+    )
+    message = F.when(
+        F.col("rule").isin(*DOMAIN_RULES),
+        F.concat(F.col("__values").cast("string"), F.lit(" values, e.g. "), F.col("__first")),
+    ).otherwise(F.concat(F.col("n_bad").cast("string"), F.lit(" rows")))
+    report = by_rule.select("rule", "column_name", "n_bad", message.alias("message"))
+    unique = [r.column for r in contract if r.expects("unique")]
+    if unique:
+        report = report.unionByName(unique_offenders(df, unique).withColumn("message", F.lit("repeated values")))
+    return report
 
 
-def require_valid(report: DataFrame, at_most: int = 1000) -> None:
-    """Raise with the report's messages if any rule is broken; a report has a row per rule and column."""
-    rows = report.orderBy("rule", "column_name").limit(at_most).collect()
+def require_valid(report: DataFrame) -> None:
+    """Raise with all of the report's messages if any rule is broken; a report has a row per rule and column."""
+    rows = report.orderBy("rule", "column_name").collect()
     if rows:
         lines = [f"{r['rule']} {r['column_name']}: {r['message']}" for r in rows]
         raise ValueError("the table breaks its contract:\n" + "\n".join(lines))

@@ -117,7 +117,7 @@ def _(t):
     d = t.documents.select(
         "doc_id", F.when(F.col("lang") == "en", F.lit("")).otherwise(F.col("lang")).alias("lang")
     )
-    df = left_join(d, t.labels, ["doc_id"], right_unique=True).withColumn(
+    df = left_join(d, t.labels, ["doc_id"]).withColumn(
         "miss_all", F.when(F.col("quality").isNull(), F.lit("quality, endemic_NA, Level 2 threats")).otherwise("")
     )
     columns = changes.sentinel_columns(df, "^miss", df.columns, also=["lang"])

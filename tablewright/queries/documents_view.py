@@ -24,7 +24,7 @@ ACTIONS = [
     "NE",
 ]
 SUBTYPES = ["education, monitoring", " Education,, feeding", "translocation, monitring", ""]
-CODED_NUMBERS = ("1", "1.1", "2", "11.4")
+CODED_NUMBERS = levels.CATEGORIES
 
 # Text columns that hold the entity's name, and are null where the row id leaves no rest.
 _NAMED = {"EOO": 8, "IAO": 9, "ranges": 12, "cosewic_status": 11}
@@ -95,7 +95,7 @@ _COLUMNS = _columns()
 
 
 def documents_view(t):
-    named = left_join(t.orders, t.customer, {"o_custkey": "c_custkey"}, right_unique=True)
+    named = left_join(t.orders, t.customer, {"o_custkey": "c_custkey"})
     return named.selectExpr(*[f"{value} AS `{name}`" for name, value in _COLUMNS.items()])
 
 

@@ -42,11 +42,21 @@ def _(t):
 
 @query(
     "agg5_string_agg",
+    """SELECT p_brand, string_agg(coalesce(nullif(p_type, 'PROMO'), 'NA'), ', ' ORDER BY p_size, p_partkey) AS types
+       FROM part GROUP BY p_brand""",
+)
+def _(t):
+    df = t.part.withColumn("p_type", F.nullif("p_type", F.lit("PROMO")))
+    return agg.string_agg(df, ["p_brand"], "p_type", name="types", order_by=["p_size", "p_partkey"])
+
+
+@query(
+    "agg5_string_agg_distinct",
     """SELECT p_brand, string_agg(p_type, ', ' ORDER BY p_type) AS types
        FROM (SELECT DISTINCT p_brand, p_type FROM part) GROUP BY p_brand""",
 )
 def _(t):
-    return agg.string_agg(t.part, ["p_brand"], "p_type", name="types")
+    return agg.string_agg(t.part, ["p_brand"], "p_type", name="types", distinct=True)
 
 
 @query("agg6_distinct_values", "SELECT DISTINCT unnest(string_split(p_name, ' ')) AS p_name FROM part")

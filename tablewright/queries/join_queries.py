@@ -8,7 +8,7 @@ from tablewright.operators import joins
 from tablewright.queries.registry import query
 
 _CUSTOMER = "(SELECT c_custkey, nullif(c_nationkey, 3) AS nation_key, c_mktsegment FROM customer)"
-_NATION = "(SELECT nullif(n_nationkey, 3) AS n_key, n_name FROM nation WHERE n_nationkey <> 7)"
+_NATION = "(SELECT CASE n_nationkey WHEN 3 THEN NULL WHEN 7 THEN 107 ELSE n_nationkey END AS n_key, n_name FROM nation)"
 
 
 def _customer(t):
@@ -18,9 +18,8 @@ def _customer(t):
 
 
 def _nation(t):
-    return t.nation.filter("n_nationkey <> 7").select(
-        F.nullif("n_nationkey", F.lit(3)).alias("n_key"), "n_name"
-    )
+    key = F.col("n_nationkey")
+    return t.nation.select(F.when(key == 7, key + 100).when(key != 3, key).alias("n_key"), "n_name")
 
 
 @query(
@@ -28,28 +27,28 @@ def _nation(t):
     f"""SELECT c.*, n.n_name FROM {_CUSTOMER} c LEFT JOIN {_NATION} n ON c.nation_key IS NOT DISTINCT FROM n.n_key""",
 )
 def _(t):
-    return joins.left_join(_customer(t), _nation(t), {"nation_key": "n_key"}, right_unique=True)
+    return joins.left_join(_customer(t), _nation(t), {"nation_key": "n_key"})
 
 
 @query(
     "jn1_left_join_repeated",
     """SELECT c.c_custkey, c.c_acctbal, o.o_orderkey, o.o_totalprice FROM customer c
-       LEFT JOIN (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT') o
-         ON c.c_custkey IS NOT DISTINCT FROM o.o_custkey""",
+       LEFT JOIN orders o ON c.c_custkey IS NOT DISTINCT FROM o.o_custkey""",
 )
 def _(t):
-    urgent = t.orders.filter("o_orderpriority = '1-URGENT'").select("o_custkey", "o_orderkey", "o_totalprice")
-    return joins.left_join(t.customer.select("c_custkey", "c_acctbal"), urgent, {"c_custkey": "o_custkey"})
+    orders = t.orders.select("o_custkey", "o_orderkey", "o_totalprice")
+    return joins.left_join(t.customer.select("c_custkey", "c_acctbal"), orders, {"c_custkey": "o_custkey"})
 
 
 @query(
     "jn2_full_join",
     """SELECT coalesce(d.k, l.k) AS k, d.lang, l.quality FROM
-         (SELECT nullif(doc_id, 5) AS k, lang FROM documents WHERE doc_id % 3 <> 1) d
+         (SELECT CASE WHEN doc_id % 3 = 1 THEN -doc_id ELSE nullif(doc_id, 5) END AS k, lang FROM documents) d
        FULL JOIN (SELECT nullif(doc_id, 6) AS k, quality FROM labels) l ON d.k IS NOT DISTINCT FROM l.k""",
 )
 def _(t):
-    d = t.documents.filter("doc_id % 3 <> 1").select(F.nullif("doc_id", F.lit(5)).alias("k"), "lang")
+    key = F.col("doc_id")
+    d = t.documents.select(F.when(key % 3 == 1, -key).otherwise(F.nullif(key, F.lit(5))).alias("k"), "lang")
     return joins.full_join(d, t.labels.select(F.nullif("doc_id", F.lit(6)).alias("k"), "quality"), ["k"])
 
 
@@ -76,41 +75,49 @@ def _(t):
     return joins.anti_join(keyed, urgent, {"key": "k"}).select("c_custkey", "c_name")
 
 
+_YEARS = "(SELECT o_custkey, o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders)"
+
+
+def _years(t):
+    return t.orders.select("o_custkey", "o_orderkey", F.year("o_orderdate").alias("y"))
+
+
 @query(
     "jn4_inner_join_inequality",
-    """SELECT l.o_custkey, l.o_orderkey AS "o_orderkey.x", r.o_orderkey AS "o_orderkey.y",
-              l.y AS "y.x", r.y AS "y.y"
-       FROM (SELECT o_custkey, o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders
-             WHERE o_orderstatus = 'F') l
-       JOIN (SELECT o_custkey, o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders
-             WHERE o_orderpriority = '1-URGENT') r
-         ON l.o_custkey IS NOT DISTINCT FROM r.o_custkey AND l.y >= r.y""",
+    f"""SELECT l.o_custkey, l.o_orderkey AS "o_orderkey.x", r.o_orderkey AS "o_orderkey.y", l.y AS "y.x", r.y AS "y.y"
+        FROM {_YEARS} l JOIN {_YEARS} r ON l.o_custkey IS NOT DISTINCT FROM r.o_custkey AND l.y > r.y""",
 )
 def _(t):
-    o = t.orders.withColumn("y", F.year("o_orderdate"))
-    wanted = ["o_custkey", "o_orderkey", "y"]
-    return joins.inner_join(
-        o.filter("o_orderstatus = 'F'").select(wanted),
-        o.filter("o_orderpriority = '1-URGENT'").select(wanted),
-        ["o_custkey"],
-        lambda left, right: left("y") >= right("y"),
-    )
+    return joins.inner_join(_years(t), _years(t), ["o_custkey"], lambda left, right: left("y") > right("y"))
 
 
-_DOCS = "(SELECT doc_id, CASE WHEN doc_id % 4 <> 0 THEN lang END AS lang, source FROM documents WHERE doc_id % 7 <> 2)"
-_COPY = "(SELECT doc_id, concat('copy-', lang) AS lang, n_chars FROM documents WHERE doc_id % 5 <> 1)"
+@query(
+    "jn4_keys_with_earlier",
+    f"""SELECT o_custkey, o_orderkey, y FROM {_YEARS} l WHERE EXISTS (
+          SELECT 1 FROM (SELECT l_orderkey % 100 AS k, CAST(year(l_shipdate) AS INTEGER) AS shipped FROM lineitem) r
+          WHERE r.k = l.o_custkey AND l.y >= r.shipped)""",
+)
+def _(t):
+    shipped = t.lineitem.select((F.col("l_orderkey") % 100).alias("k"), F.year("l_shipdate").alias("shipped"))
+    return joins.keys_with_earlier(_years(t), shipped, {"o_custkey": "k"}, "y", "shipped")
+
+
+_DOCS = """(SELECT CASE WHEN doc_id % 7 = 2 THEN -doc_id ELSE doc_id END AS doc_id,
+    CASE WHEN doc_id % 4 <> 0 THEN lang END AS lang, source FROM documents)"""
+_COPY = """(SELECT CASE WHEN doc_id % 5 = 1 THEN doc_id + 1000000000 ELSE doc_id END AS doc_id,
+    concat('copy-', lang) AS lang, n_chars FROM documents)"""
 
 
 def _docs(t):
-    return t.documents.filter("doc_id % 7 <> 2").select(
-        "doc_id", F.when(F.col("doc_id") % 4 != 0, F.col("lang")).alias("lang"), "source"
-    )
+    key = F.col("doc_id")
+    own = F.when(key % 7 == 2, -key).otherwise(key)
+    return t.documents.select(own.alias("doc_id"), F.when(key % 4 != 0, F.col("lang")).alias("lang"), "source")
 
 
 def _copy(t):
-    return t.documents.filter("doc_id % 5 <> 1").select(
-        "doc_id", F.concat(F.lit("copy-"), "lang").alias("lang"), "n_chars"
-    )
+    key = F.col("doc_id")
+    own = F.when(key % 5 == 1, key + 1_000_000_000).otherwise(key)
+    return t.documents.select(own.alias("doc_id"), F.concat(F.lit("copy-"), "lang").alias("lang"), "n_chars")
 
 
 @query(
@@ -128,7 +135,7 @@ def _(t):
         FROM {_DOCS} x LEFT JOIN {_COPY} y ON x.doc_id IS NOT DISTINCT FROM y.doc_id""",
 )
 def _(t):
-    return joins.coalesce_join(_docs(t), _copy(t), ["doc_id"], how="left", right_unique=True)
+    return joins.coalesce_join(_docs(t), _copy(t), ["doc_id"], how="left")
 
 
 @query(
@@ -145,4 +152,4 @@ def _(t):
     long_text = d.filter("n_chars > 2000").select("doc_id", F.lit(1).alias("long_text"))
     junk = d.filter(d.text.like("%!!%")).select("doc_id", F.lit(1).alias("junk"))
     tables = [d.select("doc_id", "lang"), t.labels.select("doc_id", "quality"), long_text, junk]
-    return joins.join_chain(tables, ["doc_id"], right_unique=True)
+    return joins.join_chain(tables, ["doc_id"])

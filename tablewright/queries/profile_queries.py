@@ -148,14 +148,14 @@ def _facts(t):
     "pro8_value_dictionary",
     f"""SELECT * FROM {_FACTS} WHERE "attributeName" IN (
           SELECT "attributeName" FROM {_FACTS} WHERE code NOT IN ('NA', 'NR'))
-        UNION ALL SELECT a, p_brand, concat('See action sub-types: ', string_agg(p_name, ', ' ORDER BY p_name))
-          FROM (SELECT DISTINCT p_brand, p_name FROM part), (VALUES ('action_type'), ('CC_action_type')) v(a)
+        UNION ALL SELECT a, p_brand, concat('See action sub-types: ', string_agg(p_name, ', ' ORDER BY p_partkey))
+          FROM part, (VALUES ('action_type'), ('CC_action_type')) v(a)
           GROUP BY a, p_brand
         UNION ALL SELECT a, p_name, p_type FROM part, (VALUES ('action_subtype'), ('CC_action_subtype')) v(a)""",
 )
 def _(t):
     more = profile.taxonomy_facts(
-        t.part, "p_brand", "p_name", "p_type", "action_type, CC_action_type", "action_subtype, CC_action_subtype"
+        t.part, "p_brand", "p_name", "p_type", "action_type, CC_action_type", "action_subtype, CC_action_subtype", ["p_partkey"]
     )
     return profile.value_dictionary(_facts(t), more)
 
@@ -173,3 +173,8 @@ def _(t):
 )
 def _(t):
     return profile.coverage(documents_view(t), "cosewic_examined_date", "speciesID", "2001-12-31")
+
+
+@query("pro9_coverage_entities", f"""SELECT DISTINCT "speciesID" FROM ({DOCUMENTS})""")
+def _(t):
+    return profile.coverage_entities(documents_view(t), "speciesID")

@@ -70,33 +70,33 @@ def _(t):
     return reshape.unite(df, "miss", ["brand", "p_type", "p_size"])
 
 
+def _sql_lists(table: str, key: str, columns: str, size: int) -> str:
+    return f"""(SELECT *, (row_number() OVER (PARTITION BY {key} ORDER BY {columns}) - 1) // {size} AS list_no FROM {table})"""
+
+
 @query(
     "rsh6_nest",
-    """SELECT p_brand, string_agg(concat(p_type, ':', p_size), ', ' ORDER BY p_type, p_size) AS rows_text,
-              count(*) AS n FROM part GROUP BY p_brand""",
+    f"""SELECT p_brand, CAST(list_no AS BIGINT) AS list_no, string_agg(concat(p_type, ':', p_size), ', ' ORDER BY p_type, p_size)
+              AS rows_text, count(*) AS n
+        FROM {_sql_lists('part', 'p_brand', 'p_type, p_size', 10_000)} GROUP BY p_brand, list_no""",
 )
 def _(t):
     nested = reshape.nest(t.part, ["p_brand"], ["p_type", "p_size"])
     texts = F.transform("data", lambda r: F.concat(r["p_type"], F.lit(":"), r["p_size"].cast("string")))
     return nested.select(
-        "p_brand", F.array_join(texts, ", ").alias("rows_text"), F.size("data").cast("bigint").alias("n")
+        "p_brand", "list_no", F.array_join(texts, ", ").alias("rows_text"), F.size("data").cast("bigint").alias("n")
     )
 
 
 @query(
     "rsh6_nest_large_groups",
-    """SELECT l_returnflag, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS total, 1 AS within_bound
-       FROM lineitem GROUP BY l_returnflag""",
+    f"""SELECT l_returnflag, CAST(list_no AS BIGINT) AS list_no, count(*) AS n, CAST(sum(l_linenumber) AS BIGINT) AS total
+        FROM {_sql_lists('lineitem', 'l_returnflag', 'l_linestatus, l_linenumber', 500)} GROUP BY l_returnflag, list_no""",
 )
 def _(t):
     nested = reshape.nest(t.lineitem, ["l_returnflag"], ["l_linestatus", "l_linenumber"], rows_per_list=500)
-    size = F.size("data")
     inner = F.aggregate("data", F.lit(0).cast("bigint"), lambda a, r: a + r["l_linenumber"])
-    return nested.groupBy("l_returnflag").agg(
-        F.sum(size).cast("bigint").alias("n"),
-        F.sum(inner).alias("total"),
-        F.when(F.max(size) < 500 * 8, 1).otherwise(0).alias("within_bound"),
-    )
+    return nested.select("l_returnflag", "list_no", F.size("data").cast("bigint").alias("n"), inner.alias("total"))
 
 
 _COLUMNS = {

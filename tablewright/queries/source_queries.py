@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from tablewright.functions.dates import date_text
+from tablewright.operators.joins import left_join
 from tablewright.queries.registry import query
 from tablewright.session import scratch_path
 from tablewright.sources import delimited, snapshots
@@ -21,7 +22,7 @@ def _(t):
     path = scratch_path(t.spark, "documents")
     delimited.write_csv(t.documents, path)
     schema = _schema(doc_id=_LONG, text=_TEXT, lang=_TEXT, source=_TEXT, n_chars=_LONG)
-    df = delimited.read_csv(t.spark, path, schema)
+    df = delimited.read_csv(t.spark, path, schema, multi_line=True)  # texts hold line breaks
     return df.select("doc_id", F.md5("text").alias("text_md5"), "lang", "source", "n_chars")
 
 
@@ -70,9 +71,10 @@ def _(t):
 @query(
     "src4_sheet_range",
     """SELECT p_partkey, nullif(p_brand, 'Brand#2') AS p_brand, CASE WHEN p_size % 5 <> 0 THEN p_type END AS p_type
-       FROM part""",
+       FROM (SELECT *, row_number() OVER (ORDER BY p_partkey) AS rn FROM part) WHERE rn <= (SELECT count(*) // 2 FROM part)""",
 )
 def _(t):
+    """The first half of the rows and three of the columns of one sheet, as a fixed cell range."""
     df = t.part.select(
         "p_partkey",
         F.when(F.col("p_brand") == "Brand#2", F.lit("-")).otherwise(F.col("p_brand")).alias("p_brand"),
@@ -80,9 +82,19 @@ def _(t):
         "p_size",
         "p_retailprice",
     )
-    path = _write_sheet(t, df, ["Parts"])
+    half = df.count() // 2
+    path = _write_sheet(t, df.coalesce(1).sortWithinPartitions("p_partkey"), ["Parts"])
     schema = _schema(p_partkey=_LONG, p_brand=_TEXT, p_type=_TEXT, p_size=_LONG, p_retailprice=_DOUBLE)
-    return delimited.read_range(t.spark, path, skip=1, schema=schema, n_columns=3, na_tokens=["NA", "-"])
+    return delimited.read_range(t.spark, path, 1, schema, n_columns=3, n_rows=half, na_tokens=["NA", "-"])
+
+
+@query(
+    "src6_inline_table",
+    "SELECT o_orderkey, label FROM orders LEFT JOIN (VALUES ('F', 'finished'), ('O', 'open')) v(code, label) ON o_orderstatus = code",
+)
+def _(t):
+    labels = delimited.inline_table(t.spark, [("F", "finished"), ("O", "open")], ["code", "label"])
+    return left_join(t.orders.select("o_orderkey", "o_orderstatus"), labels, {"o_orderstatus": "code"}).drop("o_orderstatus")
 
 
 @query("snk1_snapshot_sink", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal >= 0")

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from tablewright.functions import dates, levels
 from tablewright.functions.names import ref
 from tablewright.operators.joins import left_join
-from tablewright.operators.reshape import flag_counts
+from tablewright.operators.reshape import flag_counts, unknown_names
 from tablewright.plans import profile, taxonomy
 from tablewright.plans.taxonomy import FLAG, flag_name, wide_name
 from tablewright.queries.registry import query
+from tablewright.sources.delimited import inline_table
 
 # Texts that a record's measures take in turn, spelt as people spell them.
 TEXTS = {
@@ -153,12 +154,36 @@ def wide_sql(numbers, measures) -> str:
     return ", ".join(cells)
 
 
+# Of several records of one entity and category, the first.
+FIRST_RECORDS = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY uID, replace(threat_num, ',', '.') ORDER BY rowID) AS rn
+    FROM ({})) WHERE rn = 1"""
+_FIRST_CODED = coded_sql(FIRST_RECORDS.format(RECORDS))
+
+
 @query(
     "dom4_taxonomy_pivot",
-    f"SELECT uID, {wide_sql(levels.CATEGORIES, taxonomy.WIDE_MEASURES)} FROM ({CODED}) GROUP BY uID",
+    f"SELECT uID, {wide_sql(levels.CATEGORIES, taxonomy.WIDE_MEASURES)} FROM ({_FIRST_CODED}) GROUP BY uID",
+)
+def _(t):
+    return taxonomy.taxonomy_pivot(records(t), ids=["uID"], order_by=["rowID"])
+
+
+@query(
+    "dom4_duplicate_records",
+    f"""SELECT uID, replace(threat_num, ',', '.') AS threat_num, count(*) AS n FROM ({RECORDS})
+        GROUP BY ALL HAVING count(*) > 1""",
 )
 def _(t):
-    return taxonomy.taxonomy_pivot(records(t), ids=["uID"])
+    return taxonomy.duplicate_records(records(t), ["uID"])
+
+
+@query(
+    "rsh1_unknown_names",
+    f"""SELECT threat_num, count(*) AS n FROM ({RECORDS})
+        WHERE threat_num NOT IN ({', '.join(f"'{n}'" for n in levels.CATEGORIES)}) GROUP BY threat_num""",
+)
+def _(t):
+    return unknown_names(records(t), "threat_num", levels.CATEGORIES)
 
 
 def _sql_fails(measure: str) -> str:
@@ -220,7 +245,7 @@ _REPAIRED = f"""SELECT p_partkey,
     FROM ({_ACTIONS})"""
 
 
-def _sql_types(column: str) -> str:
+def sql_types(column: str) -> str:
     found = ", ".join(
         f"CASE WHEN regexp_matches(lower({column}), '{'|'.join(subtypes)}') THEN '{kind}' END"
         for kind, subtypes in TAXONOMY.items()
@@ -228,10 +253,16 @@ def _sql_types(column: str) -> str:
     return f"nullif(concat_ws(', ', {found}), '')"
 
 
+def taxonomy_table(t):
+    """The types and sub-types as a table with an order, as a workbook gives them."""
+    rows = [(i, kind, subtype) for i, (kind, subtype) in enumerate((k, s) for k, v in TAXONOMY.items() for s in v)]
+    return inline_table(t.spark, rows[::-1], ["place", "kind", "subtype"])
+
+
 @query(
     "dom7_classify_list",
-    f"""SELECT *, {_sql_types('action_subtype')} AS action_type,
-               {_sql_types('"CC_action_subtype"')} AS "CC_action_type" FROM ({_REPAIRED})""",
+    f"""SELECT *, {sql_types('action_subtype')} AS action_type,
+               {sql_types('"CC_action_subtype"')} AS "CC_action_type" FROM ({_REPAIRED})""",
 )
 def _(t):
     size, tail = F.col("p_size"), F.lit("")
@@ -243,7 +274,8 @@ def _(t):
         F.when(size % 7 != 0, F.concat("p_type", predation)).alias("CC_action_subtype"),
     )
     columns = {"action_subtype": "action_type", "CC_action_subtype": "CC_action_type"}
-    return taxonomy.classify_columns(df, TAXONOMY, columns, repair_commas=["action_subtype"])
+    known = taxonomy.read_taxonomy(taxonomy_table(t), "kind", "subtype", ["place"])
+    return taxonomy.classify_columns(df, known, columns, repair_commas=["action_subtype"])
 
 
 @query(
@@ -265,16 +297,20 @@ def _(t):
 
 @query(
     "dom9_fix_date",
-    """SELECT o_orderkey, CASE WHEN o_orderkey % 6 < 5 THEN strftime(o_orderdate, '%Y-%m-%d') END AS fixed FROM orders""",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 10 < 9 THEN strftime(o_orderdate, '%Y-%m-%d') END AS fixed FROM orders""",
 )
 def _(t):
     key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
     written = (
-        F.when(key % 6 == 0, F.concat(F.lit("("), F.date_format(day, "dd-MM-yyyy"), F.lit(")")))
-        .when(key % 6 == 1, F.concat(F.lit(" "), F.date_format(day, "yyyy-MM-dd"), F.lit(" ")))
-        .when(key % 6 == 2, F.date_format(day, "d/M/yyyy"))
-        .when(key % 6 == 3, F.date_format(day, "d MMM yyyy"))
-        .when(key % 6 == 4, F.date_format(day, "yyyy.MM.dd"))
+        F.when(key % 10 == 0, F.concat(F.lit("("), F.date_format(day, "dd-MM-yyyy"), F.lit(")")))
+        .when(key % 10 == 1, F.concat(F.lit(" "), F.date_format(day, "yyyy-MM-dd"), F.lit(" ")))
+        .when(key % 10 == 2, F.date_format(day, "d/M/yyyy"))
+        .when(key % 10 == 3, F.date_format(day, "d MMM yyyy"))
+        .when(key % 10 == 4, F.date_format(day, "yyyy.MM.dd"))
+        .when(key % 10 == 5, F.date_format(day, "yyyyMMdd"))
+        .when(key % 10 == 6, F.date_format(day, "d-M-yy"))
+        .when(key % 10 == 7, F.date_format(day, "ddMMyyyy"))
+        .when(key % 10 == 8, F.date_format(day, "d MMM yy"))
         .otherwise(F.lit("in spring"))
     )
     return t.orders.select("o_orderkey", dates.date_text(dates.fix_date(written)).alias("fixed"))
@@ -288,7 +324,7 @@ def _(t):
        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
 )
 def _(t):
-    df = left_join(t.documents.select("doc_id"), t.labels, ["doc_id"], right_unique=True)
+    df = left_join(t.documents.select("doc_id"), t.labels, ["doc_id"])
     df = df.select(
         "doc_id",
         F.col("toxic").alias("threat_calculator"),
@@ -298,7 +334,7 @@ def _(t):
     return taxonomy.impute_versions(df).select("doc_id", "TC_version")
 
 
-_FLAGS = f"SELECT uID, {wide_sql(levels.CATEGORIES, [FLAG])} FROM ({CODED}) GROUP BY uID"
+_FLAGS = f"SELECT uID, {wide_sql(levels.CATEGORIES, [FLAG])} FROM ({_FIRST_CODED}) GROUP BY uID"
 
 
 def rolled_sql(parent: str) -> str:
@@ -319,7 +355,7 @@ _ROLLED = (
 
 
 def _flags(t):
-    wide = taxonomy.taxonomy_pivot(records(t), ids=["uID"], measures=[FLAG])
+    wide = taxonomy.taxonomy_pivot(records(t), ids=["uID"], measures=[FLAG], order_by=["rowID"])
     return taxonomy.rollup_parents(wide).select("uID", *[ref(flag_name(n)) for n in levels.CATEGORIES])
 
 
@@ -359,7 +395,7 @@ def parent_counts(t):
     """The flagship query: records coded, widened and rolled up, then counted per parent and segment."""
     rolled = _flags(t)
     kinds = t.customer.select(F.col("c_custkey").alias("uID"), F.col("c_mktsegment").alias("kind"))
-    named = left_join(rolled, kinds, ["uID"], right_unique=True)
+    named = left_join(rolled, kinds, ["uID"])
     tests = {n: ref(flag_name(n)) == 1 for n in levels.PARENTS}
     return flag_counts(named, ["kind"], tests, "parent").withColumn(
         "name", profile.map_values(F.col("parent"), profile.PARENT_NAMES)

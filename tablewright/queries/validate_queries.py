@@ -11,6 +11,8 @@ from tablewright.plans.taxonomy import flag_name, wide_name
 from tablewright.plans.validate import ContractRow
 from tablewright.queries.documents_view import CODED_NUMBERS, DOCUMENTS, documents_view
 from tablewright.queries.registry import query
+from tablewright.session import scratch_path
+from tablewright.sources.delimited import write_csv
 
 _DOCS = f"WITH docs AS ({DOCUMENTS})"
 ALWAYS = ("rowID", "speciesID", "doc_type", "sara_status", "url", "web_pub_date", "year_published")
@@ -276,6 +278,15 @@ CONTRACT = [
     *[ContractRow(c, values, "vals", True) for c, values in DOMAINS.items()],
     *[ContractRow(c, SUBTYPES, "vals", True) for c in validate.LOOSE_COLUMNS],
 ]
+def write_contract(spark, contract) -> str:
+    """A contract as a file, as it is kept beside the data."""
+    rows = [(r.column, ", ".join(r.values) or None, r.expectation, "1" if r.na_allowed else "0") for r in contract]
+    path = scratch_path(spark, "contract")
+    columns = "colnms string, vals string, expectation string, na_allowed string"
+    write_csv(spark.createDataFrame(rows, columns).coalesce(1), path)
+    return path
+
+
 _SQL_REPORT = (
     {("is.numeric", "common_name"): "true"}
     | {k: v for k, v in _SQL_DATES.items() if k[1] == "web_pub_date"}
@@ -296,4 +307,5 @@ _SQL_REPORT = (
 )
 def _(t):
     scopes = validate.document_requirements()
-    return validate.validation_report(documents_view(t), CONTRACT, scopes, _rules(), family="^X")
+    contract = validate.read_contract(t.spark, write_contract(t.spark, CONTRACT))
+    return validate.validation_report(documents_view(t), contract, scopes, _rules(), family="^X")

@@ -21,7 +21,7 @@ RUNTIME_SETTINGS = {
 
 
 def tuned(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session and return it."""
+    """Set a session up for this library: the runtime settings above stay set on it."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -46,12 +46,13 @@ def shared_dir(spark: SparkSession) -> str:
     return configured or current
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and go on from the written copy."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and go on from the written copy."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -44,13 +44,13 @@ def read_csv(
     path: str,
     schema: T.StructType | None = None,
     encoding: str = "UTF-8",
-    multi_line: bool = True,
+    multi_line: bool = False,
     na_tokens: Sequence[str] = (NA,),
 ) -> DataFrame:
-    """Files with a header row, whose quoted fields may span lines.
+    """Files with a header row.
 
-    Without a schema, types follow the column names. A file with multi-line fields is read by one task,
-    so large tables should be many files; with ``multi_line=False`` a file is split as well.
+    Without a schema, types follow the column names. Files are split between tasks; with
+    ``multi_line=True`` quoted fields may span lines, and a file is read by one task.
     """
     reader = spark.read.options(**_csv_options(encoding)).option("multiLine", multi_line)
     if schema is None:
@@ -69,7 +69,7 @@ def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8", mode: str = "er
 
 
 def recode_csv(
-    spark: SparkSession, source: str, target: str, encoding: str = "ISO-8859-1", multi_line: bool = True
+    spark: SparkSession, source: str, target: str, encoding: str = "ISO-8859-1", multi_line: bool = False
 ) -> None:
     """Rewrite files of another encoding as UTF-8, all values as text."""
     reader = spark.read.options(**_csv_options(encoding)).option("multiLine", multi_line)
@@ -97,11 +97,21 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def header_names(spark: SparkSession, path: str, skip: int) -> list[str]:
-    """The header below the banner rows; of several files, which must agree, the first one's."""
-    headers = numbered_lines(spark, path).filter(F.col("line_no") == skip).select("value").distinct()
-    found = [row["value"] for row in headers.limit(2).collect()]
+    """The header below the banner rows; of several files, which must agree, the first one's.
+
+    Only the first split of each file is read, and of it one line is kept; a header further down than the
+    first split is an error.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    )
+    first = lines.filter("block = 0").withColumn("place", F.monotonically_increasing_id())
+    start = first.groupBy("file").agg(F.min(F.struct("place")).alias("start")).select("file", "start.place")
+    wanted = start.select(F.col("file").alias("of"), (F.col("place") + F.lit(skip)).alias("at"))
+    headers = first.join(wanted, (F.col("file") == F.col("of")) & (F.col("place") == F.col("at"))).select("value").distinct()
+    found = [row["value"] for row in headers.limit(2).collect()]  # two are enough to see that they differ
     if len(found) != 1:
-        raise ValueError(f"expected one header after {skip} rows, found {len(found)}")
+        raise ValueError(f"expected one header after {skip} rows, found {'none' if not found else 'several'}")
     return next(csv.reader(found))
 
 

@@ -79,7 +79,7 @@ def main() -> int:
     sf_dir = os.path.join("/root/testdata", f"sf{args.sf}")
     spark = session()
     failed = 0
-    for name in args.names or entry_points.queries():
+    for name in args.names or entry_points.oracle_sql():
         started = time.time()
         try:
             problem = compare(spark, name, sf_dir)

@@ -34,9 +34,15 @@ def test_null_safe_joins(left, right):
     assert rows(joins.anti_join(left, right, ["k"]).select("n")) == [("c",)]
 
 
-def test_left_join_unique_and_composed_agree(left, right):
-    once = right.filter("v <> 12")
-    assert rows(joins.left_join(left, once, ["k"], right_unique=True)) == rows(joins.left_join(left, once, ["k"]))
+def test_plain_and_composed_joins_agree(left, right):
+    for join in (joins.left_join, joins.full_join, joins.coalesce_join):
+        assert rows(join(left, right, ["k"])) == rows(join(left, right, ["k"], hot_right=True))
+
+
+def test_keys_with_earlier(spark):
+    x = spark.createDataFrame([(1, 5), (1, 2), (2, 9), (None, 1)], "k int, y int")
+    y = spark.createDataFrame([(1, 3), (1, 8), (None, 1)], "k int, z int")
+    assert rows(joins.keys_with_earlier(x, y, ["k"], "y", "z")) == sorted([(1, 5), (None, 1)], key=repr)
 
 
 def test_coalesce_join(left, right):
@@ -76,18 +82,20 @@ def test_rows_update_and_patch(spark, left):
 
 def test_change_checks(spark, left):
     twice = spark.createDataFrame([(1, 1), (1, 2)], "k int, v int")
-    with pytest.raises(ValueError, match="not unique"):
-        changes.rows_update(left, twice, ["k"])
+    with pytest.raises(Exception, match="not unique, e.g. 1"):
+        changes.rows_update(left, twice, ["k"]).collect()
     unknown = spark.createDataFrame([(77, 1)], "k int, v int")
-    with pytest.raises(ValueError, match="not in the table"):
-        changes.rows_patch(left, unknown, ["k"])
-    with pytest.raises(ValueError, match="not in the table"):
-        changes.rows_delete(left, unknown, ["k"])
+    with pytest.raises(Exception, match="not in the table, e.g. 77"):
+        changes.rows_patch(left, unknown, ["k"]).collect()
+    with pytest.raises(Exception, match="not in the table, e.g. 77"):
+        changes.rows_delete(left, unknown, ["k"]).collect()
+    with pytest.raises(Exception, match="not unique"):
+        changes.rows_insert(left, spark.createDataFrame([(8, 1), (8, 2)], "k int, v int"), ["k"]).collect()
     assert changes.rows_update(left, unknown, ["k"], unmatched="ignore").count() == 3
     with pytest.raises(ValueError, match="the table lacks"):
         changes.rows_update(left, unknown.withColumn("z", F.lit(1)), ["k"])
-    with pytest.raises(ValueError, match="already in the table"):
-        changes.rows_insert(left, spark.createDataFrame([(None, 1)], "k int, v int"), ["k"])
+    with pytest.raises(Exception, match="already in the table, e.g. null"):
+        changes.rows_insert(left, spark.createDataFrame([(None, 1)], "k int, v int"), ["k"]).collect()
     assert changes.rows_insert(left, twice, ["k"], conflict="ignore").count() == 3
 
 
@@ -119,8 +127,21 @@ def test_route_changes(spark):
         [(1, None, "q"), (2, "B", "NE"), (4, "d", "w"), (5, None, "r")], key=repr
     )
     again = batch.filter("k = 1").unionByName(batch.filter("k = 1"))
-    with pytest.raises(ValueError, match="not unique"):
-        changes.route_changes(table, again, ["k"])
+    with pytest.raises(Exception, match="not unique"):
+        changes.route_changes(table, again, ["k"]).collect()
+    with pytest.raises(Exception, match="not in the table, e.g. 9"):
+        changes.route_changes(table, batch.filter("k = 1").withColumn("k", F.lit(9)), ["k"]).collect()
+
+
+def test_building_changes_runs_no_job(spark, left):
+    batch = spark.createDataFrame([(1, 5)], "k int, v int")
+    spark.sparkContext.setJobGroup("building", "plans only")
+    changes.rows_update(left, batch, ["k"])
+    changes.rows_patch(left, batch, ["k"])
+    changes.rows_insert(left, batch, ["k"])
+    changes.rows_delete(left, batch, ["k"])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext._jsc.clearJobGroup()
 
 
 def test_latest_in_group(spark):
@@ -154,10 +175,13 @@ def test_sequence_ids(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"), (F.col("id") % 3).alias("g"))
     out = grouped.sequence_ids(df, ["k"], "row_id", 500)
     assert [tuple(r) for r in out.orderBy("k").select("k", "row_id").collect()] == [(i, 500 + i) for i in range(1000)]
-    within = grouped.sequence_ids(df, ["k"], "row_id", 1, within=["g"], partitions=5)
+    within = grouped.sequence_ids(df, ["k"], "row_id", 1, within=["g"], rows_per_range=100)
     per_group = within.groupBy("g").agg(F.min("row_id"), F.max("row_id"), F.countDistinct("row_id"), F.count("*"))
     assert all(r[1] == 1 and r[2] == r[3] == r[4] for r in per_group.collect())
     assert grouped.next_id(df, "k") == 1000
+    hot = df.withColumn("k", F.when(F.col("k") % 3 == 0, 1).otherwise(F.col("k")))
+    with pytest.raises(ValueError, match="does not identify a row: one value is held by 335 rows"):
+        grouped.sequence_ids(hot, ["k"], "row_id")
 
 
 def test_distinct_keep_first(spark):
@@ -171,23 +195,25 @@ def test_distinct_keep_first(spark):
 def test_aggregates(spark):
     df = spark.createDataFrame([(1, "a, b"), (1, None), (None, "b")], "k int, v string")
     assert rows(aggregates.duplicate_keys(df, ["k"])) == [(1, 2)]
-    with pytest.raises(ValueError, match="not unique"):
-        aggregates.require_unique(df, ["k"])
+    with pytest.raises(Exception, match="the table are not unique, e.g. 1"):
+        aggregates.unique_or_error(df, ["k"]).collect()
+    assert rows(aggregates.unique_or_error(df, ["k", "v"])) == rows(df)
     assert aggregates.n_distinct(df, ["k"]).first()[0] == 2
     assert rows(aggregates.distinct_values(df, "v", ", ")) == sorted([("a",), ("b",), (None,)], key=repr)
     assert rows(aggregates.null_counts(df, ["k", "v"], F.col("k") == 1)) == [("v", 1)]
 
 
-def test_string_agg_checks_its_bound(spark):
-    df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (None, "c"), (2, None)], "k int, v string")
-    assert rows(aggregates.string_agg(df, ["k"], "v")) == sorted([(1, "a, b"), (None, "c"), (2, "")], key=repr)
-    with pytest.raises(Exception, match="more than 1 values"):
-        aggregates.string_agg(df, ["k"], "v", at_most=1).collect()
+def test_string_agg(spark):
+    df = spark.createDataFrame([(1, "x", 1), (1, "x", 2), (1, "b", 3), (None, "c", 1), (2, None, 1)], "k int, v string, o int")
+    kept = aggregates.string_agg(df, ["k"], "v", order_by=["o"])
+    assert rows(kept) == sorted([(1, "x, x, b"), (None, "c"), (2, "NA")], key=repr)
+    once = aggregates.string_agg(df, ["k"], "v", "' ", distinct=True, null_text=None)
+    assert rows(once) == sorted([(1, "b' x"), (None, "c"), (2, "")], key=repr)
 
 
 def test_pivot_keeps_nulls_and_fills_absent_cells(spark):
     df = spark.createDataFrame(
-        [("x", "1", None, "c"), ("x", "1.1", 2.0, None), ("y", "1", 1.0, "d"), ("z", "77", 1.0, "e")],
+        [("x", "1", None, "c"), ("x", "1.1", 2.0, None), ("y", "1", 1.0, "d"), ("z", None, 1.0, "e")],
         "id string, num string, flag double, note string",
     )
     out = reshape.pivot_wider(
@@ -199,6 +225,10 @@ def test_pivot_keeps_nulls_and_fills_absent_cells(spark):
         ("y", 1.0, 0.0, "d", None),
         ("z", 0.0, 0.0, None, None),
     ]
+    more = df.unionByName(df.withColumn("num", F.lit("77")))
+    with pytest.raises(Exception, match="not in the vocabulary: 77"):
+        reshape.pivot_wider(more, ["id"], "num", ["1", "1.1"], {"flag": F.max("flag")}).collect()
+    assert rows(reshape.unknown_names(more, "num", ["1", "1.1"])) == [("77", 4)]
 
 
 def test_lists_and_rows(spark):
@@ -217,9 +247,10 @@ def test_nest_splits_large_groups_without_loss(spark):
         F.when(F.col("id") < 700, 0).otherwise(F.col("id")).alias("v"),
     )
     out = reshape.nest(df, ["g"], ["v"], rows_per_list=50).collect()
-    assert max(len(r["data"]) for r in out) <= 50 * 4
+    assert max(len(r["data"]) for r in out) == 50
     held = Counter((r["g"], item["v"]) for r in out for item in r["data"])
     assert held == Counter((r["g"], r["v"]) for r in df.collect())
+    assert sorted((r["g"], r["list_no"]) for r in out) == [("cold", i) for i in range(2)] + [("hot", i) for i in range(18)]
     assert [len(r["data"]) for r in reshape.nest(df, ["g"], ["v"]).collect() if r["g"] == "hot"] == [900]
 
 
@@ -255,7 +286,9 @@ def test_hot_keys(spark):
         assert joins.left_join(x, small, ["k"]).agg(F.count("*"), F.count("v")).first()[:] == (
             n, sum(k in in_small for k, _, _ in local)
         )
-        assert joins.full_join(small, x, ["k"]).filter("id is not null").count() == n
+        assert joins.full_join(small, x, ["k"], hot_right=True).filter("id is not null").count() == n
+        hot = joins.left_join(small, x, ["k"], hot_right=True)
+        assert hot.filter("id is not null").count() == sum(k in in_small for k, _, _ in local)
         best: dict = {}
         for k, _, y in local:
             best[k] = max(best.get(k, 0), y)
@@ -274,8 +307,8 @@ def test_csv_round_trip(spark):
     df = spark.createDataFrame(values, "rowID int, t string, u string")
     delimited.write_csv(df, path)
     schema = T.StructType([T.StructField("rowID", T.IntegerType()), T.StructField("t", T.StringType()), T.StructField("u", T.StringType())])
-    assert rows(delimited.read_csv(spark, path, schema)) == sorted(values, key=repr)
-    inferred = delimited.read_csv(spark, path)
+    assert rows(delimited.read_csv(spark, path, schema, multi_line=True)) == sorted(values, key=repr)
+    inferred = delimited.read_csv(spark, path, multi_line=True)
     assert dict(inferred.dtypes) == {"rowID": "double", "t": "string", "u": "string"}
     with pytest.raises(Exception, match="already exists"):
         delimited.write_csv(df, path)

@@ -60,10 +60,23 @@ def test_rollup_parents(records):
 
 
 def test_read_taxonomy(spark):
-    table = spark.createDataFrame([("b", "x"), ("a", "y"), ("b", "z")], "kind string, subtype string").coalesce(1)
-    assert taxonomy.read_taxonomy(table, "kind", "subtype") == {"b": ["x", "z"], "a": ["y"]}
-    with pytest.raises(ValueError, match="more than 2 rows"):
-        taxonomy.read_taxonomy(table, "kind", "subtype", at_most=2)
+    table = spark.createDataFrame([(3, "b", "z"), (1, "b", "x"), (2, "a", "y")], "place int, kind string, subtype string")
+    assert taxonomy.read_taxonomy(table, "kind", "subtype", ["place"]) == {"b": ["x", "z"], "a": ["y"]}
+
+
+def test_duplicate_records(spark, records):
+    other = spark.createDataFrame(
+        [(1, "1.1", "Low", "Small", "Slight", "Low", "b", "D"), (3, "12.1", "Low", "Small", "Slight", "Low", "b", "E")], RECORD
+    )
+    both = records.unionByName(other.filter("uID = 1"))
+    assert rows(taxonomy.duplicate_records(both, ["uID"])) == [(1, "1.1", 2)]
+    with pytest.raises(Exception, match="are not unique, e.g. 1, 1.1"):
+        taxonomy.taxonomy_pivot(both, ["uID"]).collect()
+    first = taxonomy.taxonomy_pivot(both, ["uID"], order_by=["impact_code"]).filter("uID = 1").first()
+    # The whole first record, its null severity included.
+    assert (first["X1.1_iucn_scope"], first["X1.1_iucn_severity"], first["X1.1_iucn_comments"]) == (4.0, None, "c1")
+    with pytest.raises(Exception, match="not in the vocabulary: 12.1"):
+        taxonomy.taxonomy_pivot(records.unionByName(other.filter("uID = 3")), ["uID"]).collect()
 
 
 def test_completeness_report(spark):
@@ -96,8 +109,8 @@ def test_reconcile_registry_needs_a_unique_registry(spark):
     out = reconcile.reconcile_registry(table, registry, "name", "rname", "grp", ["v"], F.col("y") == F.col("y2"))
     assert [(r["name"], r["grp"], r["large_group"], r["v"]) for r in out.collect()] == [("a-b", "Birds", "Birds", "r1")]
     twice = registry.unionByName(registry)
-    with pytest.raises(ValueError, match="registry are not unique"):
-        reconcile.reconcile_registry(table, twice, "name", "rname", "grp", ["v"], F.lit(True))
+    with pytest.raises(Exception, match="registry are not unique"):
+        reconcile.reconcile_registry(table, twice, "name", "rname", "grp", ["v"], F.lit(True)).collect()
 
 
 def test_add_missing_from_registry(spark):
@@ -193,11 +206,11 @@ def test_report_raises(document):
 
 
 def test_read_contract(spark, tmp_path):
-    text = 'colnms,vals,expectation,na_allowed\nfinal,"1, 0, NA",vals,0\nnotes,"a\n\nb, c",is.character,1\nsingle,NA,vals,1\n'
+    text = 'colnms,vals,expectation,na_allowed\nfinal,"1, 0, NA",vals,0\nnotes,"a b, c",is.character,1\nsingle,NA,vals,1\n'
     (tmp_path / "contract.csv").write_text(text)
     assert validate.read_contract(spark, str(tmp_path / "contract.csv")) == [
         ContractRow("final", ("1", "0", "NA"), "vals", False),
-        ContractRow("notes", ("a\n\nb", "c"), "is.character", True),
+        ContractRow("notes", ("a b", "c"), "is.character", True),
         ContractRow("single", ("NA",), "vals", True),
     ]
 
