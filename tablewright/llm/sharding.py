@@ -85,8 +85,12 @@ def _along(dimension: Column) -> Column:
 
 
 def _small(rows: DataFrame, table: list[tuple], schema: str) -> DataFrame:
-    """A table with a row for each open node, at most one per shard; Spark sees its size."""
-    return rows.sparkSession.createDataFrame(table, schema)
+    """A table with a row for each open node, at most one per shard, as literals: Spark knows its size."""
+    columns = [c.split() for c in schema.split(", ")]
+    values = ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else repr(v) for v in row) + ")" for row in table)
+    names = ", ".join(f"`{name}`" for name, _ in columns)
+    text = f"SELECT {', '.join(f'CAST(`{n}` AS {kind}) AS `{n}`' for n, kind in columns)} FROM VALUES {values} AS t({names})"
+    return rows.sparkSession.sql(text)
 
 
 def _quantiles(rows: DataFrame, wanted: dict[int, tuple[str, float]], slack: float) -> dict[int, int]:
