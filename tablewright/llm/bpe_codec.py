@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tablewright.llm.bpe import Vocabulary, vocabulary
-from tablewright.llm.shared import text_or_empty
+from tablewright.llm.shared import in_pandas, text_or_empty
 
 # Words whose ids a worker keeps, and the longest of them; symbols of one round.
 REMEMBERED, REMEMBERED_LENGTH, SYMBOLS = 300_000, 64, 1 << 20
@@ -121,7 +121,7 @@ def encoded(df: DataFrame, path: str, id_column: str = "doc_id", text: str = "te
             yield pd.DataFrame({"id": batch["id"], "ids": ids})
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(encode, f"id {kind}, ids array<int>").withColumnRenamed("id", id_column)
+    return in_pandas(rows, encode, f"id {kind}, ids array<int>").withColumnRenamed("id", id_column)
 
 
 def decoded(df: DataFrame, path: str, id_column: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -135,7 +135,7 @@ def decoded(df: DataFrame, path: str, id_column: str = "doc_id", ids: str = "ids
             yield pd.DataFrame({"id": batch["id"], "text": texts})
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(decode, f"id {kind}, text string").withColumnRenamed("id", id_column)
+    return in_pandas(rows, decode, f"id {kind}, text string").withColumnRenamed("id", id_column)
 
 
 def round_trip(df: DataFrame, path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -157,4 +157,4 @@ def round_trip(df: DataFrame, path: str, id_column: str = "doc_id", text: str =
 
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return rows.mapInPandas(digests, schema).withColumnRenamed("id", id_column)
+    return in_pandas(rows, digests, schema).withColumnRenamed("id", id_column)

@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tablewright.llm.shared import packed, same, text_or_empty, written
+from tablewright.llm.shared import in_pandas, packed, same, text_or_empty, written
 
 # Production parameters.
 LANGUAGES = ("de", "en", "es", "fr")
@@ -88,7 +88,7 @@ def fit(rows: DataFrame, languages: Sequence[str], train_rows: int = TRAIN_ROWS)
         language, bucket = np.nonzero(sums)
         yield pd.DataFrame({"language": language, "bucket": bucket, "n": sums[language, bucket]})
 
-    partial = rows.filter(taken).select("declared", "body").mapInPandas(count, "language int, bucket int, n bigint")
+    partial = in_pandas(rows.filter(taken).select("declared", "body"), count, "language int, bucket int, n bigint")
     model = np.full((BUCKETS, len(languages)), 0.5)
     for r in partial.groupBy("language", "bucket").agg(F.sum("n").alias("n")).collect():  # at most a row per cell
         model[r["bucket"], r["language"]] += r["n"]
@@ -113,7 +113,7 @@ def _scored(rows: DataFrame, model: np.ndarray) -> DataFrame:
             yield batch.drop(columns="body").assign(grams=grams, means=means)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
-    return rows.mapInPandas(score, f"{schema}, grams bigint, means array<double>")
+    return in_pandas(rows, score, f"{schema}, grams bigint, means array<double>")
 
 
 def _parent(host: Column) -> Column:

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tablewright.llm.components import components
-from tablewright.llm.shared import written
+from tablewright.llm.shared import in_pandas, workers_find_package, written
 
 # Residents of a cell before it is cut, pivots for a cut, residents and members of a block.
 CELL, PIVOTS, BLOCK = 4096, 8, 2048
@@ -66,7 +66,7 @@ def _split(cells: DataFrame, pivots: DataFrame, reach: float) -> DataFrame:
                 yield rows.drop(columns="pivots").assign(cell=[f"{cell}.{p}" for p in pivot], resident=resident)
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cells.schema.fields)
-    return cells.join(pivots, "cell").select(*cells.columns, "pivots").mapInPandas(deal, schema)
+    return in_pandas(cells.join(pivots, "cell").select(*cells.columns, "pivots"), deal, schema)
 
 
 def _work(cells: DataFrame) -> DataFrame:
@@ -150,6 +150,7 @@ def _links(cells: DataFrame, cosine: float) -> DataFrame:
         found = pd.DataFrame({"node": a, "links": sums, "other": None})[sums > 0]
         return pd.concat([found, pd.DataFrame({"node": edges[:, 0], "links": None, "other": edges[:, 1]})])
 
+    workers_find_package(cells)
     return one.unionByName(two).groupBy("cell", "d", "a").applyInPandas(join, "node bigint, links bigint, other bigint")
 
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tablewright.llm.bpe import Vocabulary, vocabulary
-from tablewright.llm.shared import text_or_empty
+from tablewright.llm.shared import in_pandas, text_or_empty
 
 # Words whose counts a worker keeps, and the longest of them: together the bound of its memory.
 REMEMBERED, REMEMBERED_LENGTH = 300_000, 64
@@ -91,7 +91,7 @@ def token_counts(
             yield pd.DataFrame({"id": batch["id"], "n_bytes": [len(b.encode()) for b in batch["body"]], "n_tokens": tokens})
 
     kind = rows.schema["id"].dataType.simpleString()
-    out = rows.mapInPandas(count, f"id {kind}, n_bytes bigint, n_tokens bigint")
+    out = in_pandas(rows, count, f"id {kind}, n_bytes bigint, n_tokens bigint")
     return out.select(
         F.col("id").alias(id_column), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
