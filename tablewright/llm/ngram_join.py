@@ -3,19 +3,23 @@
 Two documents link if 100 * common >= 75 * union of their sets of five-word shingles. The document by shingle matrix is
 multiplied with its transpose in blocks, and only where a link can be:
 
-- Columns are put in one order for all: shingles found to be very frequent last, others by hash. A document's entries
-  in its first ``n - ceil(0.75 n) + 1`` columns must meet those of every document it links with, so only these are
-  written as (column, document) and only columns met by two different documents become blocks. Documents with the same
-  set are one (a class): a task passes on its first of a class.
-- Within a block a pair must pass bounds derived from the sizes: the smaller set has 0.75 of the larger, and the
-  documents' parity bitmaps (4 to 8 bits per shingle) must not differ in more bits than the sizes let the sets differ.
-  No linked pair fails these; few others pass.
-- Overlaps of pairs that pass are counted from the whole sets, and decide.
-
-Pairs inside a group are never all made. Forest rounds first: blocks, cut into parts of ``PART`` documents, give
-edges of a spanning forest only; verified edges make components; a block's components each send one document to the
-next round, until no round finds a link. Blocks that still hold several components are then compared whole, part by
-part, between different components only, and every pair that passes the bounds is verified. So a link can be missing
+- Columns are put in one order for all: shingles found to be very frequent last, others by hash. Of two linked
+  documents the larger has a common column among its first ``n - ceil(0.75 n) + 1``, and there the smaller one has it
+  among its first ``n - ceil(6/7 n) + 1`` ("early"), since the sizes bound the overlap from below. So only a document's
+  first columns are written, as (column, document), and only columns that an early document shares with one of at
+  least its size become blocks. Blocks with the same members become one. Documents with the same set are one (a
+  class): a task passes on its first of a class.
+- Within a block a pair must pass bounds derived from the sizes: the smaller set is early and has 0.75 of the larger,
+  and the documents' parity bitmaps (4 to 8 bits per shingle) must not differ in more bits than the sizes let the sets
+  differ. No linked pair fails these; few others pass.
+- Overlaps of pairs that pass are counted from the whole sets, and decide. Sets are made again from the texts of such
+  documents; a bit filter of fixed size keeps most other texts out of the shuffle, and may be full without harm.
+
+Pairs inside a group are never all made. Forest rounds come first: every document (later every component) goes to
+``CHOSEN`` of its blocks, those with the least hashes, so that near copies meet; blocks, cut into parts of ``PART``
+documents, give edges of a spanning forest only, verified edges make components, and blocks within one component are
+done with. When a round finds fewer than ``WORTHWHILE`` links, the blocks that still hold several components are
+compared whole, part by part, between different components only, and every pair that passes the bounds is verified. So a link can be missing
 only inside a component, where it changes nothing.
 
 Frequent shingles are found by counting all shingles in each task with a bounded table (error: the task's shingles /
@@ -36,10 +40,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tablewright.llm.components import components
-from tablewright.llm.shared import packed, same, text_or_empty, written
+from tablewright.llm.shared import in_pandas, packed, same, text_or_empty, written
 from tablewright.llm.shingles import mixed, shingle_sets
 
-PERCENT, HOT_SHARE, COUNTERS, PART, SEEN = 75, 0.002, 1 << 18, 1024, 1 << 18
+PERCENT, HOT_SHARE, COUNTERS, PART, CHOSEN, WORTHWHILE, SEEN = 75, 0.002, 1 << 18, 1024, 3, 100, 1 << 18
+# Bits of the filter on documents whose sets are wanted again: 8 MB, whatever the number of documents.
+FILTER_BITS = 1 << 26
 _U = np.uint64
 
 
@@ -52,6 +58,11 @@ def prefix_length(n: int) -> int:
     return n - -(-PERCENT * n // 100) + 1 if n else 0
 
 
+def early_length(n: int) -> int:
+    """As ``prefix_length``, for a partner that is not smaller."""
+    return n - least_overlap(2 * n) + 1 if n else 0
+
+
 def set_marks(items: np.ndarray) -> tuple[int, int]:
     """128 bits that stand for a set."""
     with np.errstate(over="ignore"):
@@ -114,8 +125,7 @@ def _described(rows: DataFrame) -> DataFrame:
         yield made.assign(id=None, key=None, n=None, mark=None, mark2=None, bits=None)[names]
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(
-        describe, f"id {kind}, key bigint, n bigint, mark bigint, mark2 bigint, bits binary, hot bigint, times bigint"
+    return in_pandas(rows, describe, f"id {kind}, key bigint, n bigint, mark bigint, mark2 bigint, bits binary, hot bigint, times bigint"
     )
 
 
@@ -125,7 +135,7 @@ def _node(marks: tuple[int, int], twins: frozenset[int]) -> int:
 
 
 def _entries(rows: DataFrame, hot: np.ndarray, twins: frozenset[int]) -> DataFrame:
-    """(``node``, ``columns``): each class's entries in its first columns."""
+    """(``node``, ``n``, ``early``, ``columns``): each class's first columns, the first ``early`` of them early."""
 
     def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
@@ -142,19 +152,20 @@ def _entries(rows: DataFrame, hot: np.ndarray, twins: frozenset[int]) -> DataFra
                 if len(hot):
                     late = hot[np.minimum(np.searchsorted(hot, items), len(hot) - 1)] == items
                     items = np.concatenate([items[~late], items[late]])
-                out.append((node, items[: prefix_length(len(items))].astype(np.int64)))
-            yield pd.DataFrame(out, columns=["node", "columns"])
+                n = len(items)
+                out.append((node, n, early_length(n), items[: prefix_length(n)].astype(np.int64)))
+            yield pd.DataFrame(out, columns=["node", "n", "early", "columns"])
 
-    return rows.select("body").mapInPandas(first, "node bigint, columns array<bigint>")
+    return in_pandas(rows.select("body"), first, "node bigint, n bigint, early int, columns array<bigint>")
 
 
 class Member:
     """A document of a block."""
 
-    __slots__ = ("node", "n", "component", "side", "raw", "_bits")
+    __slots__ = ("node", "n", "early", "component", "side", "raw", "_bits")
 
-    def __init__(self, node: int, n: int, component: int, side: int, raw: bytes):
-        self.node, self.n, self.component, self.side, self.raw = node, n, component, side, raw
+    def __init__(self, node: int, n: int, early: bool, component: int, side: int, raw: bytes):
+        self.node, self.n, self.early, self.component, self.side, self.raw = node, n, early, component, side, raw
         self._bits: dict[int, int] = {}
 
     def bits(self, width: int) -> int:
@@ -170,10 +181,11 @@ class Member:
 
 
 def may_link(x: Member, y: Member) -> bool:
-    sizes = x.n + y.n
-    if 100 * min(x.n, y.n) < PERCENT * max(x.n, y.n):
+    if x.n > y.n:
+        x, y = y, x
+    if 100 * x.n < PERCENT * y.n or not (x.early or x.n == y.n and y.early):
         return False
-    width = 8 * min(len(x.raw), len(y.raw))
+    width, sizes = 8 * len(x.raw), x.n + y.n
     return (x.bits(width) ^ y.bits(width)).bit_count() <= sizes - 2 * least_overlap(sizes)
 
 
@@ -209,12 +221,13 @@ def crossing(members: list[Member]) -> Iterator[tuple[int, int]]:
 
 
 def _block_edges(blocks: DataFrame, found: Callable[[list[Member]], Iterator[tuple[int, int]]]) -> DataFrame:
-    """Edges of each block part; ``blocks`` has (block, part, node, n, component, side, bits)."""
+    """Edges of each block part; ``blocks`` has (block, part, node, n, early, component, side, bits)."""
+    names = ["block", "part", "node", "n", "early", "component", "side", "bits"]
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows():
             for batch in batches:
-                yield from zip(*[batch[c].tolist() for c in ("block", "part", "node", "n", "component", "side", "bits")], strict=True)
+                yield from zip(*[batch[c].tolist() for c in names], strict=True)
 
         out: list[tuple[int, int]] = []
         for _, group in groupby(rows(), key=lambda r: r[:2]):
@@ -224,8 +237,8 @@ def _block_edges(blocks: DataFrame, found: Callable[[list[Member]], Iterator[tup
                 out = []
         yield pd.DataFrame(sorted(set(out)), columns=["a", "b"])
 
-    placed = blocks.repartition("block", "part").sortWithinPartitions("block", "part")
-    return placed.mapInPandas(each, "a bigint, b bigint").distinct()
+    placed = blocks.select(names).repartition("block", "part").sortWithinPartitions("block", "part")
+    return in_pandas(placed, each, "a bigint, b bigint").distinct()
 
 
 def _verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
@@ -242,23 +255,41 @@ def _verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
 
     one = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     two = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
-    return edges.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInPandas(check, "a bigint, b bigint")
+    return in_pandas(edges.join(one, "a").join(two, "b").select("a", "b", "x", "y"), check, "a bigint, b bigint")
+
+
+def _filter(wanted: DataFrame) -> np.ndarray:
+    """Two bits for each wanted document, in words of 64."""
+    places = F.array(*[F.pmod(F.xxhash64(F.lit(i), "at_id", "at_key"), F.lit(FILTER_BITS)) for i in (0, 1)])
+    at = wanted.select(F.explode(places).alias("at"))
+    bit = F.expr("shiftleft(1L, cast(pmod(at, 64) as int))")
+    words = at.groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(bit).alias("bits"))
+    out = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    for r in words.collect():  # at most as many as there are words
+        out[r["word"]] = r["bits"]
+    return out.view(np.uint64)
 
 
-def _sets(rows: DataFrame, classes: DataFrame, nodes: DataFrame, twins: frozenset[int]) -> DataFrame:
-    """(node, items) of some classes, read again from the text of a document of each."""
+def _sets(rows: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, items) of some classes, made again from the text of a document of each."""
     wanted = classes.join(nodes, "node").select("node", F.col("first.id").alias("at_id"), F.col("first.key").alias("at_key"))
-    here = same([F.col("id"), F.col("key")], [F.col("at_id"), F.col("at_key")])
-    bodies = rows.join(wanted.hint("merge"), here).select("node", "body")
+    wanted = written(wanted, "ngram-wanted")
+    words = _filter(wanted)
+    places = [F.pmod(F.xxhash64(F.lit(i), "id", "key"), F.lit(FILTER_BITS)).alias(f"place{i}") for i in (0, 1)]
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = list(shingle_sets(list(batch["body"])))
-            right = [_node(set_marks(x), twins) == node for x, node in zip(sets, batch["node"], strict=True)]
-            made = pd.DataFrame({"node": batch["node"], "items": [x.astype("<u8").tobytes() for x in sets]})
-            yield made[right]
+            hit = np.ones(len(batch), dtype=bool)
+            for at in (batch["place0"].to_numpy(), batch["place1"].to_numpy()):
+                hit &= (words[at >> 6] >> (at & 63).astype(np.uint64)) & _U(1) == 1
+            found = batch.loc[hit, ["id", "key"]]
+            sets = shingle_sets(list(batch.loc[hit, "body"]))
+            yield found.assign(items=[x.astype("<u8").tobytes() for x in sets])
 
-    return bodies.mapInPandas(whole, "node bigint, items binary")
+    kind = rows.schema["id"].dataType.simpleString()
+    made = in_pandas(rows.select("id", "key", "body", *places), whole, f"id {kind}, key bigint, items binary")
+    here = same([F.col("id"), F.col("key")], [F.col("at_id"), F.col("at_key")])
+    return made.join(wanted, here).select("node", "items")
 
 
 def _in_parts(members: DataFrame, pairs: bool) -> DataFrame:
@@ -272,15 +303,36 @@ def _in_parts(members: DataFrame, pairs: bool) -> DataFrame:
     return cut.withColumn("part", number).withColumn("side", (F.col("own") > F.col("other")).cast("int"))
 
 
-def _open(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Members of blocks that hold more than one component, with their components."""
+def _open(blocks: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Rows of blocks that hold more than one component, with their components."""
     if labels is None:
-        return members.withColumn("component", F.col("node"))
-    labelled = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        return blocks.withColumn("component", F.col("node"))
+    labelled = blocks.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = labelled.groupBy("block").agg(F.min("component").alias("c"), F.max("component").alias("d"))
     return labelled.join(written(several.filter("c <> d").select("block"), "ngram-open"), "block")
 
 
+def _chosen(live: DataFrame, turn: int) -> DataFrame:
+    """One row of each component in ``CHOSEN`` of its blocks."""
+    one = live.groupBy("component", "block").agg(F.min(F.struct("node", "n", "early")).alias("x"))
+    one = written(one, "ngram-delegates")
+    picks = [F.min_by("block", F.xxhash64(F.lit(turn * CHOSEN + k), "block")).alias(f"b{k}") for k in range(CHOSEN)]
+    picked = one.groupBy("component").agg(*picks)
+    picked = picked.select("component", F.explode(F.array_distinct(F.array(*[f"b{k}" for k in range(CHOSEN)]))).alias("block"))
+    return one.join(picked, ["component", "block"]).select("block", "component", "x.*")
+
+
+def _merged_blocks(met: DataFrame) -> DataFrame:
+    """Blocks with the same members as one; ``met`` has (block, node, n, early). A member is early if it is in any."""
+    rows = written(met, "ngram-met")
+    marks = F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")
+    marked = written(rows.groupBy("block").agg(F.count(F.lit(1)).alias("m"), *marks).filter("m > 1"), "ngram-marks")
+    first = marked.groupBy("m", "x", "y").agg(F.min("block").alias("first"))
+    named = marked.join(first, ["m", "x", "y"]).select("block", "first")
+    merged = rows.join(named, "block").groupBy(F.col("first").alias("block"), "node")
+    return written(merged.agg(F.max("n").alias("n"), F.max("early").alias("early")), "ngram-blocks")
+
+
 def near_groups(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: id, ``n_shingles`` (set size), ``component_id`` (smallest id reachable by links) and ``text_key``
     (64-bit hash of the text, which tells rows of one id apart)."""
@@ -302,45 +354,40 @@ def near_groups(df: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     twins = frozenset(r["mark"] for r in shared)
     classes = classes.withColumn("node", F.when(F.col("mark").isin(*twins), F.col("mark2")).otherwise(F.col("mark")) if twins else F.col("mark"))
 
-    entries = _entries(rows, hot, twins).select("node", F.explode("columns").alias("block"))
-    column = Window.partitionBy("block")
+    entries = _entries(rows, hot, twins)
+    entries = entries.select("node", "n", "early", F.posexplode("columns").alias("place", "block"))
+    # Size and earliness in one number: rows are many.
+    entries = entries.select("block", "node", (F.col("n") * 2 + (F.col("place") < F.col("early")).cast("int")).alias("what"))
+    column, n, early = Window.partitionBy("block"), F.expr("what div 2"), F.col("what") % 2 == 1
     met = entries.withColumn("a", F.min("node").over(column)).withColumn("b", F.max("node").over(column))
-    blocks = written(met.filter("a <> b").select("block", "node").distinct(), "ngram-blocks")
-    # Of blocks with the same members, one.
-    marks = F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")
-    one = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("m"), *marks).groupBy("m", "x", "y").agg(F.min("block").alias("block"))
-    blocks = blocks.join(written(one.select("block"), "ngram-kept"), "block")
-    members = written(blocks.join(classes.select("node", "n", "bits"), "node"), "ngram-members")
+    met = met.withColumn("least", F.min(F.when(early, n)).over(column)).filter("a <> b").filter(n >= F.col("least"))
+    blocks = _merged_blocks(met.select("block", "node", n.alias("n"), early.alias("early")).distinct())
+    bits = classes.select("node", "bits")
 
     links = sets = labels = None
-    exhaustive = False
+    turn, exhaustive = 0, False
     while True:
-        still = _open(members, labels)
-        if labels is not None and not exhaustive:
-            still = still.groupBy("block", "component").agg(F.min_by(F.struct("node", "n", "bits"), "node").alias("x"))
-            still = still.select("block", "component", "x.*")
-        if labels is not None:
-            still = written(still, "ngram-still")
-        edges = _block_edges(_in_parts(still, pairs=exhaustive), crossing if exhaustive else forest)
-        edges = written(edges, "ngram-edges")
+        live = _open(blocks, labels)
+        rows_of = live if exhaustive else _chosen(live, turn)
+        placed = _in_parts(written(rows_of, "ngram-live"), pairs=exhaustive).join(bits, "node")
+        edges = written(_block_edges(placed, crossing if exhaustive else forest), "ngram-edges")
         ends = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
         if sets is not None:
             ends = ends.join(sets.select("node"), "node", "left_anti")
         more = written(ends, "ngram-ends")
         if not more.isEmpty():
-            new = written(_sets(rows, classes, more, twins), "ngram-sets")
+            new = written(_sets(rows, classes, more), "ngram-sets")
             sets = new if sets is None else sets.unionByName(new)
-        if sets is not None:
+        found = 0
+        if not edges.isEmpty():
             good = written(_verified(edges, sets), "ngram-links")
-            found = not good.isEmpty()
-        else:
-            found = False
+            found = good.count()
         if found:
             links = good if links is None else links.unionByName(good)
             labels = components(links)
-        if exhaustive or labels is None and not found and sets is None:
+        if exhaustive:
             break
-        exhaustive = not found
+        turn, exhaustive = turn + 1, found < WORTHWHILE
 
     out = classes
     if labels is not None:
