@@ -2,7 +2,7 @@
 
 Four kinds of evidence meet in one posterior over the languages and "none":
 
-- the text: a naive Bayes model over hashed byte trigrams of the whole text, fitted on a bounded sample of rows
+- the text: a naive Bayes model over hashed byte trigrams of all its words but those with digits, fitted on a bounded sample of rows
   with a declared language (``TRAIN_ROWS`` expected for each). Trigrams of one text are not independent, so its
   log-likelihood per trigram counts for a number of trigrams that saturates at ``EFFECTIVE``. "None" makes all
   trigrams equally likely, so text unlike every language falls to it;
@@ -11,7 +11,7 @@ Four kinds of evidence meet in one posterior over the languages and "none":
 - the host: how often the text alone gave each language on the host, less the row itself, smoothed by the counts of
   its parent domain, these by those of all rows. The counts are grouped aggregates, never windows over a host.
 
-A null or empty text says nothing, and the other evidence decides. Null declarations, addresses and hosts say nothing.
+A null text, or one without words, says nothing, and the other evidence decides. Null declarations, addresses and hosts say nothing.
 A row is rejected if "none" is the most probable. Rows are judged one by one; repeated rows get equal results.
 """
 
@@ -38,6 +38,23 @@ SUFFIX_LANGUAGE = {
 }
 
 
+def _letters_only() -> bytes:
+    """A-Z as a-z, digits and the at sign as 0, other ASCII but letters as blanks."""
+    table = bytearray(range(256))
+    for b in range(128):
+        c = chr(b)
+        table[b] = ord(c.lower()) if c.isalpha() else ord("0") if c.isdigit() or c == "@" else ord(" ")
+    return bytes(table)
+
+
+LETTERS = _letters_only()
+
+
+def _words(text: str) -> bytes:
+    """The text's words, without numbers, codes and addresses, which belong to no language."""
+    return b" ".join([w for w in text.encode().translate(LETTERS).split() if b"0" not in w])
+
+
 def _trigrams(raw: bytes) -> np.ndarray:
     """Bucket of the trigram that starts at each byte but the last two."""
     b = np.frombuffer(raw, dtype=np.uint8).astype(np.uint32)
@@ -47,7 +64,7 @@ def _trigrams(raw: bytes) -> np.ndarray:
 
 def _flat(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all texts in one array, and the number of each text's trigrams."""
-    raw = [text.encode().lower() + b"  " for text in texts]
+    raw = [_words(text) + b"  " for text in texts]
     return _trigrams(b"".join(raw) + b"  "), np.array([len(r) - 2 for r in raw])
 
 

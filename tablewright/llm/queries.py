@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablewright.queries.registry import Tables
 
@@ -114,7 +114,8 @@ def op3_personal_data(t: Tables) -> DataFrame:
 def op5_language_id(t: Tables) -> DataFrame:
     from tablewright.llm.language_id import document_rows, language_posteriors
 
-    return language_posteriors(document_rows(t.documents)).withColumnRenamed("id", "doc_id")
+    out = language_posteriors(document_rows(t.documents)).withColumnRenamed("id", "doc_id")
+    return out.withColumn("kept", ~F.col("rejected"))
 
 
 @query("page_language")
