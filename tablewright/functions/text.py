@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, functions as F
@@ -41,14 +42,26 @@ def extract(col: Column, pattern: str, group: int = 0) -> Column:
     return F.when(col.rlike(pattern), F.regexp_extract(col, pattern, group))
 
 
-# Accented Latin letters and their plain counterparts, then letters that become two.
-ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöøùúûüýÿ"
-PLAIN = "AAAAAACEEEEIIIINOOOOOOUUUUYaaaaaaceeeeiiiinoooooouuuuyy"
+# Latin letters that have no plain letter inside them, and letters that become two.
+UNLIKE = {"Đ": "D", "đ": "d", "Ħ": "H", "ħ": "h", "ı": "i", "Ł": "L", "ł": "l", "Ø": "O", "ø": "o", "Ŧ": "T", "ŧ": "t"}
 TWO_LETTER = {"Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "ß": "ss", "Þ": "TH", "þ": "th"}
 
 
+def _plain_letters() -> dict[str, str]:
+    """Accented letters of the Latin-1, Extended-A and Extended-B blocks and the plain letter each is made from."""
+    plain = dict(UNLIKE)
+    for letter in map(chr, range(0xC0, 0x250)):
+        base = unicodedata.normalize("NFD", letter)[0]
+        if base != letter and base.isascii():
+            plain[letter] = base
+    return plain
+
+
+PLAIN_LETTERS = _plain_letters()
+
+
 def to_ascii(col: Column) -> Column:
-    out = F.translate(col, ACCENTED, PLAIN)
+    out = F.translate(col, "".join(PLAIN_LETTERS), "".join(PLAIN_LETTERS.values()))
     for letter, plain in TWO_LETTER.items():
         out = F.replace(out, F.lit(letter), F.lit(plain))
     return out

@@ -272,3 +272,16 @@ def _(t):
     return op.set_difference_count(
         t.orders, priority == "4-NOT SPECIFIED", text.null_sentinel(priority, "NOT").isNull()
     )
+
+
+@query(
+    "fn_extract",
+    """SELECT c_custkey, nullif(regexp_extract(c_name, '[1-9][0-9]*$'), '') AS number,
+              nullif(regexp_extract(c_mktsegment, '^(A|B)(.)', 2), '') AS second FROM customer""",
+)
+def _(t):
+    return t.customer.select(
+        "c_custkey",
+        text.extract(F.col("c_name"), "[1-9][0-9]*$").alias("number"),
+        text.extract(F.col("c_mktsegment"), "^(A|B)(.)", 2).alias("second"),
+    )

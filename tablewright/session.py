@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -30,7 +32,8 @@ def tuned(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session, which has no other machine to share with, gets a folder made for it.
+    Only a local session without that setting, which has no other machine to share with, gets a folder made for
+    it, which goes when the program ends.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -41,6 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         configured = tempfile.mkdtemp(prefix="tablewright-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     if current is None:
         context.setCheckpointDir(configured)
     return configured or current

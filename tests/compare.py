@@ -6,8 +6,11 @@
 from __future__ import annotations
 
 import argparse
+import atexit
 import os
+import shutil
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -26,6 +29,8 @@ TABLES = (
 
 
 def session() -> SparkSession:
+    scratch = tempfile.mkdtemp(prefix="tablewright-tests-")
+    atexit.register(shutil.rmtree, scratch, ignore_errors=True)
     builder = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
@@ -34,6 +39,7 @@ def session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", scratch)
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -4,7 +4,8 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tablewright.plans import completeness, maintain, profile, reconcile, taxonomy, validate
+from tablewright.operators import grouped
+from tablewright.plans import build, completeness, maintain, profile, reconcile, taxonomy, validate
 from tablewright.plans.completeness import Scope
 from tablewright.plans.validate import ContractRow
 
@@ -278,3 +279,33 @@ def test_maintenance_rounds(spark):
     )
     words = spark.createDataFrame([("Nr",), ("NR",), (None,)], "v string")
     assert rows(maintain.relabel_unreported(words, ["v"])) == sorted([("NR",), ("NR",), (None,)], key=repr)
+
+
+def test_current_documents(spark):
+    rows_in = [
+        (1, 1, "S", 2000, None, 1), (2, 1, "S", 2000, "d", 0), (3, 1, "S", 2001, None, 0), (4, 1, "S", 2002, None, 1),
+        (5, 2, "S", 2000, None, 0), (6, 3, "R", 2000, None, None), (7, 3, "R", 2001, None, 1), (8, None, None, None, None, 0),
+        (9, 4, "S", 2000, None, 1), (10, 4, "S", 2000, None, 1),
+    ]
+    df = spark.createDataFrame(rows_in, "docID int, uID int, doc_type string, year_published int, web_pub_date string, final int")
+    kept = build.current_documents(df).select("docID")
+    # As the two group filters one after the other.
+    unpublished = F.col("web_pub_date").isNull()
+    first = grouped.superseded_filter(df, ["uID", "year_published", "doc_type"], unpublished)
+    second = grouped.superseded_filter(first, ["uID", "doc_type"], (F.col("final") == 0) & unpublished)
+    assert rows(kept) == rows(second.select("docID")) == sorted([(2,), (4,), (5,), (7,), (8,)], key=repr)
+
+
+def test_prepared_batch(spark):
+    table = spark.createDataFrame([(1, "Birds"), (2, "Mosses")], "rowID int, taxonomic_group string")
+    batch = spark.createDataFrame([(1, "a b", "promoo, x"), (3, None, None)], "rowID int, common_name string, action_subtype string")
+    out = maintain.prepared_batch(
+        batch, table, ["rowID"], "u=", {"action_subtype": "action_type"}, {"Out": ["promo"]}, {"action_subtype": [("promoo", "promo")]}
+    ).select("rowID", "action_subtype", "action_type", "url", "taxonomic_group")
+    assert rows(out) == [(1, "promo, x", "Out", "u=a%20b", "Birds"), (3, None, None, None, None)]
+
+
+def test_build_checks(spark):
+    docs = spark.createDataFrame([(1,), (1,), (2,)], "docID int")
+    wide = spark.createDataFrame([(1, None), (1, None), (1, 2)], "uID int, docID int")
+    assert rows(build.build_checks(docs, wide)) == sorted([("documents", "1", 2), ("categories", "1", 2)], key=repr)
