@@ -18,9 +18,10 @@ multiplied with its transpose in blocks, and only where a link can be:
 Pairs inside a group are never all made. Forest rounds come first: every document (later every component) goes to
 ``CHOSEN`` of its blocks, those with the least hashes, so that near copies meet; blocks, cut into parts of ``PART``
 documents, give edges of a spanning forest only, verified edges make components, and blocks within one component are
-done with. When a round finds fewer than ``WORTHWHILE`` links, the blocks that still hold several components are
-compared whole, part by part, between different components only, and every pair that passes the bounds is verified. So a link can be missing
-only inside a component, where it changes nothing.
+done with. When a round finds fewer than ``WORTHWHILE`` links, the blocks that still hold several components are compared whole, part by part, between different
+components only. Of the pairs of two components that pass the bounds, the ``PAIRS`` nearest are verified, which mostly
+joins the two or leaves no pair; components for which it does neither are compared again by finer bitmaps and with more
+pairs. So a link can be missing only inside a component, where it changes nothing.
 
 Frequent shingles are found by counting all shingles in each task with a bounded table (error: the task's shingles /
 ``COUNTERS``). They only change the column order, which may be any; so results do not depend on them. Their number is
@@ -33,6 +34,7 @@ that repeat an id are documents of their own. A null id loses against others and
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from heapq import heappop, heappush
 from itertools import groupby
 
 import numpy as np
@@ -43,7 +45,9 @@ from tablewright.llm.components import components
 from tablewright.llm.shared import in_pandas, packed, same, text_or_empty, written
 from tablewright.llm.shingles import mixed, shingle_sets
 
-PERCENT, HOT_SHARE, COUNTERS, PART, CHOSEN, WORTHWHILE, SEEN = 75, 0.002, 1 << 18, 1024, 3, 100, 1 << 18
+PERCENT, HOT_SHARE, COUNTERS, PART, CHOSEN, WORTHWHILE, PAIRS, FINE, SEEN = (
+    75, 0.002, 1 << 18, 1024, 3, 200, 4, 16, 1 << 18
+)
 # Bits of the filter on documents whose sets are wanted again: 8 MB, whatever the number of documents.
 FILTER_BITS = 1 << 26
 _U = np.uint64
@@ -70,9 +74,10 @@ def set_marks(items: np.ndarray) -> tuple[int, int]:
     return tuple(int(mixed(np.array([x + _U(len(items))]))[0].astype(np.int64)) for x in pair)
 
 
-def bitmap(items: np.ndarray) -> bytes:
-    """Parities of the items by their low bits: 4 to 8 bits for each item, a power of two in all."""
-    bits = max(64, 1 << (4 * len(items) - 1).bit_length())
+def bitmap(items: np.ndarray, per_item: int = 1) -> bytes:
+    """Parities of the items by their low bits: ``per_item`` bits for each, or up to twice that, a power of two in
+    all."""
+    bits = max(64, 1 << (per_item * len(items) - 1).bit_length())
     odd = np.bincount((items & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -180,48 +185,71 @@ class Member:
         return self._bits[width]
 
 
-def may_link(x: Member, y: Member) -> bool:
+def bits_apart(x: Member, y: Member) -> int | None:
+    """In how many bits two members differ; null if that or their sizes rule a link out."""
     if x.n > y.n:
         x, y = y, x
     if 100 * x.n < PERCENT * y.n or not (x.early or x.n == y.n and y.early):
-        return False
+        return None
     width, sizes = 8 * len(x.raw), x.n + y.n
-    return (x.bits(width) ^ y.bits(width)).bit_count() <= sizes - 2 * least_overlap(sizes)
+    apart = (x.bits(width) ^ y.bits(width)).bit_count()
+    return apart if apart <= sizes - 2 * least_overlap(sizes) else None
 
 
-def forest(members: list[Member]) -> Iterator[tuple[int, int]]:
-    """Edges that may link, at most one less than there are members: each member meets the first of every tree."""
+def forest(members: list[Member]) -> Iterator[tuple[int, int, bool]]:
+    """Edges that may link, at most one less than there are members: each member meets the first and the last of every
+    tree."""
     heads: dict[int, list[Member]] = {}
     for x in sorted(members, key=lambda m: m.n):
         mine = None
         for head, tree in list(heads.items()):
-            if x.component == tree[0].component or any(may_link(x, y) for y in (tree[0], tree[-1])):
-                if x.component != tree[0].component:
-                    y = tree[0] if may_link(x, tree[0]) else tree[-1]
-                    yield x.node, y.node
-                if mine is None:
-                    mine = head
-                    tree[1:] = [x]
-                else:
-                    heads.pop(head)
+            y = next((y for y in (tree[0], tree[-1]) if bits_apart(x, y) is not None), None)
+            if y is None and x.component != tree[0].component:
+                continue
+            if x.component != tree[0].component:
+                yield x.node, y.node, False
+            if mine is None:
+                mine = head
+                tree[1:] = [x]
+            else:
+                heads.pop(head)
         if mine is None:
             heads[x.node] = [x]
 
 
-def crossing(members: list[Member]) -> Iterator[tuple[int, int]]:
-    """All pairs of different components that may link; between two parts if there are two."""
-    members = sorted(members, key=lambda m: m.n)
-    sides = {m.side for m in members}
-    for i, x in enumerate(members):
-        for y in members[i + 1 :]:
-            if 100 * x.n < PERCENT * y.n:
-                break
-            if x.component != y.component and (len(sides) == 1 or x.side != y.side) and may_link(x, y):
-                yield x.node, y.node
+def crossing(most: int) -> Callable[[list[Member]], Iterator[tuple[int, int, bool]]]:
+    """Pairs of different components that may link (between two parts, if there are two): of every two components the
+    ``most`` nearest, and if there are more of them, one marked as such."""
+
+    def found(members: list[Member]) -> Iterator[tuple[int, int, bool]]:
+        members = sorted(members, key=lambda m: m.n)
+        two_sides = len({m.side for m in members}) == 2
+        pairs: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+        more = set()
+        for i, x in enumerate(members):
+            for y in members[i + 1 :]:
+                if 100 * x.n < PERCENT * y.n:
+                    break
+                if x.component == y.component or two_sides and x.side == y.side:
+                    continue
+                apart = bits_apart(x, y)
+                if apart is None:
+                    continue
+                key = (min(x.component, y.component), max(x.component, y.component))
+                nearest = pairs.setdefault(key, [])
+                heappush(nearest, (-apart, x.node, y.node))
+                if len(nearest) > most:
+                    heappop(nearest)
+                    more.add(key)
+        for key, nearest in pairs.items():
+            for _, a, b in nearest:
+                yield a, b, key in more
+
+    return found
 
 
-def _block_edges(blocks: DataFrame, found: Callable[[list[Member]], Iterator[tuple[int, int]]]) -> DataFrame:
-    """Edges of each block part; ``blocks`` has (block, part, node, n, early, component, side, bits)."""
+def _block_edges(blocks: DataFrame, found: Callable[[list[Member]], Iterator[tuple[int, int, bool]]]) -> DataFrame:
+    """Edges (a, b, more) of each block part; ``blocks`` has (block, part, node, n, early, component, side, bits)."""
     names = ["block", "part", "node", "n", "early", "component", "side", "bits"]
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -229,20 +257,28 @@ def _block_edges(blocks: DataFrame, found: Callable[[list[Member]], Iterator[tup
             for batch in batches:
                 yield from zip(*[batch[c].tolist() for c in names], strict=True)
 
-        out: list[tuple[int, int]] = []
+        # Pairs met in several blocks are passed on once, as far as a bounded memory goes.
+        seen: set[tuple[int, int, bool]] = set()
+        out: list[tuple[int, int, bool]] = []
         for _, group in groupby(rows(), key=lambda r: r[:2]):
-            out += [(min(e), max(e)) for e in found([Member(*r[2:]) for r in group])]
+            for a, b, more in found([Member(*r[2:]) for r in group]):
+                edge = (min(a, b), max(a, b), more)
+                if edge not in seen:
+                    out.append(edge)
+                    if len(seen) < SEEN:
+                        seen.add(edge)
             if len(out) > 10_000:
-                yield pd.DataFrame(sorted(set(out)), columns=["a", "b"])
+                yield pd.DataFrame(out, columns=["a", "b", "more"])
                 out = []
-        yield pd.DataFrame(sorted(set(out)), columns=["a", "b"])
+        yield pd.DataFrame(out, columns=["a", "b", "more"])
 
     placed = blocks.select(names).repartition("block", "part").sortWithinPartitions("block", "part")
-    return in_pandas(placed, each, "a bigint, b bigint").distinct()
+    edges = in_pandas(placed, each, "a bigint, b bigint, more boolean")
+    return edges.groupBy("a", "b").agg(F.max("more").alias("more"))
 
 
-def _verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
-    """The edges whose sets overlap enough."""
+def _verified(edges: DataFrame, sets: DataFrame, all_of_them: bool) -> DataFrame:
+    """The edges whose sets overlap enough; unless all sets are needed, only those of the edges are moved."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -255,6 +291,8 @@ def _verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
 
     one = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     two = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
+    if not all_of_them:
+        one, two = one.join(edges.select("a"), "a", "left_semi"), two.join(edges.select("b"), "b", "left_semi")
     return in_pandas(edges.join(one, "a").join(two, "b").select("a", "b", "x", "y"), check, "a bigint, b bigint")
 
 
@@ -292,6 +330,17 @@ def _sets(rows: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
     return made.join(wanted, here).select("node", "items")
 
 
+def _fine_bits(sets: DataFrame) -> DataFrame:
+    """(node, bits): bitmaps that let hardly any pair pass that does not link."""
+
+    def fine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            bits = [bitmap(np.frombuffer(x, dtype="<u8"), FINE) for x in batch["items"]]
+            yield pd.DataFrame({"node": batch["node"], "bits": bits})
+
+    return in_pandas(sets, fine, "node bigint, bits binary")
+
+
 def _in_parts(members: DataFrame, pairs: bool) -> DataFrame:
     """Blocks cut by a hash of the node into parts of about ``PART``; with ``pairs``, every two parts meet once."""
     sizes = members.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / PART).cast("bigint").alias("parts"))
@@ -314,7 +363,9 @@ def _open(blocks: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 def _chosen(live: DataFrame, turn: int) -> DataFrame:
     """One row of each component in ``CHOSEN`` of its blocks."""
-    one = live.groupBy("component", "block").agg(F.min(F.struct("node", "n", "early")).alias("x"))
+    # Another member each time, and in each block.
+    draw = F.xxhash64(F.lit(turn), "block", "node")
+    one = live.groupBy("component", "block").agg(F.min_by(F.struct("node", "n", "early"), draw).alias("x"))
     one = written(one, "ngram-delegates")
     picks = [F.min_by("block", F.xxhash64(F.lit(turn * CHOSEN + k), "block")).alias(f"b{k}") for k in range(CHOSEN)]
     picked = one.groupBy("component").agg(*picks)
@@ -322,6 +373,21 @@ def _chosen(live: DataFrame, turn: int) -> DataFrame:
     return one.join(picked, ["component", "block"]).select("block", "component", "x.*")
 
 
+def _unjoined(edges: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The components of edges whose ends are in different ones."""
+    for end in ("a", "b"):
+        own = F.col(end).alias(f"{end}_component")
+        if labels is None:
+            edges = edges.select("*", own)
+        else:
+            component = labels.select(F.col("node").alias("of"), "component")
+            joined = edges.join(component, F.col(end) == F.col("of"), "left")
+            edges = joined.withColumn(f"{end}_component", F.coalesce("component", end)).drop("of", "component")
+    apart = edges.filter("a_component <> b_component")
+    ends = F.explode(F.array("a_component", "b_component")).alias("component")
+    return apart.select(ends).distinct()
+
+
 def _merged_blocks(met: DataFrame) -> DataFrame:
     """Blocks with the same members as one; ``met`` has (block, node, n, early). A member is early if it is in any."""
     rows = written(met, "ngram-met")
@@ -364,13 +430,15 @@ def near_groups(df: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     blocks = _merged_blocks(met.select("block", "node", n.alias("n"), early.alias("early")).distinct())
     bits = classes.select("node", "bits")
 
-    links = sets = labels = None
-    turn, exhaustive = 0, False
+    links = sets = labels = again = None
+    turn, most = 0, 0  # most: pairs of two components that an exhaustive round may verify; 0 in forest rounds
     while True:
         live = _open(blocks, labels)
-        rows_of = live if exhaustive else _chosen(live, turn)
-        placed = _in_parts(written(rows_of, "ngram-live"), pairs=exhaustive).join(bits, "node")
-        edges = written(_block_edges(placed, crossing if exhaustive else forest), "ngram-edges")
+        if again is not None:
+            live = live.join(again, "component", "left_semi")
+        rows_of = live if most else _chosen(live, turn)
+        placed = _in_parts(written(rows_of, "ngram-live"), pairs=most > 0).join(bits, "node")
+        edges = written(_block_edges(placed, crossing(most) if most else forest), "ngram-edges")
         ends = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
         if sets is not None:
             ends = ends.join(sets.select("node"), "node", "left_anti")
@@ -380,14 +448,21 @@ def near_groups(df: DataFrame, id_column: str = "doc_id", text: str = "text") ->
             sets = new if sets is None else sets.unionByName(new)
         found = 0
         if not edges.isEmpty():
-            good = written(_verified(edges, sets), "ngram-links")
+            good = written(_verified(edges, sets, turn == 0), "ngram-links")
             found = good.count()
         if found:
             links = good if links is None else links.unionByName(good)
             labels = components(links)
-        if exhaustive:
+        turn += 1
+        if not most:
+            most = PAIRS if found < WORTHWHILE else 0
+            continue
+        again = written(_unjoined(edges.filter("more"), labels), "ngram-again")
+        if again.isEmpty():
             break
-        turn, exhaustive = turn + 1, found < WORTHWHILE
+        # Members of these components have all been in an edge, so their sets are there.
+        bits = written(_fine_bits(sets), "ngram-fine")
+        most *= PAIRS**2
 
     out = classes
     if labels is not None:
