@@ -18,6 +18,14 @@ def _least(pairs: DataFrame) -> DataFrame:
     return written(pairs.groupBy("u").agg(F.min("v").alias("m")), "component-least")
 
 
+def _all_stars(pairs: DataFrame) -> bool:
+    """Whether every node hangs on one other that itself hangs on none."""
+    ends = pairs.select(F.col("u").alias("x"), F.lit(1).alias("hangs"), F.lit(0).alias("holds"))
+    ends = ends.unionByName(pairs.select(F.col("v").alias("x"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+    sums = ends.groupBy("x").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return sums.filter("hangs > 1 or hangs = 1 and holds = 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``edges`` has whole numbers ``a`` and ``b``; returns ``node`` and ``component``, the least node it can reach.
 
@@ -25,8 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     larger, smaller = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     pairs = written(edges.filter("a <> b").select(larger, smaller).distinct(), "components")
-    mark = None
-    while True:
+    while not _all_stars(pairs):
         # Large star: neighbours above u go to the least of u and its neighbours.
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = _least(both)
@@ -35,11 +42,6 @@ def components(edges: DataFrame) -> DataFrame:
         # Small star: neighbours below u, and u, go to the least of them.
         least = _least(hung)
         moved = hung.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        pairs = written(after, "components")
-        found = pairs.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if found == mark:
-            break
-        mark = found
+        pairs = written(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "components")
     roots = pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

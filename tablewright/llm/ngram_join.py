@@ -46,7 +46,7 @@ from tablewright.llm.shared import in_pandas, packed, same, text_or_empty, writt
 from tablewright.llm.shingles import mixed, shingle_sets
 
 PERCENT, HOT_SHARE, COUNTERS, PART, CHOSEN, WORTHWHILE, PAIRS, FINE, SEEN = (
-    75, 0.002, 1 << 18, 1024, 3, 200, 4, 16, 1 << 18
+    75, 0.002, 1 << 18, 1024, 3, 1000, 4, 16, 1 << 18
 )
 # Bits of the filter on documents whose sets are wanted again: 8 MB, whatever the number of documents.
 FILTER_BITS = 1 << 26
@@ -130,8 +130,8 @@ def _described(rows: DataFrame) -> DataFrame:
         yield made.assign(id=None, key=None, n=None, mark=None, mark2=None, bits=None)[names]
 
     kind = rows.schema["id"].dataType.simpleString()
-    return in_pandas(rows, describe, f"id {kind}, key bigint, n bigint, mark bigint, mark2 bigint, bits binary, hot bigint, times bigint"
-    )
+    schema = f"id {kind}, key bigint, n bigint, mark bigint, mark2 bigint, bits binary, hot bigint, times bigint"
+    return in_pandas(rows, describe, schema)
 
 
 def _node(marks: tuple[int, int], twins: frozenset[int]) -> int:
@@ -430,7 +430,7 @@ def near_groups(df: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     blocks = _merged_blocks(met.select("block", "node", n.alias("n"), early.alias("early")).distinct())
     bits = classes.select("node", "bits")
 
-    links = sets = labels = again = None
+    sets = labels = again = None
     turn, most = 0, 0  # most: pairs of two components that an exhaustive round may verify; 0 in forest rounds
     while True:
         live = _open(blocks, labels)
@@ -451,7 +451,8 @@ def near_groups(df: DataFrame, id_column: str = "doc_id", text: str = "text") ->
             good = written(_verified(edges, sets, turn == 0), "ngram-links")
             found = good.count()
         if found:
-            links = good if links is None else links.unionByName(good)
+            # The components so far are stars: with them the new links are all that is needed.
+            links = good if labels is None else good.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
             labels = components(links)
         turn += 1
         if not most:
