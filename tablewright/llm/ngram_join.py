@@ -356,7 +356,8 @@ def _open(blocks: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Rows of blocks that hold more than one component, with their components."""
     if labels is None:
         return blocks.withColumn("component", F.col("node"))
-    labelled = blocks.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # Sorted and merged at every size, so that small tables show what large ones will do.
+    labelled = blocks.join(labels.hint("merge"), "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = labelled.groupBy("block").agg(F.min("component").alias("c"), F.max("component").alias("d"))
     return labelled.join(written(several.filter("c <> d").select("block"), "ngram-open"), "block")
 
