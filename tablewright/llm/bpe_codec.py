@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, functions as F
 from tablewright.llm.bpe import Vocabulary, vocabulary
 from tablewright.llm.shared import in_pandas, text_or_empty
 
-# Words whose ids a worker keeps, and the longest of them; symbols of one round.
-REMEMBERED, REMEMBERED_LENGTH, SYMBOLS = 300_000, 64, 1 << 20
+# Words whose ids a worker keeps, and the longest of them; symbols of one round; characters cut into words at a time,
+# and ids passed on at a time.
+REMEMBERED, REMEMBERED_LENGTH, SYMBOLS, CHARACTERS, IDS = 300_000, 64, 1 << 20, 1 << 20, 1 << 20
 NONE = np.iinfo(np.int64).max
 
 
@@ -72,7 +73,16 @@ class Encoder:
         return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text, in order."""
+        """Ids of each text, in order; words of about ``CHARACTERS`` characters of text are held at a time."""
+        start, size = 0, 0
+        for i, text in enumerate(texts):
+            if size and size + len(text) > CHARACTERS:
+                yield from self._encode(texts[start:i])
+                start, size = i, 0
+            size += len(text)
+        yield from self._encode(texts[start:])
+
+    def _encode(self, texts: list[str]) -> Iterator[bytes]:
         cut = [self.vocab.pieces(text) for text in texts]
         if len(self.known) > REMEMBERED:
             self.known = dict(self.special)
@@ -117,8 +127,14 @@ def encoded(df: DataFrame, path: str, id_column: str = "doc_id", text: str = "te
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         worker = encoder(path)
         for batch in batches:
-            ids = [np.frombuffer(x, dtype="<u4").astype(np.int32) for x in worker.encode(list(batch["body"]))]
-            yield pd.DataFrame({"id": batch["id"], "ids": ids})
+            ids, start, size = [], 0, 0
+            for x in worker.encode(list(batch["body"])):
+                ids.append(np.frombuffer(x, dtype="<u4").astype(np.int32))
+                size += len(ids[-1])
+                if size >= IDS:
+                    yield pd.DataFrame({"id": batch["id"].iloc[start : start + len(ids)].to_numpy(), "ids": ids})
+                    ids, start, size = [], start + len(ids), 0
+            yield pd.DataFrame({"id": batch["id"].iloc[start:].to_numpy(), "ids": ids})
 
     kind = rows.schema["id"].dataType.simpleString()
     return in_pandas(rows, encode, f"id {kind}, ids array<int>").withColumnRenamed("id", id_column)
