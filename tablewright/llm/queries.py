@@ -166,3 +166,126 @@ def op6_metric_join(t: Tables) -> DataFrame:
     from tablewright.llm.metric_join import vector_groups
 
     return vector_groups(t.embeddings, cosine=0.93)
+
+
+# CRC-32 of the bytes of b, by the table of the CRC step of each byte.
+_CRC_TABLE = """select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, k: case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) order by i) as crcs
+    from range(256) r(i)"""
+_CRC = """xor(list_reduce(list_prepend(4294967295::bigint,
+    list_transform(range(octet_length(b)), lambda i: ('0x' || substr(hex(b), 2 * i + 1, 2))::bigint)),
+    lambda c, x: xor(c >> 8, crcs[1 + (xor(c, x) & 255)])), 4294967295)"""
+
+
+def _lower(text: str) -> str:
+    return f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op11_spelling",
+    f"""
+    with recursive crc_table as materialized ({_CRC_TABLE}),
+    runs as (
+        select coalesce(doc_id::varchar, '') as id, unnest(regexp_extract_all({_lower("text")}, '[a-zÀ-ÿ]+')) as run
+        from documents),
+    counted as (select id, run, count(*) as n from runs where length(run) >= 7 group by all),
+    drawn as materialized (
+        select run, n, {_CRC} as h from (select *, encode(id || ':' || run) as b from counted), crc_table),
+    lost as (
+        select n, case when h % 31 = 0 then run[:h % length(run)] || run[h % length(run) + 2:] else run end as word
+        from drawn),
+    words as materialized (
+        select word, sum(n)::bigint as n from lost where length(word) >= 7 group by word having sum(n) >= 2),
+    skips as materialized (
+        select word, n, i, word[:i] as head, word[i + 2:] as tail
+        from (select word, n, unnest(range(length(word))) as i from words)),
+    near as materialized (
+        select a.word, b.word as other, b.n as other_n from skips a
+        join skips b on a.i = b.i and a.head = b.head and a.tail = b.tail and a.word <> b.word
+        union
+        select s.word, w.word, w.n from skips s join words w on w.word = s.head || s.tail
+        union
+        select w.word, s.word, s.n from skips s join words w on w.word = s.head || s.tail),
+    best as (
+        select word, count(*) as n_near, max(other_n) as top_n from near group by word),
+    formed as materialized (
+        select w.word, w.n, coalesce(n_near, 0) as n_near,
+            case when top_n >= 10 * w.n then top_n end as form_n,
+            case when top_n >= 10 * w.n then
+                (select min(other) from near x where x.word = w.word and x.other_n = top_n) end as form
+        from words w left join best using (word)),
+    steps(word, last) as (
+        select word, word from formed
+        union all
+        select s.word, f.form from steps s join formed f on f.word = s.last where f.form is not null),
+    roots as (select s.word, s.last as root from steps s join formed f on f.word = s.last where f.form is null)
+    select word, form, root, n, n_near, form_n from formed join roots using (word)
+    """,
+)
+def op11_spelling(t: Tables) -> DataFrame:
+    from tablewright.llm.spelling import spelling_forms
+
+    return spelling_forms(t.documents)
+
+
+_WORDS = f"regexp_extract_all({_lower('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query(
+    "op12_importance",
+    f"""
+    with crc_table as materialized ({_CRC_TABLE}),
+    worded as (
+        select 's' as side, doc_id as id, {_WORDS} as w from documents
+        union all select 't', item_id, {_WORDS} from benchmark),
+    features as materialized (
+        select side, id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) as f
+        from worded),
+    bucketed as materialized (
+        select f, {_CRC} % 10000 as bucket
+        from (select f, encode(f) as b from (select distinct f from features)), crc_table),
+    placed as materialized (select side, id, bucket from features join bucketed using (f)),
+    sums as (select bucket, count(*) filter (side = 's') as s, count(*) filter (side = 't') as t from placed group by bucket),
+    gains as (
+        select bucket, floor(1000 * ln(((t + 1)::double * ((select sum(s) from sums) + 10000)::double)
+            / ((s + 1)::double * ((select sum(t) from sums) + 10000)::double)))::bigint as gain from sums),
+    per_doc as (
+        select id as doc_id, count(*) as n_features, sum(gain) as total
+        from placed join gains using (bucket) where side = 's' group by id),
+    weighed as (
+        select doc_id, len(w) as n_words, coalesce(n_features, 0) as n_features,
+            case when n_features > 0 then (total - ((total % n_features) + n_features) % n_features) // n_features else 0 end::bigint as weight,
+            ('0x' || substr(sha256('7:' || doc_id), 1, 8))::bigint as h
+        from (select id as doc_id, w from worded where side = 's') left join per_doc using (doc_id)),
+    scored as (
+        select *, weight + floor(-1000.0::double * ln(-ln((h + 0.5)::double / 4294967296.0::double)))::bigint as score from weighed),
+    ranked as (
+        select doc_id, row_number() over (order by score desc, doc_id) as place from scored where n_words >= 20)
+    select s.doc_id, n_features, weight, score,
+        case when place <= (select count(*) from ranked) * 25 // 100 then place end as rank
+    from scored s left join ranked using (doc_id)
+    """,
+)
+def op12_importance(t: Tables) -> DataFrame:
+    from tablewright.llm.importance import resampled
+
+    return resampled(t.documents, t.benchmark)
+
+
+@query(
+    "op13_top_products",
+    """
+    with sound as (
+        select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+        where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    scored as (
+        select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+        from sound q join sound c on q.vec_id <> c.vec_id and len(q.v) = len(c.v) where q.vec_id % 50 = 0),
+    ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored)
+    select query_id, rank, vec_id, score from ranked where rank <= 5
+    """,
+)
+def op13_top_products(t: Tables) -> DataFrame:
+    from tablewright.llm.top_products import top_products
+
+    return top_products(t.embeddings)
