@@ -19,7 +19,7 @@ def test_against_sql(spark, name):
 def test_registered():
     names = set(entry_points.queries())
     assert set(queries.QUERIES) <= names and "pipeline" in names
-    assert {n.split("_")[0] for n in queries.QUERIES if n.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES if n.startswith("op")} == {f"op{n}" for n in range(1, 14)}
 
 
 def texts(spark):
