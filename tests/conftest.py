@@ -14,8 +14,3 @@ from tablewright.session import tuned  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     return tuned(session())
-
-
-def rows(df, *order):
-    """Rows as tuples, sorted as text so that nulls may occur."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

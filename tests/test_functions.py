@@ -3,7 +3,7 @@
 import datetime
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F, types as T
 
 from tablewright.functions import dates, levels, names, text

@@ -3,7 +3,7 @@
 from collections import Counter
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F, types as T
 
 from tablewright.operators import aggregates, changes, columns, grouped, joins, reshape

@@ -1,7 +1,7 @@
 """Composed operators on small fixtures."""
 
 import pytest
-from conftest import rows
+from compare import rows
 from pyspark.sql import functions as F
 
 from tablewright.operators import grouped
