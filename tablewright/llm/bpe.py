@@ -25,6 +25,24 @@ class Vocabulary:
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         model = content["model"]
+        cutter = content.get("pre_tokenizer") or {}
+        odd = [
+            what
+            for what, present in {
+                "a normalizer": content.get("normalizer"),
+                "a model other than byte-pair merges": model.get("type") not in (None, "BPE"),
+                "no byte-level cutting": cutter.get("type") != "ByteLevel" or not cutter.get("use_regex", True),
+                "a space before texts": cutter.get("add_prefix_space"),
+                "whole words before merges": model.get("ignore_merges"),
+                "dropped or joined parts": any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix")),
+                "special tokens that take white space or whole words": any(
+                    t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in content.get("added_tokens", ())
+                ),
+            }.items()
+            if present
+        ]
+        if odd:
+            raise ValueError(f"{path} asks for {', '.join(odd)}, which this operator does not do")
         ids = model["vocab"]
         letters = byte_letters()
         of_letter = {letter: bytes([b]) for b, letter in enumerate(letters)}

@@ -5,13 +5,16 @@ pair by binary search over the sorted pair keys, and merges in each word all pai
 to right, until no word has a pair left. Repeating a round is the same as merging one pair at a time, since a merge can
 only make pairs that rank after it.
 
-A null text is an empty one: no ids, an empty text. Rows are independent.
+A null text is an empty one: no ids, an empty text. Rows are independent; repeated rows give repeated results, and there
+are no ties. Long texts are cut into words whole, with a bound on the words held for the others beside them. Empty tables
+give no rows. Columns other than id and text (or ids) are left out, so their names cannot clash.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -22,7 +25,7 @@ from tablewright.llm.shared import in_pandas, text_or_empty
 
 # Words whose ids a worker keeps, and the longest of them; symbols of one round; characters cut into words at a time,
 # and ids passed on at a time.
-REMEMBERED, REMEMBERED_LENGTH, SYMBOLS, CHARACTERS, IDS = 300_000, 64, 1 << 20, 1 << 20, 1 << 20
+REMEMBERED, REMEMBERED_LENGTH, SYMBOLS, CHARACTERS, IDS = 200_000, 64, 1 << 20, 1 << 20, 1 << 20
 NONE = np.iinfo(np.int64).max
 
 
@@ -117,6 +120,16 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+@contextmanager
+def task_encoder(path: str) -> Iterator[Encoder]:
+    """The worker's encoder, whose words go with the task: the worker goes on to other stages, and would hold them."""
+    worker = encoder(path)
+    try:
+        yield worker
+    finally:
+        worker.known = dict(worker.special)
+
+
 def encoded(df: DataFrame, path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: id and ``ids``, an array of token ids.
 
@@ -125,16 +138,16 @@ def encoded(df: DataFrame, path: str, id_column: str = "doc_id", text: str = "te
     rows = df.select(F.col(id_column).alias("id"), text_or_empty(text).alias("body"))
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        worker = encoder(path)
-        for batch in batches:
-            ids, start, size = [], 0, 0
-            for x in worker.encode(list(batch["body"])):
-                ids.append(np.frombuffer(x, dtype="<u4").astype(np.int32))
-                size += len(ids[-1])
-                if size >= IDS:
-                    yield pd.DataFrame({"id": batch["id"].iloc[start : start + len(ids)].to_numpy(), "ids": ids})
-                    ids, start, size = [], start + len(ids), 0
-            yield pd.DataFrame({"id": batch["id"].iloc[start:].to_numpy(), "ids": ids})
+        with task_encoder(path) as worker:
+            for batch in batches:
+                ids, start, size = [], 0, 0
+                for x in worker.encode(list(batch["body"])):
+                    ids.append(np.frombuffer(x, dtype="<u4").astype(np.int32))
+                    size += len(ids[-1])
+                    if size >= IDS:
+                        yield pd.DataFrame({"id": batch["id"].iloc[start : start + len(ids)].to_numpy(), "ids": ids})
+                        ids, start, size = [], start + len(ids), 0
+                yield pd.DataFrame({"id": batch["id"].iloc[start:].to_numpy(), "ids": ids})
 
     kind = rows.schema["id"].dataType.simpleString()
     return in_pandas(rows, encode, f"id {kind}, ids array<int>").withColumnRenamed("id", id_column)
@@ -162,14 +175,14 @@ def round_trip(df: DataFrame, path: str, id_column: str = "doc_id", text: str =
     rows = df.select(F.col(id_column).alias("id"), text_or_empty(text).alias("body"))
 
     def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        worker = encoder(path)
-        for batch in batches:
-            out = []
-            for ids in worker.encode(list(batch["body"])):
-                text_again = worker.decode(ids).encode()
-                out.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text_again).hexdigest()))
-            made = pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            yield made.assign(id=batch["id"].to_numpy())[["id", "n_tokens", "ids_sha256", "decoded_sha256"]]
+        with task_encoder(path) as worker:
+            for batch in batches:
+                out = []
+                for ids in worker.encode(list(batch["body"])):
+                    text_again = worker.decode(ids).encode()
+                    out.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text_again).hexdigest()))
+                made = pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+                yield made.assign(id=batch["id"].to_numpy())[["id", "n_tokens", "ids_sha256", "decoded_sha256"]]
 
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"

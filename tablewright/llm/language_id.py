@@ -12,7 +12,9 @@ Four kinds of evidence meet in one posterior over the languages and "none":
   its parent domain, these by those of all rows. The counts are grouped aggregates, never windows over a host.
 
 A null text, or one without words, says nothing, and the other evidence decides. Null declarations, addresses and hosts say nothing.
-A row is rejected if "none" is the most probable. Rows are judged one by one; repeated rows get equal results.
+A row is rejected if "none" is the most probable. Rows are judged one by one; repeated rows get equal results. Of equally
+probable languages the first in the list wins, "none" last. Texts are scored whole, ``CHUNK`` characters at a time. An empty
+table gives no rows. Documents and pages are first read into columns of this module's own, so names cannot clash.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from tablewright.llm.shared import in_pandas, packed, same, text_or_empty, writt
 # Production parameters.
 LANGUAGES = ("de", "en", "es", "fr")
 TRAIN_ROWS, EFFECTIVE, DECLARED_RIGHT, SUFFIX_RIGHT, NONE_PRIOR, HOST_WEIGHT = 2000, 50.0, 0.9, 0.8, 0.01, 10.0
-BUCKETS, CHUNK = 1 << 15, 1 << 22
+BUCKETS, CHUNK = 1 << 15, 1 << 18  # the second: characters worked on at a time
 
 # Country suffixes and the language most used below them.
 SUFFIX_LANGUAGE = {
@@ -62,6 +64,12 @@ def _trigrams(raw: bytes) -> np.ndarray:
     return (mixed * np.uint32(0x27D4EB2F)) >> np.uint32(17)
 
 
+def _blocks(raw: bytes) -> Iterator[np.ndarray]:
+    """Buckets of all trigrams of a text that is longer than a chunk."""
+    for at in range(0, len(raw) - 2, CHUNK):
+        yield _trigrams(raw[at : at + CHUNK + 2])
+
+
 def _flat(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all texts in one array, and the number of each text's trigrams."""
     raw = [_words(text) + b"  " for text in texts]
@@ -97,6 +105,10 @@ def fit(rows: DataFrame, languages: Sequence[str], train_rows: int = TRAIN_ROWS)
             for k, language in enumerate(languages):
                 texts = list(batch["body"][batch["declared"] == language])
                 for a, b in _parts(texts):
+                    if b == a + 1 and len(texts[a]) > CHUNK:
+                        for buckets in _blocks(_words(texts[a]) + b"  "):
+                            sums[k] += np.bincount(buckets, minlength=BUCKETS)
+                        continue
                     buckets, sizes = _flat(texts[a:b])
                     ends = np.cumsum(sizes + 2)
                     inside = np.ones(len(buckets), dtype=bool)
@@ -120,6 +132,13 @@ def _scored(rows: DataFrame, model: np.ndarray) -> DataFrame:
         for batch in batches:
             texts, grams, means = list(batch["body"]), [], []
             for a, b in _parts(texts):
+                if b == a + 1 and len(texts[a]) > CHUNK:
+                    raw = _words(texts[a]) + b"  "
+                    size = len(raw) - 2
+                    total = sum((model[x].sum(axis=0, dtype=np.float64) for x in _blocks(raw)), np.zeros(model.shape[1]))
+                    grams.append(size)
+                    means.append(total / max(size, 1))
+                    continue
                 buckets, sizes = _flat(texts[a:b])
                 starts = np.cumsum(sizes + 2) - sizes - 2
                 bounds = np.stack([starts, starts + sizes], axis=1).ravel()
