@@ -108,6 +108,57 @@ def test_shards_of_equal_rows_and_none(spark):
     check_shards(twice, 3)
 
 
+def test_equal_texts_stay_together(spark):
+    rng = random.Random(6)
+    texts = [f"copy {i} " + "y" * rng.randint(0, 300) for i in range(60) for _ in range(rng.randint(1, 12))]
+    texts += ["a third of all rows"] * 400 + ["z" * 200] * 500 + [f"own text {i}" * 9 for i in range(600)]
+    rng.shuffle(texts)
+    df = documents(spark, texts, lang=[rng.choice(["en", "de", None]) for _ in texts], source=[rng.choice("abc") for _ in texts])
+    rows = sharding.sharded(df, shards=9).collect()
+    sums = check_shards(rows, 9)
+    shards_of, bytes_of = {}, {}
+    for r in rows:
+        text = texts[r["doc_id"]]
+        shards_of.setdefault(text, set()).add(r["shard"])
+        bytes_of[text] = bytes_of.get(text, 0) + r["size"]
+    share = sum(sums.values()) / 9
+    parted = {t for t, found in shards_of.items() if len(found) > 1}
+    assert parted == {"z" * 200} and bytes_of["z" * 200] > share
+    assert len(sums) == 9 and max(sums.values()) - min(sums.values()) < 0.1 * share
+
+
+def test_tree_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "TOLERANCE", 0)
+    rng = random.Random(9)
+    texts = [f"text {i} " + "w" * rng.randint(0, 500) for i in range(300)] + [f"text {i} " for i in range(0, 300, 7)]
+    df = documents(spark, texts, lang=[rng.choice(["en", "de"]) for _ in texts], source=[rng.choice("abcd") for _ in texts])
+    points = sharding._texts(sharding._keyed(sharding._points(df, "doc_id", "text", "source", "lang")))
+    shares = [1.0, 2.0, 1.0, 0.0, 3.0, 1.5, 1.0]
+    placed, _, numbers = sharding.kd_tree(points, shares)
+    got = {bytes(r["text_key"]): numbers[r["leaf"]] for r in placed.collect()}
+    rows = [(bytes(r["text_key"]), r["size"], tuple(r[d] for d in sharding.DIMENSIONS)) for r in points.collect()]
+    extent = [max(max(r[2][d] for r in rows) - min(r[2][d] for r in rows), 1) for d in range(4)]
+
+    def cut(members, a, b):
+        if b - a == 1 or not members:
+            return {m[0]: a for m in members}
+        middle, total = (a + b) // 2, sum(m[1] for m in members)
+        both = sum(shares[a:b])
+        need = total * (sum(shares[a:middle]) / both if both else (middle - a) / (b - a))
+        axis = max(range(4), key=lambda d: (max(m[2][d] for m in members) - min(m[2][d] for m in members)) / extent[d])
+        members = sorted(members, key=lambda m: m[2][axis])
+        reached, left = 0, 0
+        for m in members:
+            reached += m[1]
+            left += 1
+            if reached >= need:
+                left -= reached - need > need - (reached - m[1])
+                break
+        return cut(members[:left], a, middle) | cut(members[left:], middle, b)
+
+    assert got == cut(rows, 0, len(shares))
+
+
 # 3
 
 
