@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablewright.functions import levels
 from tablewright.functions.logic import any_of
-from tablewright.functions.names import matching, ref, refs
+from tablewright.functions.names import literals, matching, quoted, ref, refs
 from tablewright.plans.taxonomy import flag_name
 
 # Document kinds, and the columns that each must have filled in.
@@ -51,11 +51,14 @@ class Scope:
 
     def missing(self) -> Column:
         """The missing columns' names, or the label, or an empty text."""
-        nulls = [(c, ref(c).isNull()) for c in self.required]
+        if not self.required:
+            return F.lit("")
+        nulls = f"array({', '.join(f'{quoted(c)} IS NULL' for c in self.required)})"
         if self.label is not None:
-            found = F.when(any_of(n for _, n in nulls), F.lit(self.label)).otherwise(F.lit(""))
+            found = F.when(F.expr(f"array_contains({nulls}, true)"), F.lit(self.label)).otherwise(F.lit(""))
         else:
-            found = F.concat_ws(", ", *[F.when(n, F.lit(c)) for c, n in nulls])
+            names = f"array({', '.join(literals(self.required))})"
+            found = F.expr(f"concat_ws(', ', filter({names}, (c, i) -> {nulls}[i]))")
         return F.when(self.rows(), found).otherwise(F.lit(""))
 
 

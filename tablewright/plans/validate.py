@@ -3,6 +3,10 @@
 A single kind of rule that only counts bad rows is one aggregate. Rules that name offenders, and the whole
 report, turn only offending cells into rows, so a clean table shuffles nothing; the report reads the table
 once for all rules, and once more for columns that must be unique.
+
+Rules over a wide family are loops over arrays of its cells, and the rules that a row breaks are the bits of a few whole
+numbers: a plan has a handful of expressions however many columns there are, equal masks are counted before they move,
+and only masks and cells that break a rule are decoded.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tablewright.functions.dates import YEAR_FIRST_FORMATS, first_parsed
 from tablewright.functions.logic import any_of
-from tablewright.functions.names import matching, number_in, quoted, ref, refs
+from tablewright.functions.names import literals, matching, number_in, quoted, ref, refs
 from tablewright.functions.text import pieces, trimmed
 from tablewright.operators.aggregates import counts_long
 from tablewright.plans import completeness
@@ -29,6 +33,7 @@ FLAG_VALUES = ("0", "1", "2", "NE")
 LEVEL_VALUES = tuple(half / 2 for half in range(-4, 11))
 # The columns whose lists are compared after cleaning.
 LOOSE_COLUMNS = ("CC_action_subtype", "action_subtype")
+WORD_BITS = 62  # rules in one word of a row's mask
 DOMAIN_RULES = ("domain", "domain_loose", "family_domain")
 
 
@@ -54,15 +59,19 @@ def read_contract(spark: SparkSession, path: str) -> list[ContractRow]:
     ]
 
 
-def as_text(df: DataFrame, column: str) -> Column:
-    """A value as the contract writes it: whole numbers without decimals."""
+def as_text_sql(df: DataFrame, column: str) -> str:
     name = quoted(column)
     if isinstance(df.schema[column].dataType, T.FractionalType):
-        return F.expr(
+        return (
             f"CASE WHEN {name} = floor({name}) AND abs({name}) < 1e15"
             f" THEN string(try_cast({name} AS bigint)) ELSE string({name}) END"
         )
-    return ref(column).cast("string")
+    return f"string({name})"
+
+
+def as_text(df: DataFrame, column: str) -> Column:
+    """A value as the contract writes it: whole numbers without decimals."""
+    return F.expr(as_text_sql(df, column))
 
 
 def _strict_items(text: Column) -> Column:
@@ -90,15 +99,22 @@ def _cell(rule: str, column: str, value: Column) -> Column:
     return F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column_name"), value.alias("value"))
 
 
-def domain_cells(df: DataFrame, domains: Mapping[str, Sequence[str]], loose: bool = False) -> list[Column]:
+def items_outside(df: DataFrame, domains: Mapping[str, Sequence[str]], loose: bool = False) -> dict[str, Column]:
     """Per column an array of the items outside its allowed values."""
-    items, rule = (_loose_items, "domain_loose") if loose else (_strict_items, "domain")
+    items = _loose_items if loose else _strict_items
+    return {
+        c: F.array_except(items(as_text(df, c)), F.expr(f"array({', '.join(literals(allowed))})")) for c, allowed in domains.items()
+    }
+
+
+def domain_cells(df: DataFrame, domains: Mapping[str, Sequence[str]], loose: bool = False) -> list[Column]:
+    """The same as cells that name rule and column."""
+    rule = "domain_loose" if loose else "domain"
 
-    def outside(c: str, allowed: Sequence[str]) -> Column:
-        bad = F.array_except(items(as_text(df, c)), F.array(*[F.lit(v) for v in allowed]))
+    def cells(c: str, bad: Column) -> Column:
         return F.transform(bad, lambda v: _cell(rule, c, v))
 
-    return [outside(c, allowed) for c, allowed in domains.items()]
+    return [cells(c, bad) for c, bad in items_outside(df, domains, loose).items()]
 
 
 def domain_offenders(df: DataFrame, domains: Mapping[str, Sequence[str]], loose: bool = False) -> DataFrame:
@@ -109,32 +125,81 @@ def domain_offenders(df: DataFrame, domains: Mapping[str, Sequence[str]], loose:
     return _offenders(df, domain_cells(df, domains, loose))
 
 
-def family_tests(df: DataFrame, family: str = "^X") -> dict[str, Column]:
-    """Per column of the family the condition that its value is outside the allowed ones."""
-    tests = {}
-    for c in matching(matching(df.columns, family), "comments|note", negate=True):
-        value, numeric = ref(c), isinstance(df.schema[c].dataType, T.NumericType)
+_NO_OFFENDERS = "CAST(array() AS array<struct<place:int,number:double,text:string>>)"
+
+
+@dataclass(frozen=True)
+class FamilyCells:
+    """The cells of a family as arrays, and the places of those outside their values, as SQL text."""
+
+    columns: tuple[str, ...]
+    arrays: dict[str, str]
+    offenders: str  # array<struct<place int, number double, text string>>
+
+
+def family_cells(df: DataFrame, family: str = "^X") -> FamilyCells:
+    """Flags and coded levels of a family; notes are left out.
+
+    Doubles are one array for flags and one for levels; columns of other types give their offending values as text.
+    """
+    columns = matching(matching(df.columns, family), "comments|note", negate=True)
+    kinds = {c: df.schema[c].dataType for c in columns}
+    doubles = [c for c in columns if isinstance(kinds[c], T.DoubleType)]
+    flags = [c for c in doubles if "identified" in c]
+    levels = [c for c in doubles if "identified" not in c]
+    others = [c for c in columns if c not in set(doubles)]
+    flag_numbers = ", ".join(f"{float(v)!r}D" for v in FLAG_VALUES if v != "NE")
+    level_numbers = ", ".join(f"{v!r}D" for v in LEVEL_VALUES)
+
+    def other(c: str) -> str:
+        name, numeric = quoted(c), isinstance(kinds[c], T.NumericType)
         if "identified" in c:
-            allowed = value.isin(*[float(v) for v in FLAG_VALUES if v != "NE"]) if numeric else value.isin(*FLAG_VALUES)
+            allowed = f"{name} IN ({flag_numbers})" if numeric else f"{name} IN ({', '.join(literals(FLAG_VALUES))})"
         else:
-            allowed = (value if numeric else value.try_cast("double")).isin(*LEVEL_VALUES)
-        tests[c] = value.isNotNull() & ~F.coalesce(allowed, F.lit(False))
-    return tests
+            allowed = f"try_cast({name} AS double) IN ({level_numbers})"
+        return f"CASE WHEN {name} IS NOT NULL AND NOT coalesce({allowed}, false) THEN {as_text_sql(df, c)} END"
 
+    held = {
+        "flags": (flags, [quoted(c) for c in flags], f"x NOT IN ({flag_numbers})", f"{flag_numbers}, CAST(NULL AS double)"),
+        "levels": (levels, [quoted(c) for c in levels], f"x NOT IN ({level_numbers})", f"{level_numbers}, CAST(NULL AS double)"),
+        "others": (others, [other(c) for c in others], "x IS NOT NULL", "CAST(NULL AS string)"),
+    }
+    listed, found, arrays = [], [], {}
+    for name, (group, cells, outside, allowed) in held.items():
+        if not group:
+            continue
+        arrays[name] = f"array({', '.join(cells)})"
+        value = "CAST(NULL AS double) AS number, x AS text" if name == "others" else "x AS number, CAST(NULL AS string) AS text"
+        cell = f"CASE WHEN {outside} THEN struct(i + {len(listed)} AS place, {value}) END"
+        # A compiled test first: the loop, which Spark interprets, is for rows that have such a cell.
+        some = f"size(array_except({name}, array({allowed}))) > 0"
+        found.append(f"if({some}, filter(transform({name}, (x, i) -> {cell}), o -> o IS NOT NULL), {_NO_OFFENDERS})")
+        listed += group
+    return FamilyCells(tuple(listed), arrays, f"concat({', '.join(found)})" if found else _NO_OFFENDERS)
+
+
+def _names(names: Sequence[str], place: str) -> Column:
+    """The name at a place of a list, which may be long."""
+    return F.expr(f"array({', '.join(literals(names))})[{place}]" if names else "CAST(NULL AS string)")
 
-def _family_cells(df: DataFrame, tests: Mapping[str, Column]) -> Column:
-    """An array of the offending cells; only rows with one get as far as building cells."""
-    cells = [F.when(bad, _cell("family_domain", c, as_text(df, c))) for c, bad in tests.items()]
-    found = F.array_compact(F.array(*cells))
-    return F.when(any_of(tests.values()), found).otherwise(
-        F.array().cast("array<struct<rule:string,column_name:string,value:string>>")
-    )
+
+# A number as the contract writes it, from a double.
+_NUMBER_TEXT = (
+    "CASE WHEN number = floor(number) AND abs(number) < 1e15 THEN string(try_cast(number AS bigint)) ELSE string(number) END"
+)
 
 
 def family_offenders(df: DataFrame, family: str = "^X") -> DataFrame:
     """Flags and coded levels outside their values; null is allowed, notes are not looked at."""
-    tests = family_tests(df, family)
-    return _offenders(df.filter(any_of(tests.values())), [_family_cells(df, tests)])
+    cells = family_cells(df, family)
+    held = df.selectExpr(*[f"{text} AS {name}" for name, text in cells.arrays.items()]).select(F.expr(cells.offenders).alias("o"))
+    counts = held.select(F.inline("o")).groupBy("place", "number", "text").agg(F.count(F.lit(1)).alias("n_bad"))
+    return counts.select(
+        F.lit("family_domain").alias("rule"),
+        _names(cells.columns, "place").alias("column_name"),
+        F.expr(f"coalesce(text, {_NUMBER_TEXT})").alias("value"),
+        "n_bad",
+    )
 
 
 Counts = dict[tuple[str, str], Column]
@@ -244,13 +309,16 @@ def unflagged_rows(df: DataFrame, ids: Sequence[str], numbers: Sequence[str] | N
     if numbers is None:
         flags = matching(df.columns, "identified")
         numbers = [f"{number_in(c):g}" for c in flags]
-    tests = {}
-    for n in numbers:
-        scope, severity, timing = (ref(wide_name(n, m)) for m in ("scope", "severity", "timing"))
-        tests[n] = (ref(flag_name(n)) == 0) & (scope != 0) & (severity != 0) & (timing > 2)
-    found = F.array_compact(F.array(*[F.when(test, F.lit(n)) for n, test in tests.items()]))
-    failing = df.filter(any_of(tests.values()))
-    return failing.select(*refs(ids), F.explode(found).alias("threat_num"))
+    arrays = {
+        "flag": [flag_name(n) for n in numbers],
+        **{m: [wide_name(n, m) for n in numbers] for m in ("scope", "severity", "timing")},
+    }
+    held = df.select(
+        *refs(ids), *[F.expr(f"array({', '.join(f'CAST({quoted(c)} AS double)' for c in cs)})").alias(f"__{m}") for m, cs in arrays.items()]
+    )
+    wrong = "__flag[i] = 0 AND __scope[i] <> 0 AND __severity[i] <> 0 AND __timing[i] > 2"
+    places = F.expr(f"explode(filter(sequence(0, {len(numbers) - 1}), i -> {wrong}))")
+    return held.select(*refs(ids), places.alias("__place")).select(*refs(ids), _names(numbers, "__place").alias("threat_num"))
 
 
 def contract_counts(df: DataFrame, contract: Sequence[ContractRow]) -> Counts:
@@ -280,23 +348,46 @@ def validation_report(
     """
     counts = contract_counts(df, contract) | conditional_required(scopes)
     counts |= {(name, "row"): test for name, test in (row_rules or {}).items()}
-    none = F.lit(None).cast("string")
-    # In groups, so that no generated method gets too large to be compiled.
-    listed = list(counts.items())
-    cells = [
-        F.array_compact(F.array(*[F.when(test, _cell(rule, c, none)) for (rule, c), test in listed[i : i + 30]]))
-        for i in range(0, len(listed), 30)
-    ]
     domains = {r.column: r.values for r in contract if r.expectation == "vals"}
-    cells += domain_cells(df, {c: v for c, v in domains.items() if c not in loose})
-    cells += domain_cells(df, {c: v for c, v in domains.items() if c in loose}, loose=True)
-    if family:
-        tests = list(family_tests(df, family).items())
-        cells += [_family_cells(df, dict(tests[i : i + 30])) for i in range(0, len(tests), 30)]
-    # One scan for all these rules: offending cells alone become rows, counted before they move.
-    by_rule = _offenders(df, cells).groupBy("rule", "column_name").agg(
-        F.sum("n_bad").alias("n_bad"), F.count(F.lit(1)).alias("__values"), F.min("value").alias("__first")
+    outside = {("domain", c): x for c, x in items_outside(df, {c: v for c, v in domains.items() if c not in loose}).items()}
+    outside |= {("domain_loose", c): x for c, x in items_outside(df, {c: v for c, v in domains.items() if c in loose}, True).items()}
+    cells = family_cells(df, family) if family else FamilyCells((), {}, _NO_OFFENDERS)
+    # Places of rules: conditions, then lists, then the family's columns.
+    rules = [*counts, *outside, *[("family_domain", c) for c in cells.columns]]
+    first_list, first_cell = len(counts), len(counts) + len(outside)
+
+    tests = list(counts.values())
+    words = {f"tests{w}": F.array(*tests[at : at + WORD_BITS]) for w, at in enumerate(range(0, len(tests), WORD_BITS))}
+    held = df.select(
+        *[tests.alias(name) for name, tests in words.items()],
+        F.array(F.array().cast("array<string>"), *outside.values()).alias("lists"),  # the first is none
+        *[F.expr(text).alias(name) for name, text in cells.arrays.items()],
+    )
+    masks = [f"if(array_contains({name}, true), aggregate(reverse({name}), 0L, (m, t) -> m * 2 + if(t, 1L, 0L)), 0L)" for name in words]
+    broken = held.selectExpr(
+        f"CAST(array({', '.join(masks)}) AS array<bigint>) AS mask",
+        "if(size(flatten(lists)) > 0, flatten(transform(lists, (x, i) -> transform(x, v ->"
+        f" struct(i - 1 + {first_list} AS place, CAST(NULL AS double) AS number, v AS text)))), {_NO_OFFENDERS}) AS items",
+        f"transform({cells.offenders}, x -> struct(x.place + {first_cell} AS place, x.number AS number, x.text AS text)) AS cells",
+    )
+    # Masks and offending cells of a row in one list, so that the table is read once; equal ones are counted before they move.
+    none = "CAST(NULL AS array<bigint>) AS mask"
+    listed = (
+        "concat(if(exists(mask, m -> m <> 0),"
+        " array(struct(CAST(NULL AS int) AS place, CAST(NULL AS double) AS number, CAST(NULL AS string) AS text, mask)), array()),"
+        f" transform(concat(items, cells), x -> struct(x.place AS place, x.number AS number, x.text AS text, {none})))"
+    )
+    seen = broken.selectExpr(f"inline({listed})").groupBy("mask", "place", "number", "text").agg(F.count(F.lit(1)).alias("n"))
+    bits = f"filter(sequence(0, {max(len(counts) - 1, 0)}), i -> getbit(mask[CAST(i DIV {WORD_BITS} AS int)], i % {WORD_BITS}) = 1)"
+    decoded = seen.selectExpr(f"explode(if(mask IS NULL, array(place), {bits})) AS place", "number", "text", "n")
+    by_rule = decoded.groupBy("place").agg(
+        F.sum("n").alias("n_bad"), F.count(F.lit(1)).alias("__values"), F.min(F.expr(f"coalesce(text, {_NUMBER_TEXT})")).alias("__first")
     )
+    by_rule = by_rule.select(
+        _names([rule for rule, _ in rules], "place").alias("rule"),
+        _names([c for _, c in rules], "place").alias("column_name"),
+        "n_bad", "__values", "__first",
+    )
     message = F.when(
         F.col("rule").isin(*DOMAIN_RULES),
         F.concat(F.col("__values").cast("string"), F.lit(" values, e.g. "), F.col("__first")),

@@ -22,7 +22,7 @@ from tablewright.queries.taxonomy_queries import (
     taxonomy_table,
     wide_sql,
 )
-from tablewright.queries.validate_queries import write_contract
+from tablewright.queries.validate_queries import kept_contract
 from tablewright.session import written
 
 PREFIX = "https://registry.example.org/?q="
@@ -262,5 +262,5 @@ def _sql_family() -> str:
 )
 def _(t):
     """The built table, written once, against a contract kept in a file."""
-    contract = validate.read_contract(t.spark, write_contract(t.spark, CONTRACT))
+    contract = kept_contract(t.spark, tuple(CONTRACT))
     return validate.validation_report(written(built(t), "built"), contract, family="^X")

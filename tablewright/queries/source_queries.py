@@ -43,6 +43,25 @@ def _(t):
     return delimited.read_csv(t.spark, utf8)
 
 
+@query(
+    "src2_mixed_encodings",
+    """SELECT CAST(c_custkey AS BIGINT) AS c_custkey, replace(c_name, 'u', 'û') AS c_name,
+              concat(c_mktsegment, ' é') AS c_mktsegment FROM customer""",
+)
+def _(t):
+    """Files of two encodings in one folder; those that are UTF-8 already are taken as they are."""
+    path = scratch_path(t.spark, "mixed")
+    df = t.customer.select(
+        "c_custkey",
+        F.replace("c_name", F.lit("u"), F.lit("û")).alias("c_name"),
+        F.concat("c_mktsegment", F.lit(" é")).alias("c_mktsegment"),
+    )
+    delimited.write_csv(df.filter("c_custkey % 3 = 0"), path, encoding="ISO-8859-1")
+    delimited.write_csv(df.filter("c_custkey % 3 <> 0"), path, mode="append")
+    schema = _schema(c_custkey=_LONG, c_name=_TEXT, c_mktsegment=_TEXT)
+    return delimited.read_csv(t.spark, path, schema, fallback="ISO-8859-1")
+
+
 def _write_sheet(t, df, banner):
     """Export rows as text files, each with banner rows and a header above its rows."""
     path = scratch_path(t.spark, "sheet")

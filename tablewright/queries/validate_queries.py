@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import functions as F
 
 from tablewright.functions.names import ref
@@ -278,13 +280,14 @@ CONTRACT = [
     *[ContractRow(c, values, "vals", True) for c, values in DOMAINS.items()],
     *[ContractRow(c, SUBTYPES, "vals", True) for c in validate.LOOSE_COLUMNS],
 ]
-def write_contract(spark, contract) -> str:
-    """A contract as a file, as it is kept beside the data."""
+@lru_cache(maxsize=8)
+def kept_contract(spark, contract: tuple[ContractRow, ...]) -> list[ContractRow]:
+    """A contract as it is read from its file, which is written and read once in a session."""
     rows = [(r.column, ", ".join(r.values) or None, r.expectation, "1" if r.na_allowed else "0") for r in contract]
     path = scratch_path(spark, "contract")
     columns = "colnms string, vals string, expectation string, na_allowed string"
     write_csv(spark.createDataFrame(rows, columns).coalesce(1), path)
-    return path
+    return validate.read_contract(spark, path)
 
 
 _SQL_REPORT = (
@@ -307,5 +310,5 @@ _SQL_REPORT = (
 )
 def _(t):
     scopes = validate.document_requirements()
-    contract = validate.read_contract(t.spark, write_contract(t.spark, CONTRACT))
+    contract = kept_contract(t.spark, tuple(CONTRACT))
     return validate.validation_report(documents_view(t), contract, scopes, _rules(), family="^X")

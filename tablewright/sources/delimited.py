@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from tablewright.functions.names import quoted, ref, schema_from_names
 from tablewright.functions.text import null_tokens
 from tablewright.operators.columns import apply_across
+from tablewright.sources.records import csv_records
 
 # Fixed value: the text that stands for a missing value in the files.
 NA = "NA"
@@ -46,19 +48,36 @@ def read_csv(
     encoding: str = "UTF-8",
     multi_line: bool = False,
     na_tokens: Sequence[str] = (NA,),
+    fallback: str | None = None,
 ) -> DataFrame:
     """Files with a header row.
 
-    Without a schema, types follow the column names. Files are split between tasks; with
-    ``multi_line=True`` quoted fields may span lines, and a file is read by one task.
+    Without a schema, types follow the column names. Files are split between tasks, also with ``multi_line=True``, where
+    quoted fields may span lines (see :mod:`tablewright.sources.records`). With ``fallback``, files that are not valid
+    UTF-8 are read in that encoding; this too reads records.
     """
-    reader = spark.read.options(**_csv_options(encoding)).option("multiLine", multi_line)
+    reader = spark.read.options(**_csv_options(encoding))
     if schema is None:
         # Only the header is looked at: a schema is built from it, and data are not sampled.
-        schema = schema_from_names(reader.option("inferSchema", False).csv(path).columns)
+        names = first_record(spark, path, fallback) if fallback else reader.option("multiLine", multi_line).csv(path).columns
+        schema = schema_from_names(names)
+    if multi_line or fallback:
+        options = {k: v for k, v in _csv_options(encoding).items() if k not in ("header", "encoding")}
+        body = csv_records(spark, path, encoding, fallback).filter(~F.col("is_first"))
+        row = F.from_csv("record", F.lit(_text_schema(schema).toDDL()), {**options, "multiLine": True})
+        texts = body.select(row.alias("row")).select([ref(f.name, "row").alias(f.name) for f in schema.fields])
+        return _typed(drop_tokens(texts, na_tokens), schema)
     return _typed(drop_tokens(reader.schema(_text_schema(schema)).csv(path), na_tokens), schema)
 
 
+def first_record(spark: SparkSession, path: str, fallback: str) -> list[str]:
+    """The header of files of two encodings, which must agree on it; two are enough to see that they differ."""
+    found = [r["record"] for r in csv_records(spark, path, fallback=fallback).filter("is_first").select("record").distinct().limit(2).collect()]
+    if len(found) != 1:
+        raise ValueError(f"expected one header, found {'none' if not found else 'several'}")
+    return next(csv.reader(io.StringIO(found[0], newline="")))
+
+
 def drop_tokens(df: DataFrame, tokens: Sequence[str]) -> DataFrame:
     """Null for every text value that is one of the tokens."""
     return apply_across(df, lambda c: null_tokens(c, list(tokens)), of_type="string") if tokens else df
@@ -71,9 +90,10 @@ def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8", mode: str = "er
 def recode_csv(
     spark: SparkSession, source: str, target: str, encoding: str = "ISO-8859-1", multi_line: bool = False
 ) -> None:
-    """Rewrite files of another encoding as UTF-8, all values as text."""
-    reader = spark.read.options(**_csv_options(encoding)).option("multiLine", multi_line)
-    write_csv(reader.csv(source), target)
+    """Rewrite files of another encoding as UTF-8, all values as text; files that are UTF-8 already are not recoded again."""
+    names = first_record(spark, source, encoding)
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    write_csv(read_csv(spark, source, text, multi_line=multi_line, na_tokens=(), fallback=encoding), target)
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:

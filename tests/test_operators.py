@@ -1,5 +1,6 @@
 """Joins, changes, grouped filters, reshaping and sources on small fixtures."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F, types as T
 
 from tablewright.operators import aggregates, changes, columns, grouped, joins, reshape
 from tablewright.session import scratch_path, shared_dir
-from tablewright.sources import delimited, snapshots
+from tablewright.sources import delimited, records, snapshots
 
 
 @pytest.fixture(scope="module")
@@ -314,6 +315,58 @@ def test_csv_round_trip(spark):
         delimited.write_csv(df, path)
 
 
+@pytest.fixture
+def small_splits(spark):
+    settings = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.openCostInBytes": "1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def test_records_over_many_splits(spark, tmp_path, small_splits):
+    rng = random.Random(3)
+    pieces = ["a", "é", " ", "\n", "\r\n", ",", '""', "\n\n", "NA", "x" * 90, "\n" * 70]
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for name in ("one", "two"):
+        lines = ['id,"a ""name""\nin two lines"']
+        for i in range(300):
+            body = "".join(rng.choices(pieces, weights=[9, 9, 9, 3, 2, 4, 3, 1, 1, 1, 0.3], k=rng.randint(0, 12)))
+            lines.append(rng.choice([f'{name}{i},"{body}"', f"{name}{i},plain", f"{name}{i},", ""]))
+        (folder / f"{name}.csv").write_bytes("\n".join(lines).encode())
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "body")])
+    whole = spark.read.options(header=True, quote='"', escape='"', nullValue="NA", multiLine=True).schema(schema).csv(str(folder))
+    out = delimited.read_csv(spark, str(folder), schema, multi_line=True)
+    assert rows(out) == rows(whole) and out.count() > 400
+    assert records.csv_records(spark, str(folder)).filter("not is_first").select(F.spark_partition_id()).distinct().count() > 4
+    assert delimited.read_csv(spark, str(folder), multi_line=True).columns == ["id", 'a "name"\nin two lines']
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("k,v\n", []), ("k,v\n1,2", [("1", "2")]), ("k,v\r\n1,\"a\r\nb\"\r\n", [("1", "a\r\nb")]),
+    ('k,v\n1,"' + "long " * 100 + '\n"\n2,3\n', [("1", "long " * 100 + "\n"), ("2", "3")]), ("k,v\n\n\n1,2\n\n", [("1", "2")]),
+])
+def test_records_at_the_edges(spark, tmp_path, small_splits, text, expected):
+    (tmp_path / "edge.csv").write_bytes(text.encode())
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in "kv"])
+    assert rows(delimited.read_csv(spark, str(tmp_path / "edge.csv"), schema, multi_line=True)) == expected
+
+
+def test_files_of_two_encodings(spark, tmp_path, small_splits):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "old.csv").write_bytes("namé,v\nrené,1\n".encode("latin-1") + b"plain,2\n" * 40)
+    (folder / "new.csv").write_bytes(b"nam\xc3\xa9,v\n" + b"plain,3\n" * 40 + "zoé,4\n".encode())
+    out = delimited.read_csv(spark, str(folder), fallback="ISO-8859-1")
+    assert out.columns == ["namé", "v"] and out.count() == 82
+    assert {r[0] for r in out.collect()} == {"rené", "plain", "zoé"}
+    target = scratch_path(spark, "recoded")
+    delimited.recode_csv(spark, str(folder), target)
+    assert rows(delimited.read_csv(spark, target)) == rows(out)
+
+
 def test_read_csv_nulls_values_that_do_not_fit(spark):
     path = scratch_path(spark, "typed")
     delimited.write_csv(spark.createDataFrame([("NE", "2020-01-02"), ("2018", "x")], "year string, web_date string"), path)
