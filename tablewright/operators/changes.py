@@ -1,4 +1,8 @@
-"""Keyed changes: each takes a table and a batch and gives the next version of the table."""
+"""Keyed changes: each takes a table and a batch and gives the next version of the table.
+
+A null key matches a null key, unless ``null_keys`` is false: then keys are compared plainly, so that a table that is
+bucketed by them (:mod:`tablewright.sources.keyed`) is joined where it lies.
+"""
 
 from __future__ import annotations
 
@@ -23,8 +27,12 @@ def _require_subset(batch: DataFrame, table: DataFrame) -> None:
         raise ValueError(f"the batch has columns that the table lacks: {unknown}")
 
 
+def _on(by: Sequence[str], null_keys: bool) -> Column:
+    return reduce(and_, [ref(k, "l").eqNullSafe(ref(k, "r")) if null_keys else ref(k, "l") == ref(k, "r") for k in by])
+
+
 def _matched(
-    table: DataFrame, batch: DataFrame, by: Sequence[str], unmatched: str, check: bool = True
+    table: DataFrame, batch: DataFrame, by: Sequence[str], unmatched: str, check: bool = True, null_keys: bool = True
 ) -> DataFrame:
     """The table (``l``) joined with a batch (``r``, with a hit mark) whose keys are unique.
 
@@ -35,7 +43,7 @@ def _matched(
     if check:
         batch = unique_or_error(batch, by, "batch")
     right = batch.withColumn(_HIT, F.lit(True)).alias("r")
-    test = reduce(and_, [ref(k, "l").eqNullSafe(ref(k, "r")) for k in by])
+    test = _on(by, null_keys)
     if not check or unmatched == "ignore":
         return table.alias("l").join(right, test, "left")
     return _all_known(table.withColumn(_ROW, F.lit(True)).alias("l").join(right, test, "full"), by)
@@ -53,7 +61,12 @@ def _typed(table: DataFrame, name: str) -> Column:
 
 
 def rows_update(
-    table: DataFrame, batch: DataFrame, by: Sequence[str], unmatched: str = "error", check: bool = True
+    table: DataFrame,
+    batch: DataFrame,
+    by: Sequence[str],
+    unmatched: str = "error",
+    check: bool = True,
+    null_keys: bool = True,
 ) -> DataFrame:
     """Overwrite matching rows with the batch's values, nulls included.
 
@@ -62,7 +75,7 @@ def rows_update(
     """
     changed = set(names.difference(batch.columns, by))
     hit = F.col(f"r.{_HIT}").isNotNull()
-    return _matched(table, batch, by, unmatched, check).select(
+    return _matched(table, batch, by, unmatched, check, null_keys).select(
         [
             F.when(hit, _typed(table, c)).otherwise(ref(c, "l")).alias(c) if c in changed else ref(c, "l")
             for c in table.columns
@@ -71,11 +84,16 @@ def rows_update(
 
 
 def rows_patch(
-    table: DataFrame, batch: DataFrame, by: Sequence[str], unmatched: str = "error", check: bool = True
+    table: DataFrame,
+    batch: DataFrame,
+    by: Sequence[str],
+    unmatched: str = "error",
+    check: bool = True,
+    null_keys: bool = True,
 ) -> DataFrame:
     """As :func:`rows_update`, but only where the table holds null."""
     changed = set(names.difference(batch.columns, by))
-    return _matched(table, batch, by, unmatched, check).select(
+    return _matched(table, batch, by, unmatched, check, null_keys).select(
         [
             F.coalesce(ref(c, "l"), _typed(table, c)).alias(c) if c in changed else ref(c, "l")
             for c in table.columns
@@ -84,7 +102,7 @@ def rows_patch(
 
 
 def rows_insert(
-    table: DataFrame, batch: DataFrame, by: Sequence[str], conflict: str = "error"
+    table: DataFrame, batch: DataFrame, by: Sequence[str], conflict: str = "error", null_keys: bool = True
 ) -> DataFrame:
     """Append rows whose key is new; a key already there is an error, or ignored on request.
 
@@ -92,10 +110,10 @@ def rows_insert(
     """
     _require_subset(batch, table)
     if conflict == "ignore":
-        batch = anti_join(batch, table.select(refs(by)), by)
+        batch = anti_join(batch, table.select(refs(by)), by, null_keys)
     else:
         there = key_rows(table, by).withColumn(_ROW, F.lit(True)).alias("r")
-        test = reduce(and_, [ref(k, "l").eqNullSafe(ref(k, "r")) for k in by])
+        test = _on(by, null_keys)
         message = key_message(f"keys {list(by)} already in the table, e.g. ", [ref(k, "l") for k in by])
         new = F.when(F.col(f"r.{_ROW}").isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)
         joined = unique_or_error(batch, by, "batch").alias("l").join(there, test, "left")
@@ -104,13 +122,18 @@ def rows_insert(
 
 
 def rows_delete(
-    table: DataFrame, batch: DataFrame, by: Sequence[str], unmatched: str = "error", check: bool = True
+    table: DataFrame,
+    batch: DataFrame,
+    by: Sequence[str],
+    unmatched: str = "error",
+    check: bool = True,
+    null_keys: bool = True,
 ) -> DataFrame:
     """Remove rows by key; other batch columns are ignored, and keys may repeat."""
     if not check or unmatched == "ignore":
-        return anti_join(table, batch, by)
+        return anti_join(table, batch, by, null_keys)
     gone = key_rows(batch, by).withColumn(_HIT, F.lit(True)).alias("r")
-    test = reduce(and_, [ref(k, "l").eqNullSafe(ref(k, "r")) for k in by])
+    test = _on(by, null_keys)
     joined = _all_known(table.withColumn(_ROW, F.lit(True)).alias("l").join(gone, test, "full"), by)
     return joined.filter(F.col(f"r.{_HIT}").isNull()).select([ref(c, "l") for c in table.columns])
 
@@ -154,6 +177,7 @@ def route_changes(
     fill_also: Sequence[str] = (),
     sentinel: str = "NE",
     unmatched: str = "error",
+    null_keys: bool = True,
 ) -> DataFrame:
     """Apply a batch whose verb says, row by row, what to do.
 
@@ -194,7 +218,7 @@ def route_changes(
             old, new = ref(name, "l"), _typed(table, name)
         return F.when(hit, new).otherwise(old).alias(name)
 
-    test = reduce(and_, [ref(k, "l").eqNullSafe(ref(k, "r")) for k in by])
+    test = _on(by, null_keys)
     if unmatched == "error":
         joined = _all_known(table.withColumn(_ROW, F.lit(True)).alias("l").join(winner.alias("r"), test, "full"), by)
     else:

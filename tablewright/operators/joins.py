@@ -38,8 +38,10 @@ def _absent(df: DataFrame) -> Side:
     return lambda name: F.lit(None).cast(types[name])
 
 
-def _condition(pairs: Mapping[str, str], extra: Callable[[Side, Side], Column] | None = None) -> Column:
-    parts = [_left(x).eqNullSafe(_right(y)) for x, y in pairs.items()]
+def _condition(
+    pairs: Mapping[str, str], extra: Callable[[Side, Side], Column] | None = None, null_keys: bool = True
+) -> Column:
+    parts = [_left(x).eqNullSafe(_right(y)) if null_keys else _left(x) == _right(y) for x, y in pairs.items()]
     if extra is not None:
         parts.append(extra(_left, _right))
     return reduce(and_, parts)
@@ -60,10 +62,10 @@ def semi_join(x: DataFrame, y: DataFrame, by: By) -> DataFrame:
     return _join(x, key_rows(y, list(pairs.values())), _condition(pairs), "left_semi")
 
 
-def anti_join(x: DataFrame, y: DataFrame, by: By) -> DataFrame:
-    """Left rows without a match; a null key matches a null key."""
+def anti_join(x: DataFrame, y: DataFrame, by: By, null_keys: bool = True) -> DataFrame:
+    """Left rows without a match; a null key matches a null key, unless ``null_keys`` is false."""
     pairs = key_pairs(by)
-    return _join(x, key_rows(y, list(pairs.values())), _condition(pairs), "left_anti")
+    return _join(x, key_rows(y, list(pairs.values())), _condition(pairs, null_keys=null_keys), "left_anti")
 
 
 def drop_matching(x: DataFrame, keys_to_drop: DataFrame, by: By, where: Column) -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tablewright.operators import changes
 from tablewright.operators.joins import left_join
 from tablewright.queries.registry import query
+from tablewright.session import scratch_path
+from tablewright.sources import keyed
 
 _NULLED = "(SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 <> 0 THEN c_acctbal END AS c_acctbal FROM customer)"
 _BATCH = """(SELECT c_custkey, CASE WHEN c_custkey % 4 <> 0 THEN c_acctbal + 1000 END AS c_acctbal
@@ -122,3 +126,32 @@ def _(t):
     )
     columns = changes.sentinel_columns(df, "^miss", df.columns, also=["lang"])
     return changes.fill_sentinel(df, columns, F.col("doc_id") % 2 == 0).drop("miss_all")
+
+
+_ROUND = """(SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice * 2 END AS o_totalprice, 'P' AS o_orderstatus
+             FROM orders WHERE o_custkey % 40 = 3)"""
+
+
+@query(
+    "chg1_keyed_table",
+    f"""SELECT o.o_orderkey, o.o_custkey, CASE WHEN b.o_orderkey IS NULL THEN o.o_totalprice ELSE b.o_totalprice END AS o_totalprice,
+               coalesce(b.o_orderstatus, o.o_orderstatus) AS o_orderstatus, o.o_orderpriority
+        FROM orders o LEFT JOIN {_ROUND} b ON o.o_orderkey = b.o_orderkey
+        WHERE o.o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_custkey % 50 = 7)
+        UNION ALL SELECT o_orderkey + 100000000, o_custkey, NULL, NULL, o_orderpriority FROM orders WHERE o_custkey % 60 = 11""",
+)
+def _(t):
+    """Rounds of updates, deletions and insertions on a table that is kept by its key."""
+    name = f"orders_{uuid.uuid4().hex}"
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    keyed.create_keyed(orders, name, ["o_orderkey"], parts=16, buckets=4, path=scratch_path(t.spark, "keyed"))
+    price = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_totalprice") * 2).alias("o_totalprice")
+    batch = t.orders.filter("o_custkey % 40 = 3").select("o_orderkey", price, F.lit("P").alias("o_orderstatus"))
+    keyed.change_keyed(t.spark, name, batch, changes.rows_update)
+    gone = t.orders.filter("o_custkey % 50 = 7").select("o_orderkey")
+    keyed.change_keyed(t.spark, name, gone, changes.rows_delete)
+    new = t.orders.filter("o_custkey % 60 = 11").select(
+        (F.col("o_orderkey") + 100000000).alias("o_orderkey"), "o_custkey", "o_orderpriority"
+    )
+    keyed.change_keyed(t.spark, name, new, changes.rows_insert)
+    return keyed.keyed_table(t.spark, name)

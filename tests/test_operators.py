@@ -1,7 +1,9 @@
 """Joins, changes, grouped filters, reshaping and sources on small fixtures."""
 
 import random
+import uuid
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from compare import rows
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F, types as T
 
 from tablewright.operators import aggregates, changes, columns, grouped, joins, reshape
 from tablewright.session import scratch_path, shared_dir
-from tablewright.sources import delimited, records, snapshots
+from tablewright.sources import delimited, keyed, records, snapshots
 
 
 @pytest.fixture(scope="module")
@@ -413,3 +415,69 @@ def test_inline_table(spark):
 def test_shared_dir_is_the_configured_one(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert configured is None or shared_dir(spark) == configured
+
+
+def files_of(spark, path):
+    """Files of a table and when they were written, by partition."""
+    out = {}
+    for file in Path(path).rglob("*.parquet"):
+        out.setdefault(int(file.parent.name.split("=")[1]), set()).add((file.name, file.stat().st_mtime_ns))
+    return out
+
+
+@pytest.fixture
+def kept(spark):
+    name, path = f"kept_{uuid.uuid4().hex}", scratch_path(spark, "kept")
+    df = spark.range(2000).selectExpr("id AS k", "concat('n', id) AS n", "id * 2 AS v")
+    keyed.create_keyed(df, name, ["k"], parts=50, buckets=3, path=path)
+    yield name, path
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_keyed_rounds_rewrite_only_what_they_touch(spark, kept):
+    name, path = kept
+    expected = {i: (f"n{i}", i * 2) for i in range(2000)}
+    batch = spark.createDataFrame([(3, 30), (77, None)], "k bigint, v bigint")
+    before = files_of(spark, path)
+    touched = keyed.change_keyed(spark, name, batch, changes.rows_update)
+    after = files_of(spark, path)
+    expected[3], expected[77] = ("n3", 30), ("n77", None)
+    assert len(before) == 50 and 1 <= len(touched) <= 2
+    assert {p for p in before if before[p] != after[p]} == set(touched)
+    keyed.change_keyed(spark, name, spark.createDataFrame([(77, 5)], "k bigint, v bigint"), changes.rows_patch)
+    keyed.change_keyed(spark, name, spark.createDataFrame([(5000, "new")], "k bigint, n string"), changes.rows_insert)
+    expected[77], expected[5000] = ("n77", 5), ("new", None)
+    assert {r["k"]: (r["n"], r["v"]) for r in keyed.keyed_table(spark, name).collect()} == expected
+    # A partition that loses all its rows.
+    gone = keyed.keyed_table(spark, name).filter(F.pmod(F.xxhash64("k"), F.lit(50)) == touched[0]).select("k")
+    lost = {r["k"] for r in gone.collect()}
+    keyed.change_keyed(spark, name, gone, changes.rows_delete)
+    assert {r["k"] for r in keyed.keyed_table(spark, name).collect()} == set(expected) - lost
+    assert spark.sql(f"SHOW PARTITIONS {name}").filter(f"partition = 'key_part={touched[0]}'").count() == 0
+    with pytest.raises(Exception, match="not in the table"):
+        keyed.change_keyed(spark, name, spark.createDataFrame([(999999, 1)], "k bigint, v bigint"), changes.rows_update)
+    assert keyed.change_keyed(spark, name, spark.createDataFrame([], "k bigint, v bigint"), changes.rows_update) == []
+
+
+def test_keyed_table_is_not_shuffled(spark, kept):
+    name, _ = kept
+    batch = spark.range(500).selectExpr("id AS k", "id AS v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for change in (changes.rows_update, changes.rows_patch, changes.rows_delete):
+            rows_after, _ = keyed.next_rows(spark, name, batch, change)
+            plan = rows_after._jdf.queryExecution().executedPlan().toString()
+            lines = plan.split("\n")
+            scan = next(i for i, line in enumerate(lines) if name in line and "Scan parquet" in line)
+            join = max(i for i, line in enumerate(lines[:scan]) if "SortMergeJoin" in line)
+            assert not any("Exchange" in line for line in lines[join:scan]), plan
+            assert "Bucketed: true" in lines[scan]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_keyed_table_refuses_null_and_repeated_keys(spark):
+    for values, message in (([(1, 2), (None, 3)], "null in the key"), ([(1, 2), (1, 3)], "not unique")):
+        df = spark.createDataFrame(values, "k int, v int")
+        with pytest.raises(Exception, match=message):
+            keyed.create_keyed(df, f"bad_{uuid.uuid4().hex}", ["k"], path=scratch_path(spark, "bad"))
