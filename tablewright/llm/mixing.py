@@ -9,7 +9,8 @@ Without a budget the total is the smallest that uses every source whole, so no d
 used once and others up to the limit. A source is cut into blocks by a hash of the id. Each epoch is a permutation of
 the blocks (order them by ``place``); the last, partial epoch takes blocks in that order while the budget lasts, and of
 the block that it ends in, documents in hash order. A source's plan is thus four numbers, whatever its size, and no
-task holds a source: sums are pre-aggregated, and the two running sums go over one source's blocks and one block's rows.
+task holds a source: sums are pre-aggregated, and running sums go over ``RANGES`` ranges of a source's blocks, the blocks of
+one range, and one block's rows.
 
 Null sources form a source of their own; null and empty texts have no tokens. A source without tokens has no share and
 each of its rows occurs once. Rows that repeat an id go the same way. An empty table gives an empty mixture.
@@ -27,6 +28,8 @@ from tablewright.llm.shared import packed, text_or_empty, written
 # Production parameters of the query and the stage.
 TARGET_ENTROPY, MAX_REPEATS, BLOCK_TOKENS, SEED = 0.9, 2.0, 1_000_000, 17
 HALVINGS, PASSES = 5, 4
+RANGE_BITS = 10
+RANGES = 1 << RANGE_BITS  # ranges of places that a source's blocks are first summed by
 
 
 def n_words(text: str) -> Column:
@@ -132,8 +135,15 @@ def mixture_plan(
     dealt = slim.join(partial, F.col("source").eqNullSafe(F.col("of"))).withColumn("block", block)
     by_block = dealt.groupBy("of", "block", "whole", "need").agg(F.sum("n_tokens").alias("t"))
     by_block = by_block.withColumn("place", _place(F.col("of"), F.col("block"), F.col("whole"), seed))
-    running = F.sum("t").over(Window.partitionBy("of").orderBy("place", "block").rowsBetween(Window.unboundedPreceding, 0))
-    crossing = by_block.withColumn("upto", running).filter("upto > need and upto - t <= need")
+    # First the range of places that the budget ends in, at most ``RANGES`` rows a source, then the block among its blocks.
+    by_block = written(by_block.withColumn("range", F.expr(f"shiftright(place, {64 - RANGE_BITS})")), "mixing-blocks")
+    before = Window.partitionBy("of").orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
+    ranges = by_block.groupBy("of", "range", "need").agg(F.sum("t").alias("in_range")).withColumn("upto", F.sum("in_range").over(before))
+    ending = ranges.filter("upto > need and upto - in_range <= need")
+    ending = ending.select(F.col("of").alias("in"), F.col("range").alias("at_range"), (F.col("upto") - F.col("in_range")).alias("before"))
+    last = by_block.join(ending, F.col("of").eqNullSafe(F.col("in")) & (F.col("range") == F.col("at_range")))
+    order = Window.partitionBy("of").orderBy("place", "block").rowsBetween(Window.unboundedPreceding, 0)
+    crossing = last.withColumn("upto", F.col("before") + F.sum("t").over(order)).filter("upto > need and upto - t <= need")
     crossing = crossing.groupBy("of").agg(
         F.min(F.struct("place", "block", (F.col("need") - F.col("upto") + F.col("t")).alias("left"))).alias("at")
     )
@@ -155,7 +165,8 @@ def mixed(
     df: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED, **targets
 ) -> DataFrame:
     """The rows of ``df``, each as often as its source's plan says, with ``mix_source_weight``, ``mix_epoch``,
-    ``mix_block`` and ``mix_place`` (order of the block in its epoch). ``targets`` as in ``mixture_plan``."""
+    ``mix_block`` and ``mix_place`` (order of the block in its epoch), which replace columns of these names. ``targets`` as
+    in ``mixture_plan``."""
     key, src = _key(id_column, seed), F.col(f"`{source}`")
     slim = df.select(src.alias("source"), key.alias("key"), n_words(f"`{text}`").alias("n_tokens"))
     slim = written(slim, "mixing-rows")
@@ -175,4 +186,6 @@ def mixed(
         "row", "source", F.col("weight").alias("mix_source_weight"), F.explode(epochs).alias("mix_epoch"), F.col("block").alias("mix_block")
     )
     place = _place(F.col("source"), F.col("mix_block"), F.col("mix_epoch"), seed)
-    return out.select("row.*", "mix_source_weight", "mix_epoch", "mix_block", place.alias("mix_place"))
+    names = ("mix_source_weight", "mix_epoch", "mix_block", "mix_place")
+    kept = [F.col(f"row.`{c}`") for c in df.columns if c not in names]
+    return out.select(*kept, "mix_source_weight", "mix_epoch", "mix_block", place.alias("mix_place"))

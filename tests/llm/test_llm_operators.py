@@ -449,6 +449,76 @@ def test_words_beyond_the_memory(spark, monkeypatch):
 # 9
 
 
+def test_mixture_against_brute_force(spark):
+    rng = random.Random(12)
+    texts = ["w " * rng.randrange(0, 40) for _ in range(900)]
+    sources = [rng.choice(["hot"] * 12 + ["b", "c", "c", None]) for _ in texts]
+    df = documents(spark, texts, source=sources).withColumn("mix_block", F.lit("clash"))
+    seed, block_tokens, limit, target = 5, 60, 2.3, 0.9
+    counts = {}
+    for t, s in zip(texts, sources):
+        counts[s] = counts.get(s, 0) + len(t.split())
+    shares = {s: n / sum(counts.values()) for s, n in counts.items()}
+
+    def weights(a):
+        raised = {s: p**a for s, p in shares.items()}
+        return {s: w / sum(raised.values()) for s, w in raised.items()}
+
+    def entropy(a):
+        return -sum(w * math.log(w) for w in weights(a).values())
+
+    def repeats(a):
+        return (max(shares.values()) / min(shares.values())) ** (1 - a)
+
+    grid = [i / 200_000 for i in range(200_001)]
+    a = max(x for x in grid if entropy(x) >= target * entropy(0.0)) if entropy(1.0) < target * entropy(0.0) else 1.0
+    if repeats(a) > limit:
+        a = min(x for x in grid if repeats(x) <= limit)
+    out = mixing.mixed(df, seed=seed, block_tokens=block_tokens, max_repeats=limit, target_entropy=target)
+    assert out.columns.count("mix_block") == 1
+    plan = {r["source"]: r for r in out.groupBy("source").agg(F.first("mix_source_weight").alias("w")).collect()}
+    for s, w in weights(a).items():
+        assert abs(plan[s]["w"] - w) < 1e-4
+    # The same blocks and places, taken one by one.
+    blocks = F.create_map(*[x for s, n in counts.items() if s is not None for x in (F.lit(s), F.lit(-(-n // block_tokens)))])
+    number = F.coalesce(blocks[F.col("source")], F.lit(-(-counts[None] // block_tokens)))
+    key = mixing._key("doc_id", seed)
+    exact = mixing.mixture_plan(
+        df.select("source", key.alias("key"), mixing.n_words("text").alias("n_tokens")), target, limit, None, block_tokens, seed
+    )
+    plans = {r["source"]: (r["whole"], r["need"]) for r in exact.collect()}
+    wholes = F.create_map(*[x for s, (w, _) in plans.items() if s is not None for x in (F.lit(s), F.lit(w))])
+    whole = F.coalesce(wholes[F.col("source")], F.lit(plans[None][0]))
+    block = mixing._block(key, number.cast("bigint"))
+    rows = df.select("doc_id", "source", "text", key.alias("key"), block.alias("block"), mixing._place(F.col("source"), block, whole.cast("bigint"), seed).alias("place")).collect()
+    expected = {}
+    for s, (times, need) in plans.items():
+        left = need
+        mine = sorted((r for r in rows if r["source"] == s), key=lambda r: (r["place"], r["block"], r["key"]))
+        stopped = need <= 0
+        for at in sorted({(r["place"], r["block"]) for r in mine}):
+            members = [r for r in mine if (r["place"], r["block"]) == at]
+            tokens = sum(len(r["text"].split()) for r in members)
+            for r in members:
+                expected[r["doc_id"]] = times
+            if stopped:
+                continue
+            if tokens > left:
+                for r in members:
+                    left -= len(r["text"].split())
+                    if left < 0:
+                        break
+                    expected[r["doc_id"]] += 1
+                stopped = True
+            else:
+                left -= tokens
+                for r in members:
+                    expected[r["doc_id"]] += 1
+    got = {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()}
+    assert got == {k: v for k, v in expected.items() if v}
+    assert len(set(got.values())) > 1
+
+
 def mix_table(spark):
     texts, sources = [], []
     for source, n in (("big", 900), ("middle", 300), ("small", 60), (None, 120)):
