@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 # Runtime settings the operators rely on. Adaptive execution splits a join partition that one hot key
 # has made too large; forcing the split keeps that true when a later step uses the same keys. Generated
 # methods above 8000 bytes are never compiled by the JVM, which wide tables run into; below that limit
-# Spark evaluates such a stage by smaller methods, several times faster.
+# Spark evaluates such a stage by smaller methods, several times faster. Arrow batches are held whole by Python
+# workers, some of them twice, so they are kept small.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.session.timeZone": "UTC",
 }
 
