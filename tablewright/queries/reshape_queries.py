@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import reshape
 from tablewright.queries.registry import query
+from tablewright.session import scratch_path
+from tablewright.sources import snapshots
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
@@ -124,3 +126,34 @@ def _(t):
         "c_mktsegment",
     )
     return reshape.source_diff(old, new, ["c_custkey"], ("old_value", "new_value"))
+
+
+_NEXT = """(SELECT o_orderkey, CASE WHEN o_orderkey % 400 = 2 THEN NULL WHEN o_orderkey % 200 = 3 THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+                   CASE WHEN o_orderkey % 300 = 7 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey
+            FROM orders WHERE o_orderkey % 500 <> 5
+            UNION ALL SELECT o_orderkey + 100000000, o_orderstatus, o_custkey FROM orders WHERE o_orderkey % 700 = 1)"""
+
+
+def _sql_cells(column: str) -> str:
+    return f"""SELECT o_orderkey, 'changed' AS change, '{column}' AS column_name, CAST(x.{column} AS VARCHAR) AS old_value,
+               CAST(y.{column} AS VARCHAR) AS new_value FROM orders x JOIN {_NEXT} y USING (o_orderkey)
+               WHERE x.{column} IS DISTINCT FROM y.{column}"""
+
+
+@query(
+    "rsh7_snapshot_diff",
+    f"""{_sql_cells("o_orderstatus")} UNION ALL {_sql_cells("o_custkey")}
+        UNION ALL SELECT o_orderkey, 'removed', NULL, NULL, NULL FROM orders WHERE o_orderkey % 500 = 5
+        UNION ALL SELECT o_orderkey + 100000000, 'added', NULL, NULL, NULL FROM orders WHERE o_orderkey % 700 = 1""",
+)
+def _(t):
+    """Two versions written in buckets with digests; only buckets that differ are read again."""
+    path, key = scratch_path(t.spark, "versions"), F.col("o_orderkey")
+    old = t.orders.select("o_orderkey", "o_orderstatus", "o_custkey")
+    status = F.when(key % 400 == 2, None).when(key % 200 == 3, "X").otherwise(F.col("o_orderstatus"))
+    customer = F.when(key % 300 == 7, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))
+    new = old.filter(key % 500 != 5).select(key, status.alias("o_orderstatus"), customer.alias("o_custkey"))
+    new = new.unionByName(old.filter(key % 700 == 1).withColumn("o_orderkey", key + 100000000))
+    snapshots.write_digested(old, path, "2020-01-01", ["o_orderkey"], buckets=32)
+    snapshots.write_digested(new, path, "2020-02-01", ["o_orderkey"], buckets=32)
+    return snapshots.snapshot_diff(t.spark, path, "2020-01-01", "2020-02-01", ["o_orderkey"])
