@@ -1,5 +1,7 @@
 """Composed operators on small fixtures."""
 
+import random
+
 import pytest
 from compare import rows
 from pyspark.sql import functions as F
@@ -309,3 +311,27 @@ def test_build_checks(spark):
     docs = spark.createDataFrame([(1,), (1,), (2,)], "docID int")
     wide = spark.createDataFrame([(1, None), (1, None), (1, 2)], "uID int, docID int")
     assert rows(build.build_checks(docs, wide)) == sorted([("documents", "1", 2), ("categories", "1", 2)], key=repr)
+
+
+@pytest.mark.parametrize("most", [1, 2])
+def test_proposals_against_every_pair(spark, most):
+    rng = random.Random(most)
+    known = sorted({"".join(rng.choice("abé ") for _ in range(rng.randint(0, 7))) for _ in range(60)})
+    wrong = ["".join(rng.choice("abé ") for _ in range(rng.randint(0, 7))) for _ in range(80)] + [None, "", "a", "far away from all"]
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        return row[-1]
+
+    expected = []
+    for name in {w for w in wrong if w is not None and w not in known}:
+        near = sorted((edits(name, k), k) for k in known if edits(name, k) <= most)
+        expected += [(name, k, d, i + 1, sum(x == near[0][0] for x, _ in near)) for i, (d, k) in enumerate(near)]
+    out = reconcile.propose_names(
+        spark.createDataFrame([(w,) for w in wrong], "v string"), spark.createDataFrame([(k,) for k in known] + [(None,)], "k string"), "v", "k", most
+    )
+    assert rows(out) == sorted(expected, key=repr)
