@@ -13,9 +13,10 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablewright.functions.names import difference, intersect, ref, refs
+from tablewright.session import written
 
 By = Sequence[str] | Mapping[str, str]
 Side = Callable[[str], Column]
@@ -198,3 +199,64 @@ def coalesce_join(
 def join_chain(tables: Sequence[DataFrame], by: By) -> DataFrame:
     """Fold tables into the first one by the same key."""
     return reduce(lambda x, y: left_join(x, y, by), tables)
+
+
+def asof_join(
+    x: DataFrame,
+    y: DataFrame,
+    by: Sequence[str],
+    left_at: str,
+    right_at: str,
+    values: Sequence[str],
+    ties: Sequence[str] = (),
+    strict: bool = False,
+    rows_per_range: int = 1_000_000,
+) -> DataFrame:
+    """Every left row with ``values`` of the last right row of its key that is not after it (``strict``: before it).
+
+    No pairs are made. Rows of both sides are sorted together by key and time into ranges, so that a key of any size is
+    dealt over as many tasks as it fills; in its range a row takes the last right row before it, and where the range holds
+    none, that of the ranges before (a carry of at most two rows per range, since only keys at a range's ends go on).
+    Of right rows at one time the greatest by ``ties`` is last. Null keys match null keys; a null time matches nothing.
+    Values that the left side has names for are refused.
+    """
+    clash = sorted(set(values) & set(x.columns))
+    if clash:
+        raise ValueError(f"both sides have columns {clash}")
+    keys = [F.col(f"__k{i}") for i in range(len(by))]
+    # A right row goes before left rows of its time, or after them if it has to be earlier.
+    ends = F.lit(1 if strict else -1), F.lit(0)
+    tie_types = [y.schema[c].dataType for c in ties]
+    value = F.struct(*[ref(c) for c in values]) if values else F.struct(F.lit(True).alias("__hit"))
+    right = y.filter(ref(right_at).isNotNull()).select(
+        *[ref(k).alias(f"__k{i}") for i, k in enumerate(by)], ref(right_at).alias("__at"), ends[0].alias("__side"),
+        *[ref(c).alias(f"__t{i}") for i, c in enumerate(ties)], value.alias("__value"), F.lit(None).cast(x.schema).alias("__row"),
+    )
+    left = x.select(
+        *[ref(k).cast(y.schema[k].dataType).alias(f"__k{i}") for i, k in enumerate(by)],
+        ref(left_at).cast(y.schema[right_at].dataType).alias("__at"), ends[1].alias("__side"),
+        *[F.lit(None).cast(t).alias(f"__t{i}") for i, t in enumerate(tie_types)],
+        F.lit(None).cast(right.schema["__value"].dataType).alias("__value"), F.struct(*refs(x.columns)).alias("__row"),
+    )
+    both = right.unionByName(left)
+    ranges = max(int(x.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-both.count() // rows_per_range))
+    order = [F.col("__at"), F.col("__side"), *[F.col(f"__t{i}") for i in range(len(ties))]]
+    placed = written(both.repartitionByRange(ranges, *keys, *order).withColumn("__part", F.spark_partition_id()), "asof")
+    last_of = F.struct(*order, "__value")
+    tails = placed.filter("__value is not null").groupBy(*keys, "__part").agg(F.max(last_of).alias("__last"))
+    # Keys that lie in more than one range: at most one at each end of a range.
+    spans = placed.groupBy(*keys).agg(F.min("__part").alias("__from"), F.max("__part").alias("__to")).filter("__from < __to")
+    same_key = [F.col(f"l.__k{i}").eqNullSafe(F.col(f"r.__k{i}")) for i in range(len(by))]
+    crossing = tails.alias("l").join(F.broadcast(spans.alias("r")), reduce(and_, same_key, F.lit(True)))
+    carried = crossing.filter("__part < __to").select(
+        *[F.col(f"l.__k{i}") for i in range(len(by))], F.explode(F.sequence(F.col("__part") + 1, F.col("__to"))).alias("__part"), "__last"
+    )
+    carry = written(carried.groupBy(*keys, "__part").agg(F.max("__last").alias("__carry")), "asof-carry")
+    before = Window.partitionBy("__part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    filled = placed.withColumn("__found", F.last("__value", ignorenulls=True).over(before)).filter("__row is not null")
+    on = reduce(and_, same_key, F.col("l.__part") == F.col("r.__part"))
+    joined = filled.alias("l").join(F.broadcast(carry).alias("r"), on, "left")
+    found = F.when(F.col("l.__at").isNotNull(), F.coalesce(F.col("l.__found"), F.col("r.__carry")["__value"]))
+    out = joined.select(F.col("l.__row").alias("__row"), found.alias("__found"))
+    return out.select(*[F.col("__row")[c].alias(c) for c in x.columns], *[F.col("__found")[c].alias(c) for c in values])
+

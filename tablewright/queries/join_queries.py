@@ -153,3 +153,18 @@ def _(t):
     junk = d.filter(d.text.like("%!!%")).select("doc_id", F.lit(1).alias("junk"))
     tables = [d.select("doc_id", "lang"), t.labels.select("doc_id", "quality"), long_text, junk]
     return joins.join_chain(tables, ["doc_id"])
+
+
+@query(
+    "jn4_asof_join",
+    """SELECT event_id, user_id, ts, click_id, click_value FROM (
+         SELECT e.event_id, e.user_id, e.ts, c.event_id AS click_id, c.value AS click_value,
+                row_number() OVER (PARTITION BY e.event_id ORDER BY c.ts DESC NULLS LAST, c.event_id DESC) AS rn
+         FROM events e LEFT JOIN (SELECT * FROM events WHERE event_type = 'click') c ON e.user_id = c.user_id AND c.ts <= e.ts)
+       WHERE rn = 1""",
+)
+def _(t):
+    """Every event with its user's last click so far."""
+    clicks = t.events.filter("event_type = 'click'").selectExpr("user_id", "ts AS at", "event_id AS click_id", "value AS click_value")
+    events = t.events.select("event_id", "user_id", "ts")
+    return joins.asof_join(events, clicks, ["user_id"], "ts", "at", ["click_id", "click_value"], ties=["click_id"])

@@ -512,3 +512,22 @@ def test_snapshot_diff_reads_differing_buckets_only(spark):
     snapshots.write_digested(twice, path, "4", ["k"], buckets=2)
     snapshots.write_digested(twice.distinct(), path, "5", ["k"], buckets=2)
     assert len(snapshots.differing_buckets(spark, path, "4", "5")) == 1
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_asof_join_of_a_hot_key(spark, strict):
+    rng = random.Random(4)
+    left = [(i, rng.choice(["hot"] * 8 + ["a", "b", None]), rng.choice([*range(200), None])) for i in range(600)]
+    right = [(i, rng.choice(["hot"] * 8 + ["a", "c", None]), rng.choice([*range(0, 200, 3), None])) for i in range(150)]
+    # Long stretches without a right row, so that values are carried over several ranges.
+    right = [r for r in right if r[2] is None or r[2] < 20 or r[2] > 150]
+    expected = []
+    for i, k, at in left:
+        before = [(t, j) for j, q, t in right if q == k and t is not None and at is not None and (t < at if strict else t <= at)]
+        expected.append((i, k, at, max(before)[1] if before else None))
+    x, y = spark.createDataFrame(left, "i int, k string, t int"), spark.createDataFrame(right, "j int, k string, at bigint")
+    assert rows(joins.asof_join(x, y, ["k"], "t", "at", ["j"], ["j"], strict, rows_per_range=20)) == sorted(expected, key=repr)
+    assert joins.asof_join(x, y.limit(0), ["k"], "t", "at", ["j"]).filter("j is not null").count() == 0
+    assert joins.asof_join(x.limit(0), y, ["k"], "t", "at", ["j"]).count() == 0
+    with pytest.raises(ValueError, match="both sides"):
+        joins.asof_join(x, y.withColumn("i", F.lit(1)), ["k"], "t", "at", ["i"])
