@@ -6,14 +6,16 @@ from its start, a look-behind says so, and loops never give back what they took.
 lengths (in code points) of matches and of what lies between them.
 
 Further spans are candidates of other shapes (account numbers, national phone numbers and ids, e-mail addresses spelt
-out). On every candidate, base shapes included, labelers vote for, against or not at all: a strict expression, a
+out, access keys, passwords and tokens that are assigned in the text). On every candidate, base shapes included, labelers vote for, against or not at all: a strict expression, a
 gazetteer of prefixes and endings, context words before it, its borders, and a check of digits. Expectation
 maximisation over the counts of vote patterns estimates how reliable each labeler is, and a logistic regression on the
 candidate's shape, fitted to the resulting soft labels, decides. Patterns are strings of a few fixed codes, so what
 reaches the driver is bounded by their number, whatever the number of spans; all rows are counted.
 
-A null text counts as empty and has no spans. Rows are judged one by one; repeated rows repeat. With an empty table no
-pattern is found and nothing is fitted.
+A null text counts as empty and has no spans. Rows are judged one by one; repeated rows repeat. A further span that
+overlaps a base span is left out; of candidates that overlap each other the leftmost counts, at one place the kind that
+is listed first. Texts of any length are read whole. With an empty table no pattern is found and nothing is fitted. Only id
+and text are read, so names of other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -26,9 +28,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablewright.llm.shared import text_or_empty, written
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-MORE_KINDS = ("account", "national_phone", "national_id", "spelt_email")
+MORE_KINDS = ("account", "national_phone", "national_id", "spelt_email", "access_key", "secret")
 
 _LOCAL = "[A-Za-z0-9._%+-]"
+# How keys of well-known services begin and how long they are, and names that secrets are given to.
+_KEYS = (
+    "A(?:KIA|SIA|GPA|IDA|ROA|NPA|NVA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|AIza[A-Za-z0-9_-]{35}|"
+    "xox[abprs]-[A-Za-z0-9-]{10,200}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,64}|glpat-[A-Za-z0-9_-]{20}|"
+    "-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"
+)
+_SECRET_NAMES = (
+    "[Pp]ass(?:word|wd|phrase|wort)|PASSWORD|[Pp]wd|[Ss]ecret(?:[_-]?[Kk]ey)?|SECRET|[Tt]oken|TOKEN|"
+    "[Aa]pi[_-]?[Kk]ey|API[_-]?KEY|[Cc]ontraseña|[Mm]ot de passe"
+)
 EXPRESSIONS = {
     # From the start of a run of address characters, or where the match before ended inside one.
     "email": rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -41,14 +53,26 @@ EXPRESSIONS = {
     "national_id": r"(?<![0-9A-Za-z.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "spelt_email": r"[A-Za-z0-9._%+-]{1,64} ?[\[(](?:at|AT)[\])] ?[A-Za-z0-9-]{1,63}"
     r"(?:(?: ?[\[(](?:dot|DOT)[\])] ?|\.)[A-Za-z0-9-]{1,63}){1,4}",
+    "access_key": rf"(?<![A-Za-z0-9])(?:{_KEYS})(?![A-Za-z0-9])",
+    # A value with a digit that is given to a name.
+    "secret": rf"(?<![A-Za-z0-9])(?:{_SECRET_NAMES})[\"']?\s{{0,2}}[=:]\s{{0,2}}[\"']?"
+    r"(?=[^\s\"']{0,200}[0-9])[A-Za-z0-9+/_=.!#$%&*-]{8,200}+",
 }
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 # Gazetteers and context words; fixed values.
-_ENDINGS = r"(?i)[.](?:com|org|net|edu|gov|info|io|de|at|ch|fr|es|uk|us|eu)$"
+# Any ending of two letters is a country's.
+_ENDINGS = (
+    r"(?i)[.](?:[a-z]{2}|com|org|net|edu|gov|mil|int|info|biz|name|pro|museum|coop|aero|jobs|mobi|travel|tel|cat|asia|post|"
+    r"app|dev|blog|cloud|email|online|shop|site|store|tech|xyz|page|live|news|world|agency|company|group|network|systems)$"
+)
 _COUNTRY_CODES = r"^\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 _ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|6)"
-_ACCOUNT_COUNTRIES = "^(?:AT|BE|CH|CZ|DE|DK|ES|FI|FR|GB|IE|IT|LU|NL|NO|PL|PT|SE)"
+# Countries whose account numbers have this form.
+_ACCOUNT_COUNTRIES = (
+    "^(?:AD|AE|AL|AT|AZ|BA|BE|BG|BH|BR|BY|CH|CR|CY|CZ|DE|DK|DO|EE|EG|ES|FI|FO|FR|GB|GE|GI|GL|GR|GT|HR|HU|IE|IL|IQ|IS|IT|JO|"
+    "KW|KZ|LB|LC|LI|LT|LU|LV|LY|MC|MD|ME|MK|MR|MT|MU|NL|NO|PK|PL|PS|PT|QA|RO|RS|SA|SC|SE|SI|SK|SM|ST|SV|TL|TN|TR|UA|VA|VG|XK)"
+)
 _FOR_WORDS = (
     r"(?i)\b(?:e-?mail|mail|contact|kontakt|contacto|tel|phone|telefon|t[ée]l[ée]phone|tel[ée]fono|call|fax|mobile|card|"
     r"karte|carte|tarjeta|visa|iban|konto|compte|cuenta|account|ssn|id|ip|host|address|adresse)\b[^A-Za-z]{0,6}$"
@@ -163,6 +187,8 @@ def candidates(df: DataFrame, body: str) -> DataFrame:
         shape = F.lit(None).cast("string")
         tests = {
             "email": "@",
+            "access_key": rf"^(?:{_KEYS})$",
+            "secret": f"^(?:{_SECRET_NAMES})",
             "spelt_email": r"[\[(](?:at|AT)[\])]",
             "phone": r"^\+",
             "account": "^[A-Z]{2}[0-9]{2}",
@@ -177,21 +203,27 @@ def candidates(df: DataFrame, body: str) -> DataFrame:
     def judged(x: Column) -> Column:
         kind, hit, left, right = x["kind"], x["hit"], x["left"], x["right"]
         digits = _digits(hit)
-        strict = _vote(kind.isin("email", "phone", "ip", "card", "spelt_email"), F.lit(False))
+        value = F.regexp_extract(hit, r"[=:]\s*[\"']?(.*)$", 1)
+        coded = value.rlike("[A-Za-z]") & (F.length(F.regexp_replace(value, "[^0-9]", "")) >= 2)
+        sure = kind.isin("email", "phone", "ip", "card", "spelt_email", "access_key")
+        strict = _vote(sure | ((kind == "secret") & coded), (kind == "secret") & ~coded)
         known = (
             (kind.isin("email") & hit.rlike(_ENDINGS))
             | (kind.isin("phone") & hit.rlike(_COUNTRY_CODES))
             | (kind.isin("card") & hit.rlike(_ISSUERS))
             | (kind.isin("account") & hit.rlike(_ACCOUNT_COUNTRIES))
+            | kind.isin("access_key", "secret")
         )
         gazetteer = _vote(known, kind.isin("account"))
-        context = _vote(left.rlike(_FOR_WORDS), left.rlike(_AGAINST_WORDS))
+        # The word that speaks for a secret is part of it.
+        context = _vote(left.rlike(_FOR_WORDS) | kind.isin("secret"), left.rlike(_AGAINST_WORDS))
         glued = left.rlike("[A-Za-z0-9_=/-]$") | right.rlike("^[A-Za-z0-9_=/-]")
         borders = _vote(~glued, glued)
         valid = (
             F.when(kind == "card", F.call_function("luhn_check", digits))
             .when(kind == "ip", hit.rlike(rf"^{_PART}(?:\.{_PART}){{3}}$"))
             .when(kind == "national_phone", ~digits.rlike("^[01]"))
+            .when(kind == "secret", F.length(value) >= 8)
             .when(kind == "national_id", ~digits.rlike("^(?:000|666|9)|^...00|0000$"))
         )
         check = F.when(valid, "2").when(~valid, "0").otherwise("1")
@@ -270,8 +302,8 @@ def _joined(spans: Column) -> Column:
 
 
 def personal_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text", least: float = 0.5) -> DataFrame:
-    """Per row: id, ``n_email``, ``n_ip``, ``n_card``, ``n_phone`` (base spans), ``base_sha256``, ``spans`` and
-    ``n_more`` (spans that the classifier added)."""
+    """Per row: id, ``n_email``, ``n_ip``, ``n_card``, ``n_phone`` (base spans), ``base_sha256``, ``spans``,
+    ``n_more`` (spans that the classifier added) and ``n_found`` (all spans)."""
     rows = df.select(F.col(id_column).alias("id"), text_or_empty(text).alias("body"))
     found = candidates(base_spans(rows, "body"), "body").drop("body")
     found = written(found, "personal-spans")
@@ -285,7 +317,11 @@ def personal_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text",
         sure = reliabilities([(k, v, n) for (k, v), n in sorted(by_votes.items())])
         scores = classifier([(r["shape"], sure[r["kind"], r["votes"]], r["n"]) for r in sorted(counts)])
         accepted = [s for s, p in scores.items() if p >= least and s.split("|")[0] in MORE_KINDS]
-    more = F.filter("candidates", lambda c: c["shape"].isin(*accepted) if accepted else F.lit(False))
+    def stays(c: Column) -> Column:
+        apart = ~F.exists("base", lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"]))
+        return (c["shape"].isin(*accepted) & apart) if accepted else F.lit(False)
+
+    more = F.filter("candidates", stays)
     ordered = F.concat(*[F.filter("__more", _is(kind)) for kind in MORE_KINDS])
     bare = F.transform(ordered, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
     out = found.withColumn("__more", more).withColumn("__bare", bare)
@@ -298,4 +334,5 @@ def personal_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text",
         F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
         _joined(F.concat("base", "__bare")).alias("spans"),
         F.size("__bare").cast("bigint").alias("n_more"),
+        (F.size("base") + F.size("__bare")).cast("bigint").alias("n_found"),
     )

@@ -189,6 +189,21 @@ def test_weak_supervision_adds_spans(spark):
     assert personal_data.personal_spans(empty_like(spark, documents(spark, ["a"]))).count() == 0
 
 
+def test_secrets_are_found_and_plain_words_left(spark):
+    secrets = [f"see password=4c8f80{i:02d}a3af39d897 now" for i in range(30)] + [f'token = "97ffa88d7c5f{i:02d}655e3650"' for i in range(30)]
+    secrets += [f"key AKIAMD62HKU6VBLCC{i:03d} there" for i in range(30)] + ["-----BEGIN RSA PRIVATE KEY----- xyz", "my api_key: ab12cd34ef"]
+    plain = ["the password: required here", "a token = something plain", "AKIA is a name", "passwords2024 are long", "secretly 12345678"] * 6
+    base = [f"password=41111111111111{i:02d} a@b.com" for i in range(100)]  # some are card numbers
+    got = by_id(personal_data.personal_spans(documents(spark, secrets + plain + base)))
+    n = len(secrets)
+    assert all(got[i]["n_found"] == 1 for i in range(n)), [i for i in range(n) if got[i]["n_found"] != 1]
+    assert all(got[n + i]["n_found"] == 0 for i in range(len(plain)))
+    for i in range(n + len(plain), n + len(plain) + len(base)):
+        spans = [tuple(map(int, s.split(":")[1:])) for s in got[i]["spans"].split(",")]
+        assert all(a[1] <= b[0] or b[1] <= a[0] for k, a in enumerate(spans) for b in spans[k + 1 :])
+        assert got[i]["n_found"] == got[i]["n_more"] + sum(got[i][f"n_{k}"] for k in ("email", "ip", "card", "phone"))
+
+
 def test_reliabilities_find_the_bad_labeler():
     # Labelers 0 to 2 agree with the truth, 3 contradicts it at random, 4 never votes.
     patterns = [("k", "22221", 450), ("k", "22201", 450), ("k", "00001", 50), ("k", "00021", 50), ("k", "20221", 5)]
