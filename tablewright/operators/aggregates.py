@@ -62,12 +62,16 @@ def string_agg(
     order_by: Sequence[str] = (),
     distinct: bool = False,
     null_text: str | None = "NA",
+    large_groups: bool = False,
 ) -> DataFrame:
     """The values of each group as one delimited text, repeats kept, in a declared order.
 
     Without ``order_by`` the values order themselves. ``distinct`` keeps one of equal values (which then
     are their own order) and reduces the rows before they are gathered. A null is written as
     ``null_text``, or skipped if that is None. The text of a group is one cell, as long as its values.
+
+    With ``large_groups`` rows are first sorted by range over the cluster, so that a large group is sorted and put
+    together by several tasks; only the texts of its ranges, in their order, meet in one.
     """
     text = ref(value).cast("string")
     rows = df.select(
@@ -80,6 +84,14 @@ def string_agg(
         rows = rows.distinct()
     quoted_sep = sep.replace("\\", "\\\\").replace("'", "\\'")
     listed = F.expr(f"listagg(__value, '{quoted_sep}') WITHIN GROUP (ORDER BY {order})")
+    if large_groups:
+        # As many ranges as a shuffle has: their number must be given, or small ones would be joined.
+        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        columns = [c.strip() for c in order.split(",")]
+        ranged = rows.repartitionByRange(ranges, *refs(keys), *columns).withColumn("__range", F.spark_partition_id())
+        parts = ranged.groupBy(*refs(keys), "__range").agg(listed.alias("__part"))
+        whole = F.expr(f"listagg(__part, '{quoted_sep}') WITHIN GROUP (ORDER BY __range)")
+        return parts.groupBy(*refs(keys)).agg(F.coalesce(whole, F.lit("")).alias(name or value))
     return rows.groupBy(*refs(keys)).agg(F.coalesce(listed, F.lit("")).alias(name or value))
 
 

@@ -50,6 +50,20 @@ def _(t):
     return agg.string_agg(df, ["p_brand"], "p_type", name="types", order_by=["p_size", "p_partkey"])
 
 
+@query(
+    "agg5_string_agg_large",
+    """SELECT l_returnflag, md5(string_agg(CAST(l_orderkey AS VARCHAR), ',' ORDER BY l_orderkey, l_linenumber)) AS orders_md5,
+              count(*) AS n FROM lineitem GROUP BY l_returnflag""",
+)
+def _(t):
+    """Three groups that hold the whole table between them."""
+    texts = agg.string_agg(
+        t.lineitem, ["l_returnflag"], "l_orderkey", ",", "orders", ["l_orderkey", "l_linenumber"], large_groups=True
+    )
+    items = F.size(F.split("orders", ",")).cast("bigint")
+    return texts.select("l_returnflag", F.md5("orders").alias("orders_md5"), items.alias("n"))
+
+
 @query(
     "agg5_string_agg_distinct",
     """SELECT p_brand, string_agg(p_type, ', ' ORDER BY p_type) AS types

@@ -531,3 +531,14 @@ def test_asof_join_of_a_hot_key(spark, strict):
     assert joins.asof_join(x.limit(0), y, ["k"], "t", "at", ["j"]).count() == 0
     with pytest.raises(ValueError, match="both sides"):
         joins.asof_join(x, y.withColumn("i", F.lit(1)), ["k"], "t", "at", ["i"])
+
+
+def test_string_agg_of_large_groups(spark):
+    values = [("hot" if i % 5 else f"k{i % 3}", None if i % 11 == 0 else f"v{i}", (i * 7919) % 1009) for i in range(1000)] + [(None, "x", 1), ("nulls", None, 1)]
+    df = spark.createDataFrame(values, "k string, v string, o int")
+    for null_text in ("NA", None):
+        plain = aggregates.string_agg(df, ["k"], "v", order_by=["o"], null_text=null_text)
+        large = aggregates.string_agg(df, ["k"], "v", order_by=["o"], null_text=null_text, large_groups=True)
+        assert rows(large) == rows(plain)
+    once = [aggregates.string_agg(df, ["k"], "v", distinct=True, large_groups=g) for g in (False, True)]
+    assert rows(once[0]) == rows(once[1])
