@@ -95,7 +95,9 @@ _COLUMNS = _columns()
 
 
 def documents_view(t):
-    named = left_join(t.orders, t.customer, {"o_custkey": "c_custkey"})
+    # Dealt out while the rows are narrow: the test tables are one row group, and so one task, each.
+    tasks = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    named = left_join(t.orders, t.customer, {"o_custkey": "c_custkey"}).repartition(tasks)
     return named.selectExpr(*[f"{value} AS `{name}`" for name, value in _COLUMNS.items()])
 
 
