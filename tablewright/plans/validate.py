@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tablewright.functions.dates import YEAR_FIRST_FORMATS, first_parsed
 from tablewright.functions.logic import any_of
@@ -25,6 +25,7 @@ from tablewright.plans import completeness
 from tablewright.plans.completeness import Scope
 from tablewright.plans.taxonomy import flag_name, wide_name
 from tablewright.sources.delimited import read_csv
+from tablewright.sources.snapshots import read_snapshot, write_snapshot
 
 # Limits of plausible dates and years, and the values of flags and of coded levels.
 EARLIEST_DATE = "1980-01-01"
@@ -135,6 +136,7 @@ class FamilyCells:
     columns: tuple[str, ...]
     arrays: dict[str, str]
     offenders: str  # array<struct<place int, number double, text string>>
+    doubts: tuple[str, ...] = ()  # of each array how many different values may be outside
 
 
 def family_cells(df: DataFrame, family: str = "^X") -> FamilyCells:
@@ -164,7 +166,7 @@ def family_cells(df: DataFrame, family: str = "^X") -> FamilyCells:
         "levels": (levels, [quoted(c) for c in levels], f"x NOT IN ({level_numbers})", f"{level_numbers}, CAST(NULL AS double)"),
         "others": (others, [other(c) for c in others], "x IS NOT NULL", "CAST(NULL AS string)"),
     }
-    listed, found, arrays = [], [], {}
+    listed, found, arrays, doubts = [], [], {}, []
     for name, (group, cells, outside, allowed) in held.items():
         if not group:
             continue
@@ -173,9 +175,10 @@ def family_cells(df: DataFrame, family: str = "^X") -> FamilyCells:
         cell = f"CASE WHEN {outside} THEN struct(i + {len(listed)} AS place, {value}) END"
         # A compiled test first: the loop, which Spark interprets, is for rows that have such a cell.
         some = f"size(array_except({name}, array({allowed}))) > 0"
+        doubts.append(f"size(array_except({arrays[name]}, array({allowed})))")
         found.append(f"if({some}, filter(transform({name}, (x, i) -> {cell}), o -> o IS NOT NULL), {_NO_OFFENDERS})")
         listed += group
-    return FamilyCells(tuple(listed), arrays, f"concat({', '.join(found)})" if found else _NO_OFFENDERS)
+    return FamilyCells(tuple(listed), arrays, f"concat({', '.join(found)})" if found else _NO_OFFENDERS, tuple(doubts))
 
 
 def _names(names: Sequence[str], place: str) -> Column:
@@ -333,6 +336,23 @@ def contract_counts(df: DataFrame, contract: Sequence[ContractRow]) -> Counts:
     return counts
 
 
+def _rules_of(
+    df: DataFrame,
+    contract: Sequence[ContractRow],
+    scopes: Sequence[Scope],
+    row_rules: Mapping[str, Column] | None,
+    family: str | None,
+    loose: Sequence[str],
+) -> tuple[Counts, dict[tuple[str, str], Column], FamilyCells]:
+    """Conditions that count rows, lists of items outside their values, and the cells of the family."""
+    counts = contract_counts(df, contract) | conditional_required(scopes)
+    counts |= {(name, "row"): test for name, test in (row_rules or {}).items()}
+    domains = {r.column: r.values for r in contract if r.expectation == "vals"}
+    outside = {("domain", c): x for c, x in items_outside(df, {c: v for c, v in domains.items() if c not in loose}).items()}
+    outside |= {("domain_loose", c): x for c, x in items_outside(df, {c: v for c, v in domains.items() if c in loose}, True).items()}
+    return counts, outside, family_cells(df, family) if family else FamilyCells((), {}, _NO_OFFENDERS)
+
+
 def validation_report(
     df: DataFrame,
     contract: Sequence[ContractRow],
@@ -346,12 +366,7 @@ def validation_report(
     ``row_rules`` are conditions that no row may meet. The message of a domain rule gives the number of
     distinct offending values and the first of them.
     """
-    counts = contract_counts(df, contract) | conditional_required(scopes)
-    counts |= {(name, "row"): test for name, test in (row_rules or {}).items()}
-    domains = {r.column: r.values for r in contract if r.expectation == "vals"}
-    outside = {("domain", c): x for c, x in items_outside(df, {c: v for c, v in domains.items() if c not in loose}).items()}
-    outside |= {("domain_loose", c): x for c, x in items_outside(df, {c: v for c, v in domains.items() if c in loose}, True).items()}
-    cells = family_cells(df, family) if family else FamilyCells((), {}, _NO_OFFENDERS)
+    counts, outside, cells = _rules_of(df, contract, scopes, row_rules, family, loose)
     # Places of rules: conditions, then lists, then the family's columns.
     rules = [*counts, *outside, *[("family_domain", c) for c in cells.columns]]
     first_list, first_cell = len(counts), len(counts) + len(outside)
@@ -399,6 +414,38 @@ def validation_report(
     return report
 
 
+def write_checked(
+    df: DataFrame,
+    path: str,
+    date: str,
+    contract: Sequence[ContractRow],
+    scopes: Sequence[Scope] = (),
+    row_rules: Mapping[str, Column] | None = None,
+    family: str | None = None,
+    loose: Sequence[str] = LOOSE_COLUMNS,
+) -> DataFrame:
+    """Write a dated version of a table and give its report, as :func:`validation_report`.
+
+    Whether any rule is broken is observed while the rows are written, so a table that keeps its contract is not read
+    again but for the columns that must be unique. Otherwise the report is made from the rows that were written.
+    """
+    counts, outside, cells = _rules_of(df, contract, scopes, row_rules, family, loose)
+    broken = [F.count_if(test) for test in counts.values()]
+    broken += [F.sum(F.size(items)) for items in outside.values()]
+    broken += [F.max(F.expr(doubt)) for doubt in cells.doubts]
+    seen = Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[b.alias(f"b{i}") for i, b in enumerate(broken)])
+    write_snapshot(observed, path, date)
+    rows = read_snapshot(df.sparkSession, path, date)
+    if any(n for name, n in seen.get.items() if name != "rows"):
+        return validation_report(rows, contract, scopes, row_rules, family, loose)
+    unique = [r.column for r in contract if r.expects("unique")]
+    if unique:
+        found = unique_offenders(rows, unique).withColumn("message", F.lit("repeated values"))
+        return found.select("rule", "column_name", "n_bad", "message")
+    return df.sparkSession.createDataFrame([], "rule string, column_name string, n_bad bigint, message string")
+
+
 def require_valid(report: DataFrame) -> None:
     """Raise with all of the report's messages if any rule is broken; a report has a row per rule and column."""
     rows = report.orderBy("rule", "column_name").collect()

@@ -54,25 +54,25 @@ def _(t):
 
 @query(
     "jn3a_semi_join",
-    f"""SELECT c_custkey FROM {_CUSTOMER} c WHERE EXISTS (
-          SELECT 1 FROM (SELECT nullif(s_nationkey, 3) AS k FROM supplier WHERE s_acctbal > 5000) s
-          WHERE s.k IS NOT DISTINCT FROM c.nation_key)""",
+    """SELECT doc_id, lang FROM documents d WHERE EXISTS (
+         SELECT 1 FROM (SELECT nullif(doc_id, 6) AS k FROM labels) l WHERE l.k IS NOT DISTINCT FROM nullif(d.doc_id, 5))""",
 )
 def _(t):
-    rich = t.supplier.filter("s_acctbal > 5000").select(F.nullif("s_nationkey", F.lit(3)).alias("k"))
-    return joins.semi_join(_customer(t), rich, {"nation_key": "k"}).select("c_custkey")
+    labelled = t.labels.select(F.nullif("doc_id", F.lit(6)).alias("k"))
+    keyed = t.documents.withColumn("key", F.nullif("doc_id", F.lit(5)))
+    return joins.semi_join(keyed, labelled, {"key": "k"}).select("doc_id", "lang")
 
 
 @query(
     "jn3b_anti_join",
     """SELECT c_custkey, c_name FROM customer c WHERE NOT EXISTS (
-         SELECT 1 FROM (SELECT nullif(o_custkey, 8) AS k FROM orders WHERE o_orderpriority = '1-URGENT') o
+         SELECT 1 FROM (SELECT nullif(o_custkey, 8) AS k FROM orders) o
          WHERE o.k IS NOT DISTINCT FROM nullif(c.c_custkey, 9))""",
 )
 def _(t):
-    urgent = t.orders.filter("o_orderpriority = '1-URGENT'").select(F.nullif("o_custkey", F.lit(8)).alias("k"))
+    ordered = t.orders.select(F.nullif("o_custkey", F.lit(8)).alias("k"))
     keyed = t.customer.withColumn("key", F.nullif("c_custkey", F.lit(9)))
-    return joins.anti_join(keyed, urgent, {"key": "k"}).select("c_custkey", "c_name")
+    return joins.anti_join(keyed, ordered, {"key": "k"}).select("c_custkey", "c_name")
 
 
 _YEARS = "(SELECT o_custkey, o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders)"

@@ -312,3 +312,23 @@ def _(t):
     scopes = validate.document_requirements()
     contract = kept_contract(t.spark, tuple(CONTRACT))
     return validate.validation_report(documents_view(t), contract, scopes, _rules(), family="^X")
+
+
+@query(
+    "snk1_checked_snapshot",
+    """SELECT 'domain' AS rule, 'l_returnflag' AS column_name, count(*) AS n_bad,
+              concat(count(DISTINCT l_returnflag), ' values, e.g. ', min(l_returnflag)) AS message
+       FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')
+       UNION ALL SELECT 'unique', 'l_orderkey', count(*) - count(DISTINCT l_orderkey), 'repeated values' FROM lineitem
+       UNION ALL SELECT 'cheap', 'row', count(*), concat(count(*), ' rows') FROM lineitem WHERE l_extendedprice < 2 * l_quantity * l_quantity""",
+)
+def _(t):
+    """A version written and checked in one pass over its source."""
+    contract = [
+        ContractRow("l_orderkey", (), "unique, is.numeric", False),
+        ContractRow("l_returnflag", ("A", "N"), "vals", True),
+        ContractRow("l_linestatus", ("F", "O"), "vals", True),
+        ContractRow("l_quantity", (), "is.numeric", False),
+    ]
+    rules = {"cheap": ref("l_extendedprice") < 2 * ref("l_quantity") * ref("l_quantity")}
+    return validate.write_checked(t.lineitem, scratch_path(t.spark, "checked"), "2020-01-01", contract, row_rules=rules)

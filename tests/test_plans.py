@@ -335,3 +335,26 @@ def test_proposals_against_every_pair(spark, most):
         spark.createDataFrame([(w,) for w in wrong], "v string"), spark.createDataFrame([(k,) for k in known] + [(None,)], "k string"), "v", "k", most
     )
     assert rows(out) == sorted(expected, key=repr)
+
+
+def test_write_checked_reads_a_clean_table_once(spark, document, monkeypatch):
+    from tablewright.session import scratch_path
+
+    contract = [
+        ContractRow("id", (), "unique, is.numeric", False),
+        ContractRow("kinds", ("A", "B", "C", "NA"), "vals", True),
+        ContractRow("day", (), "is.character, plausible_date", True),
+    ]
+    path = scratch_path(spark, "checked")
+    plain = validate.validation_report(document, contract, family="^X")
+    assert rows(validate.write_checked(document, path, "1", contract, family="^X")) == rows(plain)
+    assert rows(spark.read.parquet(f"{path}/snapshot=1")) == rows(document)
+
+    def never(*_, **__):
+        raise AssertionError("read again")
+
+    monkeypatch.setattr(validate, "validation_report", never)
+    clean = document.filter("id = 1").limit(1)
+    assert validate.write_checked(clean, path, "2", contract).count() == 0
+    assert validate.write_checked(clean.select("id"), path, "3", contract[:1]).count() == 0
+    assert validate.write_checked(clean.limit(0), path, "4", contract[1:]).count() == 0
