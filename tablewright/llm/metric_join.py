@@ -3,18 +3,21 @@
 On unit vectors, cosine >= c is a Euclidean distance of at most r = sqrt(2 - 2c), a metric. Within a label:
 
 - Equal vectors are one (a class with a count), so copies are never joined with each other.
-- Pivots, drawn by hash, partition the vectors: each has its home in the cell of its nearest pivot. If a vector's
+- Pivots partition the vectors of every label: of a sample by hash (about ``SAMPLE``) the one after the other that is
+  farthest from those before it. Each vector has its home in the cell of its nearest pivot. If a vector's
   nearest pivot is at distance d, every vector within r of it has its home in a cell whose pivot is at most d + 2r
   away (triangle inequality), so it is also sent, as a guest, to these cells and no others. A vector thus meets all its
   neighbours in its home cell, and cells are joined independently: links are counted for residents only.
-- Cells over ``CELL`` residents get pivots of their own, level after level, as long as that saves a quarter of the
-  comparisons. Where vectors are so spread that guests eat up the gain (random directions in many dimensions), a cell
-  stays whole. Cells are compared in blocks of at most ``BLOCK`` residents by ``BLOCK`` members, so no task holds a cell.
+- Cells of more work than one block get pivots of their own, level after level, as long as that saves a quarter of the
+  comparisons; this is counted before vectors are written. Where vectors are so spread that guests eat up the gain
+  (random directions in many dimensions), a cell stays as it is. Cells are compared in blocks of at most ``BLOCK``
+  residents by ``BLOCK`` members, so no task holds a cell.
 - A block gives sums and a spanning forest of its links, not its pairs.
 
 Rows whose vector is null, empty or zero, holds a null or a value that is not finite, or whose label is null, link with
 nothing. Vectors of different lengths are not compared. Repeated rows are vectors of their own. A null id loses against
-others.
+others. Long vectors are compared whole. An empty table gives no rows. Only id, vector and label are read, so names of other
+columns cannot clash.
 """
 
 from __future__ import annotations
@@ -28,8 +31,9 @@ from pyspark.sql import DataFrame, functions as F
 from tablewright.llm.components import components
 from tablewright.llm.shared import in_pandas, workers_find_package, written
 
-# Residents of a cell before it is cut, pivots for a cut, residents and members of a block.
-CELL, PIVOTS, BLOCK = 4096, 8, 2048
+# Pivots for a cut, vectors that they are chosen from, residents and members of a block, and the part of the comparisons that
+# may be left after a further cut.
+PIVOTS, SAMPLE, BLOCK, LEFT = 8, 64, 2048, 0.75
 
 
 def radius(cosine: float) -> float:
@@ -52,23 +56,67 @@ def _homes(vectors: np.ndarray, pivots: np.ndarray, reach: float) -> tuple[np.nd
     return home, distance <= near[:, None] + 2 * reach + 1e-9
 
 
+def _farthest_first(vectors: np.ndarray) -> list[int]:
+    """Places of up to ``PIVOTS`` different vectors, each the farthest from those before it."""
+    chosen = [0]
+    nearest = 1 - vectors @ vectors[0]
+    while len(chosen) < PIVOTS and nearest.max() > 1e-9:
+        chosen.append(int(nearest.argmax()))
+        nearest = np.minimum(nearest, 1 - vectors @ vectors[chosen[-1]])
+    return chosen
+
+
+def _pivots(cells: DataFrame, cut: DataFrame) -> DataFrame:
+    """(cell, pivots) of the cells of ``cut`` (cell, residents) that have two different vectors at least."""
+    drawn = cells.join(cut.select("cell", "residents"), "cell").filter("resident")
+    drawn = drawn.filter(F.pmod(F.xxhash64("node", "cell"), "residents") < SAMPLE).select("cell", "node", "vector")
+
+    def choose(sample: pd.DataFrame) -> pd.DataFrame:
+        sample = sample.sort_values("node")
+        places = _farthest_first(_unit(list(sample["vector"])))
+        return pd.DataFrame({"cell": [sample["cell"].iloc[0]], "pivots": [[sample["vector"].iloc[p].tolist() for p in places]]})
+
+    workers_find_package(cells)
+    kind = cells.schema["vector"].dataType.simpleString()
+    return drawn.groupBy("cell").applyInPandas(choose, f"cell string, pivots array<{kind}>").filter(F.size("pivots") > 1)
+
+
+def _dealt(batch: pd.DataFrame, reach: float) -> Iterator[tuple[str, pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]:
+    """By cell its rows, and for each membership below it: the row's place, the pivot, and whether it is at home."""
+    for cell, rows in batch.groupby("cell", sort=False):
+        home, member = _homes(_unit(list(rows["vector"])), _unit(list(rows["pivots"].iloc[0])), reach)
+        at, pivot = np.nonzero(member)
+        yield cell, rows, at, pivot, rows["resident"].to_numpy()[at] & (home[at] == pivot)
+
+
 def _split(cells: DataFrame, pivots: DataFrame, reach: float) -> DataFrame:
     """Each vector once for each cell below its own that it belongs to. Guests stay guests everywhere."""
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for cell, rows in batch.groupby("cell", sort=False):
-                vectors = _unit(list(rows["vector"]))
-                home, member = _homes(vectors, _unit(list(rows["pivots"].iloc[0])), reach)
-                at, pivot = np.nonzero(member)
-                rows = rows.iloc[at]
-                resident = rows["resident"].to_numpy() & (home[at] == pivot)
-                yield rows.drop(columns="pivots").assign(cell=[f"{cell}.{p}" for p in pivot], resident=resident)
+            for cell, rows, at, pivot, resident in _dealt(batch, reach):
+                yield rows.iloc[at].drop(columns="pivots").assign(cell=[f"{cell}.{p}" for p in pivot], resident=resident)
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cells.schema.fields)
     return in_pandas(cells.join(pivots, "cell").select(*cells.columns, "pivots"), deal, schema)
 
 
+def _work_after(cells: DataFrame, pivots: DataFrame, reach: float) -> DataFrame:
+    """(cell, after): the comparisons that would be left of a cell; only counts leave the tasks."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for cell, _, _, pivot, resident in _dealt(batch, reach):
+                members = np.bincount(pivot, minlength=PIVOTS)
+                at_home = np.bincount(pivot, resident, minlength=PIVOTS).astype(np.int64)
+                yield pd.DataFrame({"cell": cell, "pivot": np.arange(PIVOTS), "residents": at_home, "members": members})
+
+    rows = cells.join(pivots, "cell").select("cell", "vector", "resident", "pivots")
+    counts = in_pandas(rows, count, "cell string, pivot int, residents bigint, members bigint")
+    below = counts.groupBy("cell", "pivot").agg(F.sum("residents").alias("r"), F.sum("members").alias("m"))
+    return below.groupBy("cell").agg(F.sum(F.col("r").cast("double") * F.col("m")).alias("after"))
+
+
 def _work(cells: DataFrame) -> DataFrame:
     return cells.groupBy("cell").agg(F.count_if("resident").alias("residents"), F.count(F.lit(1)).alias("members"))
 
@@ -78,29 +126,22 @@ def _partitioned(classes: DataFrame, reach: float) -> DataFrame:
     cells = classes.select(
         "node", "vector", "copies", F.concat_ws("/", "label", F.size("vector")).alias("cell"), F.lit(True).alias("resident")
     )
-    done = None
+    done: list[DataFrame] = []
     while True:
         work = written(_work(cells), "metric-work")
-        large = work.filter(F.col("residents") > CELL)
-        if large.isEmpty():
+        size = F.col("residents").cast("double") * F.col("members")
+        # Every label is cut once, which makes no more comparisons; further cuts have to save some.
+        pivots = written(_pivots(cells, work.filter(size > F.lit(float(BLOCK**2))) if done else work), "metric-pivots")
+        if done:
+            saving = work.join(_work_after(cells, pivots, reach), "cell").filter(F.col("after") < F.lit(LEFT) * size)
+            pivots = written(pivots.join(saving.select("cell"), "cell", "left_semi"), "metric-gain")
+        if pivots.isEmpty():
             break
-        # About PIVOTS residents of each large cell, by hash; at most a few dozen.
-        drawn = cells.join(large, "cell").filter("resident").withColumn("draw", F.pmod(F.xxhash64("node", "cell"), "residents"))
-        pivots = drawn.filter(F.col("draw") < PIVOTS).groupBy("cell").agg(F.collect_list("vector").alias("pivots"))
-        pivots = written(pivots.filter(F.size("pivots") > 1), "metric-pivots")
-        below = written(_split(cells, pivots, reach), "metric-cells")
-        saved = _work(below).withColumn("cell", F.regexp_replace("cell", r"\.[0-9]+$", ""))
-        saved = saved.groupBy("cell").agg(F.sum(F.col("residents").cast("double") * F.col("members")).alias("after"))
-        gain = work.join(saved, "cell").filter(F.col("after") < 0.75 * F.col("residents").cast("double") * F.col("members"))
-        gain = written(gain.select("cell"), "metric-gain")
-        kept = cells.join(gain, "cell", "left_anti")
-        parent = F.regexp_replace(F.col("cell"), r"\.[0-9]+$", "")
-        next_cells = below.withColumn("parent", parent).join(gain.withColumnRenamed("cell", "parent"), "parent", "left_semi").drop("parent")
-        done = kept if done is None else done.unionByName(kept)
-        if gain.isEmpty():
-            return done
-        cells = written(next_cells.filter("cell is not null"), "metric-next")
-    return cells if done is None else done.unionByName(cells)
+        done.append(cells.join(pivots.select("cell"), "cell", "left_anti"))
+        cells = written(_split(cells, pivots, reach), "metric-cells")
+    for rest in done:
+        cells = cells.unionByName(rest)
+    return cells
 
 
 def _forest(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:

@@ -326,10 +326,10 @@ def by_cosine(rows, least=0.93):
     return {i: (links[i], component[i], component[i] == i) for i in links}
 
 
-@pytest.mark.parametrize("cell, block", [(4096, 2048), (20, 7)])
-def test_vector_groups(spark, monkeypatch, cell, block):
-    monkeypatch.setattr(metric_join, "CELL", cell)
+@pytest.mark.parametrize("block, sample", [(2048, 64), (7, 6)])
+def test_vector_groups(spark, monkeypatch, block, sample):
     monkeypatch.setattr(metric_join, "BLOCK", block)
+    monkeypatch.setattr(metric_join, "SAMPLE", sample)
     rng = np.random.default_rng(1)
     rows = []
     for c in range(12):
@@ -346,6 +346,17 @@ def test_vector_groups(spark, monkeypatch, cell, block):
     assert got == by_cosine(rows)
 
 
+def test_clustered_vectors_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(metric_join, "BLOCK", 16)
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=3).tolist(), 1, "1") for i in range(900)]
+    classes = spark.createDataFrame(rows, "node bigint, vector array<float>, copies bigint, label string")
+    cells = metric_join._partitioned(classes, metric_join.radius(0.998))
+    work = metric_join._work(cells).collect()
+    assert sum(r["residents"] for r in work) == 900
+    assert sum(r["residents"] * r["members"] for r in work) < 0.15 * 900**2
+
+
 def test_vector_odd_tables(spark):
     rows = [[3, [1.0, 0.0], 1, "x", 1], [3, [1.0, 0.0], 1, "x", 1], [None, [1.0, 0.01], 1, "x", 1]]
     got = sorted((str(r["vec_id"]), r["n_links"], r["component_id"]) for r in metric_join.vector_groups(vectors(spark, rows)).collect())
