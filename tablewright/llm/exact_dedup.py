@@ -6,6 +6,8 @@ for each group on its other side, so a group of any size can be split between ta
 
 A null text counts as empty. Rows that repeat both id and text are one document: each is reported, and
 ``exact_distinct`` returns one of them. A null id loses against any other and is kept only if its whole group has none.
+Ids decide ties, so that there are no others. Long texts are compared whole. An empty table gives no rows. Only id and text
+are read by ``exact_groups``, and ``exact_distinct`` packs rows, so that names of other columns cannot clash.
 """
 
 from __future__ import annotations

@@ -28,7 +28,9 @@ Frequent shingles are found by counting all shingles in each task with a bounded
 at most the mean set size / ``HOT_SHARE``.
 
 A null text, or one without words, has an empty set and links with nothing; one to four words are one shingle. Rows
-that repeat an id are documents of their own. A null id loses against others and is returned as null if alone.
+that repeat an id are documents of their own. A null id loses against others and is returned as null if alone. Sets are made
+of whole texts of any length. An empty table gives no rows. Only id and text are read, and ``near_distinct`` packs rows, so
+that names of other columns cannot clash.
 """
 
 from __future__ import annotations

@@ -1,4 +1,10 @@
-"""The stages of the pipeline: each takes (spark, docs, sf_dir) and returns what stays of ``docs``."""
+"""The stages of the pipeline: each takes (spark, docs, sf_dir) and returns what stays of ``docs``.
+
+All but the last return the columns of ``docs``, whatever further columns it has. Null texts count as empty ones; they say
+nothing about language (other evidence decides), are equal to each other, are no near copies, have no tokens to mix by and
+no ids. Ties go by id: exact copies leave the largest, near copies the smallest. Rows that repeat id and text are one
+document from the second stage on. Texts of any length are worked on whole. An empty table stays empty.
+"""
 
 from __future__ import annotations
 

@@ -4,7 +4,8 @@ A word's count is its number of bytes less the merges done. The heap gives the l
 leftmost first of equal ranks; entries that a merge has outdated are skipped when popped. A word of n bytes costs
 O(n log n), so one very long word is no danger. Words repeat, so each worker keeps the counts of the words it met last.
 
-A null text is an empty one: no bytes, no tokens. Rows are independent; repeated rows give repeated results.
+A null text is an empty one: no bytes, no tokens. Rows are independent; repeated rows give repeated results, and there are
+no ties. An empty table gives no rows. Only id and text are read, so names of other columns cannot clash.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@ expressions run. A rule without such a word runs on every address.
 Addresses are judged once however often they occur: tokens, candidate rules and verdicts are made for distinct
 addresses and joined back. Rules are a driver-side list; whether their table is broadcast is Spark's size check.
 
-A null address, or one without ``://``, has an empty host and path, fits no rule and is allowed.
+A null address, or one without ``://``, has an empty host and path, fits no rule and is allowed. Of rules that fit the
+longest decides, of patterns an allowing one before a blocking one. Long addresses are judged whole, repeated rows alike.
+An empty table gives no rows. Columns that have a result's name are replaced.
 """
 
 from __future__ import annotations
