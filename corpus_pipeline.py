@@ -1,7 +1,8 @@
 """A training corpus made from documents: language, exact copies, near copies, mixture, token ids.
 
 Each stage takes what the one before kept, written as Parquet in the shared folder, so a lost executor costs no more
-than the stage that runs. All but the last return the columns of ``documents``.
+than the stage that runs. All but the last return the columns of ``documents``. What the stages do with null, empty and very
+long texts, ties, repeated rows and empty tables is told in ``tablewright.llm.stages``.
 """
 
 from __future__ import annotations
