@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablewright.functions import levels
 from tablewright.functions.names import ref, refs
@@ -79,6 +79,38 @@ def docs_by_year(latest: DataFrame, year: str = "year_published", kind: str = "d
     return count_by(latest, [year, kind, "doc_type2"])
 
 
+PROFILES = ("docs_by_group", "entities_by_group", "docs_by_year")
+
+
+def documents_profile(
+    latest: DataFrame,
+    order_by: Sequence[str],
+    entity: str = "speciesID",
+    group: str = "taxonomic_group",
+    kind: str = "doc_type",
+    year: str = "year_published",
+) -> DataFrame:
+    """The three profiles above in one pass, as (profile, group, kind, doc_type2, year, n); columns that a profile does not
+    count by are null.
+
+    The first row of an entity is marked once, and grouping sets count documents and marked rows together: one reading of
+    the latest rows and one shuffle of partial counts.
+    """
+    first = Window.partitionBy(ref(entity), ref(kind), ref("doc_type2")).orderBy(*refs(order_by))
+    marked = latest.select(
+        *refs([group, kind, "doc_type2", year]), (F.row_number().over(first) == 1).alias("__first")
+    )
+    columns = refs([group, kind, "doc_type2", year])
+    sets = [[columns[0], columns[1]], columns[:3], columns[1:]]
+    counted = marked.groupingSets(sets, *columns).agg(
+        F.grouping_id().alias("__set"), F.count(F.lit(1)).alias("__rows"), F.count_if("__first").alias("__entities")
+    )
+    # Bits from the left: group, kind, kind class, year; set where a column is not counted by.
+    profile = F.when(F.col("__set") == 0b0011, PROFILES[0]).when(F.col("__set") == 0b0001, PROFILES[1]).otherwise(PROFILES[2])
+    n = F.when(F.col("__set") == 0b0001, F.col("__entities")).otherwise(F.col("__rows"))
+    return counted.select(profile.alias("profile"), *refs([group, kind, "doc_type2", year]), n.alias("n")).filter("n > 0")
+
+
 def _flag_tests(df: DataFrame, numbers: Sequence[str], name: str) -> Mapping[str, Column]:
     return {n: ref(name.format(n)) == 1 for n in numbers if name.format(n) in df.columns}
 

@@ -48,6 +48,20 @@ def _(t):
     return profile.docs_by_year(_latest(t))
 
 
+@query(
+    "pro1_to_pro3_profile",
+    f"""{_LATEST} SELECT 'docs_by_group' AS profile, taxonomic_group, doc_type, NULL AS doc_type2, NULL AS year_published, count(*) AS n
+          FROM latest GROUP BY taxonomic_group, doc_type
+        UNION ALL SELECT 'entities_by_group', taxonomic_group, doc_type, doc_type2, NULL, count(*) FROM (
+          SELECT *, row_number() OVER (PARTITION BY "speciesID", doc_type, doc_type2 ORDER BY "rowID") AS rn FROM latest)
+          WHERE rn = 1 GROUP BY taxonomic_group, doc_type, doc_type2
+        UNION ALL SELECT 'docs_by_year', NULL, doc_type, doc_type2, year_published, count(*)
+          FROM latest GROUP BY year_published, doc_type, doc_type2""",
+)
+def _(t):
+    return profile.documents_profile(_latest(t), order_by=["rowID"])
+
+
 def _sql_flags(numbers, keys: str) -> str:
     return " UNION ALL ".join(
         f"""SELECT {keys}, '{n}' AS threat, count(*) AS n FROM latest WHERE "{flag_name(n)}" = 1 GROUP BY ALL"""

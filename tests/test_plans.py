@@ -358,3 +358,17 @@ def test_write_checked_reads_a_clean_table_once(spark, document, monkeypatch):
     assert validate.write_checked(clean, path, "2", contract).count() == 0
     assert validate.write_checked(clean.select("id"), path, "3", contract[:1]).count() == 0
     assert validate.write_checked(clean.limit(0), path, "4", contract[1:]).count() == 0
+
+
+def test_profiles_in_one_pass(spark):
+    values = [(i, i % 7, f"g{i % 3}" if i % 5 else None, f"k{i % 2}", f"c{i % 2}", 2000 + i % 4 if i % 6 else None) for i in range(200)]
+    latest = spark.createDataFrame(values, "rowID int, speciesID int, taxonomic_group string, doc_type string, doc_type2 string, year_published int")
+    out = profile.documents_profile(latest, ["rowID"])
+    parts = {
+        "docs_by_group": (profile.docs_by_group(latest), ["taxonomic_group", "doc_type"]),
+        "entities_by_group": (profile.entities_by_group(latest, ["rowID"]), ["taxonomic_group", "doc_type", "doc_type2"]),
+        "docs_by_year": (profile.docs_by_year(latest), ["year_published", "doc_type", "doc_type2"]),
+    }
+    for name, (plain, columns) in parts.items():
+        assert rows(out.filter(F.col("profile") == name).select(*columns, "n")) == rows(plain.select(*columns, "n"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 1
