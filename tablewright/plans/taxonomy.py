@@ -153,6 +153,53 @@ def classify_columns(
     return derive(out, {kind: levels.classify_list(ref(c), taxonomy) for c, kind in columns.items()})
 
 
+GRAM = 3  # letters by which plain sub-types are found
+
+
+def _grams(text: Column) -> Column:
+    places = F.sequence(F.lit(1), F.length(text) - F.lit(GRAM - 1))
+    grams = F.transform(places, lambda i: F.substring(text, i, F.lit(GRAM)))
+    return F.when(F.length(text) >= GRAM, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+
+
+def classify_by_index(
+    df: DataFrame,
+    column: str,
+    types: DataFrame,
+    out: str,
+    kind: str = "kind",
+    subtype: str = "subtype",
+    place: str = "place",
+    sep: str = ", ",
+) -> DataFrame:
+    """As :func:`levels.classify_list` for taxonomies of any size, which stay a table.
+
+    Every sub-type that is plain text has one of its three-letter parts as its key, the one that the fewest sub-types have.
+    The parts of a text fetch the sub-types with these keys, and those are then looked for in it. Different texts are
+    classified once. Sub-types that are patterns, or shorter than a key, are tried on every different text; there should be
+    few. A type's place is the least of its sub-types'.
+    """
+    known = types.select(ref(kind).alias("kind"), F.lower(ref(subtype)).alias("pattern"), ref(place).alias("place"))
+    known = known.filter("kind is not null and pattern is not null")
+    order = known.groupBy("kind").agg(F.min("place").alias("place"))
+    known = known.drop("place").distinct().join(order, "kind")
+    plain = (F.length("pattern") >= GRAM) & ~F.col("pattern").rlike(r"[\\.\[\](){}*+?^$|]")
+    parts = known.filter(plain).select("pattern", F.explode(_grams(F.col("pattern"))).alias("gram")).distinct()
+    often = parts.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    keys = parts.join(often, "gram").groupBy("pattern").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+    index = known.join(keys, "pattern")
+
+    texts = df.select(F.lower(ref(column)).alias("text")).filter("text is not null").distinct()
+    fetched = texts.select("text", F.explode(_grams(F.col("text"))).alias("gram")).join(index, "gram")
+    hits = fetched.filter(F.contains("text", "pattern")).select("text", "place", "kind")
+    tried = texts.join(known.filter(~plain), F.expr("text RLIKE pattern")).select("text", "place", "kind")
+    listed = F.array_sort(F.collect_set(F.struct("place", "kind")))
+    found = hits.unionAll(tried).groupBy("text").agg(F.array_join(F.transform(listed, lambda x: x["kind"]), sep).alias("__types"))
+    joined = df.alias("l").join(found.alias("r"), F.lower(ref(column, "l")) == F.col("r.text"), "left")
+    kept = [ref(c, "l") for c in df.columns if c != out]
+    return joined.select(*kept, F.col("r.__types").alias(out))
+
+
 def read_taxonomy(table: DataFrame, kind: str, subtype: str, order_by: Sequence[str]) -> dict[str, list[str]]:
     """A table of types and sub-types as a mapping, in a declared order.
 

@@ -278,6 +278,23 @@ def _(t):
     return taxonomy.classify_columns(df, known, columns, repair_commas=["action_subtype"])
 
 
+@query(
+    "dom7_classify_by_index",
+    f"""SELECT p_partkey, action_subtype, "CC_action_subtype", {sql_types('action_subtype')} AS action_type FROM ({_ACTIONS})""",
+)
+def _(t):
+    """Types found over an index of the taxonomy, which stays a table."""
+    size, tail = F.col("p_size"), F.lit("")
+    humans = F.when(size % 5 == 0, F.lit(", Manage Human Threats")).otherwise(tail)
+    predation = F.when(size % 4 == 0, F.lit(", manage PREDATION")).otherwise(tail)
+    df = t.part.select(
+        "p_partkey",
+        F.when(size % 9 != 0, F.concat("p_name", F.lit(",, "), "p_type", humans)).alias("action_subtype"),
+        F.when(size % 7 != 0, F.concat("p_type", predation)).alias("CC_action_subtype"),
+    )
+    return taxonomy.classify_by_index(df, "action_subtype", taxonomy_table(t), "action_type")
+
+
 @query(
     "dom8_parse_mixed_date",
     """SELECT o_orderkey, strftime(CASE o_orderkey % 5 WHEN 0 THEN o_orderdate WHEN 1 THEN date_trunc('year', o_orderdate)

@@ -6,6 +6,7 @@ import pytest
 from compare import rows
 from pyspark.sql import functions as F
 
+from tablewright.functions import levels
 from tablewright.operators import grouped
 from tablewright.plans import build, completeness, maintain, profile, reconcile, taxonomy, validate
 from tablewright.plans.completeness import Scope
@@ -372,3 +373,29 @@ def test_profiles_in_one_pass(spark):
     for name, (plain, columns) in parts.items():
         assert rows(out.filter(F.col("profile") == name).select(*columns, "n")) == rows(plain.select(*columns, "n"))
     assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 1
+
+
+def test_index_finds_what_expressions_find(spark):
+    rng = random.Random(11)
+    parts = ["manage", "habitat", "ab", "species", "Monitor", "re-plant", "a.c", "x+", "é", "ring"]
+    subtypes = sorted({" ".join(rng.choices(parts, k=rng.randint(1, 3))) for _ in range(120)}) + ["", "q"]
+    kinds = {f"K{i}": subtypes[i::7] for i in range(7)}
+    kinds["K3"].remove("") if "" in kinds["K3"] else None
+    for k in kinds:
+        kinds[k] = [x for x in kinds[k] if x]
+    types = spark.createDataFrame([(k, x, i) for i, (k, x) in enumerate((k, x) for k, v in kinds.items() for x in v)], "kind string, subtype string, place int")
+    texts = [None, "", "ab", "earring aac xx"] + [rng.choice([", ", " "]).join(rng.choices([*parts, "zzz", "HABITAT"], k=rng.randint(0, 6))) for _ in range(150)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:20])], "text int, v string")
+    expected = df.withColumn("out", levels.classify_list(F.col("v"), kinds))
+    assert rows(taxonomy.classify_by_index(df, "v", types, "out")) == rows(expected)
+
+
+def test_plan_of_a_large_taxonomy_is_as_small(spark):
+    def plan_of(n):
+        types = spark.range(n).selectExpr("concat('K', id % 9) AS kind", "concat('sub-type ', id) AS subtype", "id AS place")
+        df = spark.createDataFrame([(1, "x sub-type 7, sub-type 999")], "id int, v string")
+        out = taxonomy.classify_by_index(df, "v", types, "out")
+        return len(out._jdf.queryExecution().optimizedPlan().toString()), out.first()["out"]
+
+    small, large = plan_of(10), plan_of(10_000)
+    assert abs(small[0] - large[0]) < 60 and large[1] == "K0, K7"
