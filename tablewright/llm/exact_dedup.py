@@ -1,8 +1,9 @@
 """Exact duplicates: rows grouped by a 128-bit hash of the whole text, checked byte by byte.
 
-Hashes move, texts do not, until a hash occurs twice; the texts of such groups are then compared with the text of the
-row that stays. Groups are counts and minima with map-side combining, and every join with rows of a group has one row
-for each group on its other side, so a group of any size can be split between tasks.
+Hashes move, texts do not, until a hash occurs twice; of the texts of such a group the least and the greatest are then
+found, each task passing on its own two, and a group is one of equal texts if they are the same. Groups are counts, minima
+and maxima with map-side combining, and every join with rows of a group has one row for each group on its other side, so a
+group of any size can be split between tasks.
 
 A null text counts as empty. Rows that repeat both id and text are one document: each is reported, and
 ``exact_distinct`` returns one of them. A null id loses against any other and is kept only if its whole group has none.
@@ -42,19 +43,16 @@ def exact_groups(
     slim = written(rows.select("id", "digest", F.sha2("body", 256).alias("sha")), "exact")
     grouped = F.count(F.lit(1)).alias("n"), best("id").alias("keep")
     groups = written(slim.groupBy("digest").agg(*grouped).filter("n > 1"), "exact-groups")
-    # Only texts whose hash occurs again are written and compared.
-    again = written(rows.join(groups, "digest"), "exact-texts")
-    first = again.filter(F.col("id").eqNullSafe(F.col("keep"))).groupBy("digest")
-    # Any text of the kept id will do: if the id has two texts in the group, one of them differs from it.
-    against = written(first.agg(F.min("body").alias("other")), "exact-first")
-    collided = written(
-        again.join(against, "digest").filter("body <> other").select("digest").distinct(), "exact-collided"
-    )
-    split = again.drop("n", "keep").join(collided, "digest", "left_semi")
-    parts = split.groupBy("digest", "body").agg(*grouped)
-    apart = split.join(parts, ["digest", "body"]).select("id", F.sha2("body", 256).alias("sha"), "n", "keep")
-    whole = slim.join(collided, "digest", "left_anti").join(groups, "digest", "left")
-    found = whole.select("id", "sha", "n", "keep").unionByName(apart)
+    # Texts whose hash occurs again are compared: all are equal if the least is the greatest. A task passes on two of them.
+    ends = rows.join(groups.select("digest"), "digest").groupBy("digest").agg(F.min("body").alias("a"), F.max("body").alias("b"))
+    collided = written(ends.filter("a <> b").select("digest"), "exact-collided")
+    found = slim.join(groups, "digest", "left")
+    if not collided.isEmpty():
+        split = rows.join(collided, "digest", "left_semi")
+        parts = split.groupBy("digest", "body").agg(*grouped)
+        apart = split.join(parts, ["digest", "body"]).select("id", F.sha2("body", 256).alias("sha"), "n", "keep")
+        whole = slim.join(collided, "digest", "left_anti").join(groups, "digest", "left")
+        found = whole.select("id", "sha", "n", "keep").unionByName(apart)
     alone = F.col("n").isNull()
     keep_id = F.when(alone, F.col("id")).otherwise(F.col("keep"))
     return found.select(
