@@ -11,6 +11,7 @@ from tablewright.operators import grouped
 from tablewright.plans import build, completeness, maintain, profile, reconcile, taxonomy, validate
 from tablewright.plans.completeness import Scope
 from tablewright.plans.validate import ContractRow
+from tablewright.session import written
 
 RECORD = "uID int, threat_num string, impact string, scope string, severity string, timing string, comments string, impact_code string"
 
@@ -338,6 +339,17 @@ def test_proposals_against_every_pair(spark, most):
     assert rows(out) == sorted(expected, key=repr)
 
 
+def test_rests_of_names_do_not_pass_through_the_driver(spark):
+    # A name of 18 characters has 171 rests, and Spark takes them for as large as the name.
+    wrong = written(spark.createDataFrame([(f"Customer#{i:08d}",) for i in range(30)], "name string"))
+    known = written(spark.createDataFrame([(f"Customer#{i:09d}",) for i in range(30)], "known string"))
+    out = reconcile.propose_names(wrong, known, "name", "known", most=2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join [rest#" in line]
+    assert joins and not any("Broadcast" in line for line in joins)
+    assert out.filter("edits = 1 and int(right(name, 8)) = int(right(proposal, 9))").count() == 30
+
+
 def test_write_checked_reads_a_clean_table_once(spark, document, monkeypatch):
     from tablewright.session import scratch_path
 
