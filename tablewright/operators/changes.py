@@ -165,6 +165,32 @@ def fill_sentinel(df: DataFrame, columns: Sequence[str], flagged: Column, sentin
     return derive(df, {name: filled(name) for name in columns})
 
 
+def _routed(batch: DataFrame, verb: str, update: Sequence[str], fill: Sequence[str], remove_text: str) -> DataFrame:
+    """Rows of a batch that do something, with what they do."""
+    route = (
+        F.when(ref(verb).contains(remove_text), F.lit(3))
+        .when(ref(verb).isin(*fill), F.lit(2))
+        .when(ref(verb).isin(*update), F.lit(1))
+    )
+    return batch.withColumn("__route", route).filter(F.col("__route").isNotNull())
+
+
+def listed_to_fill(
+    batch: DataFrame,
+    columns: Sequence[str],
+    verb: str = "change_made",
+    update: Sequence[str] = ("yes",),
+    fill: Sequence[str] = ("no", "new data already extracted"),
+    remove_text: str = "remove",
+    listing_pattern: str = "^miss",
+    fill_also: Sequence[str] = (),
+    **_,
+) -> list[str]:
+    """Of ``columns`` those that :func:`route_changes`, with the same options, would fill."""
+    routed = _routed(batch, verb, update, fill, remove_text)
+    return sentinel_columns(routed.filter("__route = 2"), listing_pattern, columns, fill_also)
+
+
 def route_changes(
     table: DataFrame,
     batch: DataFrame,
@@ -178,21 +204,19 @@ def route_changes(
     sentinel: str = "NE",
     unmatched: str = "error",
     null_keys: bool = True,
+    listed: Sequence[str] | None = None,
 ) -> DataFrame:
     """Apply a batch whose verb says, row by row, what to do.
 
     Rows to update overwrite the table; rows to fill get the sentinel in the columns that the batch
     lists as missing and then overwrite the table; rows to remove delete their key; others do nothing.
     Where one key has several verbs the outcome is that of update, fill and removal in this order.
-    All of it is one join of the table.
+    All of it is one join of the table. ``listed`` gives the columns to fill where they are known already.
     """
-    route = (
-        F.when(ref(verb).contains(remove_text), F.lit(3))
-        .when(ref(verb).isin(*fill), F.lit(2))
-        .when(ref(verb).isin(*update), F.lit(1))
-    )
-    routed = batch.withColumn("__route", route).filter(F.col("__route").isNotNull())
-    to_fill = sentinel_columns(routed.filter("__route = 2"), listing_pattern, table.columns, fill_also)
+    routed = _routed(batch, verb, update, fill, remove_text)
+    to_fill = listed
+    if to_fill is None:
+        to_fill = sentinel_columns(routed.filter("__route = 2"), listing_pattern, table.columns, fill_also)
     to_fill = names.difference(names.intersect(to_fill, batch.columns), by)
     dropped = [verb, *names.matching(batch.columns, listing_pattern)]
     values = names.difference(batch.columns, [*dropped, *by])

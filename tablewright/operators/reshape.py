@@ -27,38 +27,65 @@ def pivot_wider(
     """One row per id and, for every value of ``name`` in the vocabulary, one column per measure.
 
     ``measures`` are aggregates, so rows that share an id and a name are combined before the shuffle. The
-    cells of an id, at most as many as the vocabulary has values, are then put into places once, and the
-    columns read from their places. A name outside the vocabulary fails the query, so no cell is lost (see
+    cells of an id, at most as many as the vocabulary has values, are then held by their places once, and the
+    columns read from there. A name outside the vocabulary fails the query, so no cell is lost (see
     :func:`unknown_names`); a null name has no cell but keeps its id. ``fill`` is for cells that are
     absent: a null measure of a cell that is there stays null. With ``filled``, ids are left out that
     have none of these measures in any cell; that is known before the columns are made.
     """
+    return spread_cells(pivot_cells(df, ids, name, vocabulary, measures, filled), vocabulary, list(measures), fill, label)
+
+
+def pivot_cells(
+    df: DataFrame,
+    ids: Sequence[str],
+    name: str,
+    vocabulary: Sequence,
+    measures: Mapping[str, Column],
+    filled: Sequence[str] = (),
+    cells: str = "__cells",
+    unique: bool = False,
+) -> DataFrame:
+    """As :func:`pivot_wider`, but with the cells that are there as one list, which :func:`spread_cells` makes columns of.
+
+    A list is as long as an id has cells, so it is what should be joined and sorted. ``unique`` declares that no two rows
+    share an id and a name; then ``measures`` are plain columns, and rows are not combined first.
+    """
     place = F.array_position(F.array(*[F.lit(v) for v in vocabulary]), ref(name)) - 1
     unknown = F.raise_error(F.concat(F.lit(f"{name} is not in the vocabulary: "), ref(name).cast("string")))
-    known = F.when(place >= 0, place.cast("int")).when(ref(name).isNotNull(), unknown.cast("int"))
-    cells = df.groupBy(*refs(ids), known.alias("__place")).agg(
-        F.struct(*[m.alias(f"m{i}") for i, m in enumerate(measures.values())]).alias("__cell")
-    )
-    cell = F.when(F.col("__place").isNotNull(), F.struct("__place", "__cell"))
-    some = any_of(F.col(f"__cell.m{i}").isNotNull() for i, m in enumerate(measures) if m in filled)
+    known = F.when(place >= 0, place.cast("int")).when(ref(name).isNotNull(), unknown.cast("int")).alias("__place")
+    values = F.struct(*[m.alias(f"m{i}") for i, m in enumerate(measures.values())]).alias("__cell")
+    placed = df.select(*refs(ids), known, values) if unique else df.groupBy(*refs(ids), known).agg(values)
     has_cell = F.col("__place").isNotNull()
-    rows = cells.groupBy(*refs(ids)).agg(
-        F.map_from_entries(F.collect_list(cell)).alias("__cells"), F.max(has_cell & some).alias("__some")
-    )
-    rows = rows.filter("__some") if filled else rows
-    places = F.sequence(F.lit(0), F.lit(len(vocabulary) - 1))
-    rows = rows.withColumn("__slots", F.transform(places, lambda i: F.col("__cells")[i]))
+    cell = F.when(has_cell, F.struct("__place", "__cell"))
+    some = any_of(F.col(f"__cell.m{i}").isNotNull() for i, m in enumerate(measures) if m in filled)
+    rows = placed.groupBy(*refs(ids)).agg(F.collect_list(cell).alias(cells), F.max(has_cell & some).alias("__some"))
+    return (rows.filter("__some") if filled else rows).drop("__some")
+
+
+def spread_cells(
+    df: DataFrame,
+    vocabulary: Sequence,
+    measures: Sequence[str],
+    fill: Mapping[str, object] | None = None,
+    label: Callable[[object, str], str] = lambda value, measure: f"{value}_{measure}",
+    cells: str = "__cells",
+) -> DataFrame:
+    """The columns of cells in their list's place. A row without a list, as an outer join gives it, has nulls only."""
+    # Cells have no null entries, which would make the whole map null.
+    rows = df.withColumn("__held", F.map_from_entries(ref(cells)))
     fill = {m: v for m, v in (fill or {}).items() if v is not None}
 
     # As text, since hundreds of columns are slow to build one call at a time.
     def column(i: int, measure: str, k: int) -> str:
-        held = f"`__slots`[{k}].m{i}"
+        held = f"`__held`[{k}].m{i}"
         if measure in fill:
-            held = f"CASE WHEN `__slots`[{k}] IS NULL THEN {_literal(fill[measure])} ELSE {held} END"
+            held = f"CASE WHEN `__held` IS NOT NULL AND `__held`[{k}] IS NULL THEN {_literal(fill[measure])} ELSE {held} END"
         return f"{held} AS {quoted(label(vocabulary[k], measure))}"
 
     columns = [column(i, m, k) for i, m in enumerate(measures) for k in range(len(vocabulary))]
-    return rows.selectExpr(*[quoted(c) for c in ids], *columns)
+    at = df.columns.index(cells)
+    return rows.selectExpr(*map(quoted, df.columns[:at]), *columns, *map(quoted, df.columns[at + 1 :]))
 
 
 def _literal(value) -> str:

@@ -34,13 +34,15 @@ def category_table(
     ids: Sequence[str],
     measures: Sequence[str] = taxonomy.WIDE_MEASURES,
     order_by: Sequence[str] = (),
+    spread: bool = True,
 ) -> DataFrame:
     """Records of two sources, the first one winning, repaired, coded and widened; empty rows are dropped.
 
-    Two records of one id and category fail the query, unless ``order_by`` says which one to take.
+    Two records of one id and category fail the query, unless ``order_by`` says which one to take. Without ``spread``
+    the categories stay one list (of all measures), which :func:`with_categories` takes as well.
     """
     records = taxonomy.fix_level_columns(source_priority_merge(hand, machine, keys))
-    return taxonomy.taxonomy_pivot(records, ids, measures=measures, order_by=order_by, filled=True)
+    return taxonomy.taxonomy_pivot(records, ids, measures=measures, order_by=order_by, filled=True, spread=spread)
 
 
 def complete_documents(documents: DataFrame, required: Sequence[str], drop: Sequence[str] = ()) -> DataFrame:
@@ -133,10 +135,15 @@ def orphan_categories(older: DataFrame, kind: str = completeness.STATUS_REPORT)
 
 
 def with_categories(documents: DataFrame, wide: DataFrame, entity: str = "uID", id_column: str = "docID") -> DataFrame:
-    """Documents with their wide categories, versions imputed and parents rolled up."""
+    """Documents with their wide categories, versions imputed and parents rolled up.
+
+    Categories that are still a list are joined as such and made columns after the join.
+    """
+    if set(taxonomy.spread_names()) & set(documents.columns):
+        wide = taxonomy.spread_categories(wide)
     keyed = wide.withColumnRenamed(id_column, CATEGORY_DOCUMENT)
     joined = coalesce_join(documents, keyed, [entity, CATEGORY_DOCUMENT], how="left").drop(CATEGORY_DOCUMENT)
-    return taxonomy.rollup_parents(taxonomy.impute_versions(joined))
+    return taxonomy.rollup_parents(taxonomy.impute_versions(taxonomy.spread_categories(joined)))
 
 
 def finished(

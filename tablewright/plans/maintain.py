@@ -10,7 +10,7 @@ from tablewright.functions import levels, names
 from tablewright.functions.dates import date_text, fix_date
 from tablewright.functions.names import ref, refs
 from tablewright.functions.text import derive_url, replace_first, status_normalise
-from tablewright.operators.changes import route_changes, rows_patch
+from tablewright.operators.changes import listed_to_fill, route_changes, rows_patch
 from tablewright.operators.columns import apply_across, derive, drop_columns, rename_columns
 from tablewright.operators.joins import coalesce_join, left_join, semi_join
 from tablewright.plans import taxonomy
@@ -27,17 +27,35 @@ def patch_round(
     listing_pattern: str = "^miss",
 ) -> DataFrame:
     """Fill what the table lacks from the rows that were changed; their address follows their name."""
+    table, batch = _alike(table, batch, whole=False)
     changed = drop_columns(batch.filter(ref(verb) != ""), [verb], listing_pattern)
     return rows_patch(table, changed.withColumn("url", derive_url(ref(name), url_prefix)), by)
 
 
 def batch_categories(
-    records: DataFrame, ids: Mapping[str, str], repairs: Mapping[str, Sequence[tuple[str, str]]] | None = None
+    records: DataFrame,
+    ids: Mapping[str, str],
+    repairs: Mapping[str, Sequence[tuple[str, str]]] | None = None,
+    spread: bool = True,
 ) -> DataFrame:
-    """Category records of a batch in wide form, under the table's id names; level texts repaired first."""
+    """Category records of a batch in wide form, under the table's id names; level texts repaired first.
+
+    Without ``spread`` the categories stay one list.
+    """
     repaired = derive(records, {c: spelt(ref(c), rules) for c, rules in (repairs or {}).items()})
     named = rename_columns(repaired, explicit=dict(ids))
-    return taxonomy.taxonomy_pivot(named, list(ids.values()))
+    return taxonomy.taxonomy_pivot(named, list(ids.values()), spread=spread)
+
+
+def _alike(table: DataFrame, batch: DataFrame, whole: bool) -> tuple[DataFrame, DataFrame]:
+    """Table and batch with their categories in one form.
+
+    They stay lists where the batch has none or, if lists are taken ``whole``, has nothing but a list of its own.
+    """
+    listed = {taxonomy.CELLS, *taxonomy.spread_names()} & set(batch.columns)
+    if taxonomy.CELLS in table.columns and (not listed or whole and listed == {taxonomy.CELLS}):
+        return table, batch
+    return taxonomy.spread_categories(table), taxonomy.spread_categories(batch)
 
 
 def spelt(col: Column, rules: Sequence[tuple[str, str]]) -> Column:
@@ -84,11 +102,19 @@ def change_round(
     """Apply a batch by its verbs, with category values where there are any, and put status and dates right.
 
     ``route`` goes to :func:`tablewright.operators.changes.route_changes`. Dates end as yyyy-MM-dd text,
-    and what is no date as null.
+    and what is no date as null. Where the categories of table and batch are lists, they become columns last.
     """
     if categories is not None:
+        if set(taxonomy.spread_names()) & set(batch.columns):
+            categories = taxonomy.spread_categories(categories)
         batch = coalesce_join(categories, batch, by)
-    changed = route_changes(table, batch, by, **route)
+    table, batch = _alike(table, batch, whole=True)
+    if taxonomy.CELLS in table.columns:
+        # A batch that fills single cells needs their columns.
+        route["listed"] = listed_to_fill(batch, [*table.columns, *taxonomy.spread_names()], **route)
+        if set(route["listed"]) & set(taxonomy.spread_names()):
+            table, batch = taxonomy.spread_categories(table), taxonomy.spread_categories(batch)
+    changed = taxonomy.spread_categories(route_changes(table, batch, by, **route))
     changed = changed.withColumn(status, status_normalise(ref(status)))
     dated = names.matching(changed.columns, date_pattern)
     return apply_across(changed, lambda c: date_text(fix_date(c)), columns=dated) if dated else changed

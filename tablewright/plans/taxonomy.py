@@ -12,10 +12,12 @@ from tablewright.functions.text import null_sentinel, replace_first
 from tablewright.operators.aggregates import duplicate_keys, key_message
 from tablewright.operators.columns import add_missing_columns, derive
 from tablewright.operators.grouped import distinct_keep_first
-from tablewright.operators.reshape import pivot_wider
+from tablewright.operators.reshape import pivot_cells, spread_cells
 
 FLAG = "threat_identified"
 WIDE_MEASURES = (FLAG, *levels.LEVEL_MEASURES, "comments")
+# The list of a row's categories where they are not spread over columns yet.
+CELLS = "__categories"
 
 
 def flag_name(number: str) -> str:
@@ -81,22 +83,39 @@ def widen_categories(
     measures: Sequence[str] = WIDE_MEASURES,
     order_by: Sequence[str] = (),
     filled: bool = False,
+    spread: bool = True,
 ) -> DataFrame:
     """One row per id with the flag, levels and comments of every category; absent flags are 0.
 
     Two records of one id and category fail the query, since a mixture of them would be a record that
     nobody made. With ``order_by`` the first whole record in that order is taken. A category outside the
-    vocabulary fails the query as well. ``filled`` leaves out ids without any level or comment.
+    vocabulary fails the query as well. ``filled`` leaves out ids without any level or comment. Without ``spread``
+    the categories of an id stay one list, for :func:`spread_categories` after the joins.
     """
     keys = [*ids, "threat_num"]
     if order_by:
         coded = distinct_keep_first(coded.select(*refs(union(keys, measures, order_by))), keys, order_by)
-        cells = {m: F.max(ref(m)) for m in measures}
+        cells = {m: ref(m) for m in measures}
     else:
         twice = F.raise_error(key_message(f"records {keys} are not unique, e.g. ", [F.max(ref(k)) for k in keys]))
         cells = {m: F.when(F.count(F.lit(1)) == 1, F.max(ref(m))).otherwise(twice) for m in measures}
     needed = [m for m in measures if m != FLAG] if filled else []
-    return pivot_wider(coded, ids, "threat_num", vocabulary, cells, {FLAG: 0.0}, wide_name, needed)
+    listed = pivot_cells(coded, ids, "threat_num", vocabulary, cells, needed, CELLS, unique=bool(order_by))
+    return spread_categories(listed, vocabulary, measures) if spread else listed
+
+
+def spread_categories(
+    df: DataFrame, vocabulary: Sequence[str] = levels.CATEGORIES, measures: Sequence[str] = WIDE_MEASURES
+) -> DataFrame:
+    """Flags, levels and comments as columns, where categories are a list; any other table as it is."""
+    if CELLS not in df.columns:
+        return df
+    return spread_cells(df, vocabulary, measures, {FLAG: 0.0}, wide_name, CELLS)
+
+
+def spread_names(vocabulary: Sequence[str] = levels.CATEGORIES, measures: Sequence[str] = WIDE_MEASURES) -> list[str]:
+    """The columns that :func:`spread_categories` makes."""
+    return [wide_name(n, m) for m in measures for n in vocabulary]
 
 
 def taxonomy_pivot(
@@ -106,15 +125,18 @@ def taxonomy_pivot(
     measures: Sequence[str] = WIDE_MEASURES,
     order_by: Sequence[str] = (),
     filled: bool = False,
+    spread: bool = True,
 ) -> DataFrame:
     """Level texts in long form to coded wide form, with the flags of the whole vocabulary.
 
     Without ``ids`` every column that is neither a measure nor the impact code identifies a row. Fewer
-    ``measures`` give a narrower result and carry less through the shuffle. ``order_by`` and ``filled`` as
-    in :func:`widen_categories`.
+    ``measures`` give a narrower result and carry less through the shuffle. ``order_by``, ``filled`` and ``spread``
+    as in :func:`widen_categories`; a list is of the whole vocabulary.
     """
     if ids is None:
         ids = difference(records.columns, ["threat_num", "impact_code", *levels.LEVEL_MEASURES, "comments", *order_by])
+    if not spread:
+        return widen_categories(code_levels(records), ids, levels.CATEGORIES, measures, order_by, filled, spread=False)
     wide = widen_categories(code_levels(records), ids, vocabulary, measures, order_by, filled)
     return add_missing_columns(wide, [flag_name(n) for n in levels.CATEGORIES], F.lit(0.0))
 

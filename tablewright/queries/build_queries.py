@@ -88,7 +88,7 @@ def _rows(df, columns, where: str = "true"):
 def categories(t):
     all_records = records(t).selectExpr("*", f"{_DOCUMENT_OF_RECORD} AS docID")
     hand, machine = all_records.filter("rowID % 4 <> 0"), all_records.filter("rowID % 4 = 0")
-    return build.category_table(hand, machine, ["uID", "threat_num", "docID"], ["uID", "docID"], order_by=["rowID"])
+    return build.category_table(hand, machine, ["uID", "threat_num", "docID"], ["uID", "docID"], order_by=["rowID"], spread=False)
 
 
 def built(t):

@@ -108,11 +108,11 @@ def _(t):
     def rows(columns, where):
         return named.filter(where).selectExpr(*[f"{value} AS `{name}`" for name, value in columns.items()])
 
-    recorded = taxonomy.taxonomy_pivot(records(t), ["rowID"])
+    recorded = taxonomy.taxonomy_pivot(records(t), ["rowID"], spread=False)
     table = left_join(rows(_TABLE, "true"), recorded, ["rowID"])
     table = maintain.patch_round(table, rows(_FIRST, "o_orderkey % 9 < 6"), ["rowID"], PREFIX)
     checked = records(t).filter(_BATCHED).selectExpr(*[f"{v} AS {n}" for n, v in _BATCH_RECORDS.items()])
-    wide = maintain.batch_categories(checked.drop("speciesID"), {"docID": "rowID"}, {"severity": _NEUTRAL})
+    wide = maintain.batch_categories(checked.drop("speciesID"), {"docID": "rowID"}, {"severity": _NEUTRAL}, spread=False)
     batch = maintain.prepared_batch(
         rows(_SECOND, "o_orderkey % 8 < 6"),
         table,

@@ -339,6 +339,53 @@ def test_proposals_against_every_pair(spark, most):
     assert rows(out) == sorted(expected, key=repr)
 
 
+def test_categories_stay_lists_through_the_joins(spark, records):
+    # Hundreds of columns are made once, after the last exchange, and are the same as when they are made first.
+    def widest(df):
+        plan = df._jdf.queryExecution().optimizedPlan()
+        joins = [n for n in _nodes(plan) if n.nodeName() == "Join"]
+        return max(side.output().size() for j in joins for side in (j.left(), j.right()))
+
+    first = records.filter("impact_code <> 'A'").select("*", F.lit(5).alias("docID"))
+    documents = spark.createDataFrame(
+        [(1, 5, 1, None), (2, 5, 0, None), (3, None, 1, 2.0)], "uID int, category_document int, threat_calculator int, TC_version double"
+    )
+    wide, listed = (
+        build.category_table(first, first.limit(0), ["uID", "threat_num", "docID"], ["uID", "docID"], order_by=["impact_code"], spread=s)
+        for s in (True, False)
+    )
+    before, after = build.with_categories(documents, wide), build.with_categories(documents, listed)
+    assert after.columns == before.columns and rows(after) == rows(before)
+    assert widest(after) < 20 < widest(before)
+    kept = documents.withColumn("X1_iucn_scope", F.lit(9.0))
+    assert rows(build.with_categories(kept, listed)) == rows(build.with_categories(kept, wide))
+
+
+@pytest.mark.parametrize("missing", ["name", "name, X1_iucn_scope"])
+def test_change_round_takes_categories_as_lists(spark, records, missing):
+    texts = records.filter("impact_code <> 'A'").drop("impact_code")
+    ids = spark.createDataFrame([(1, "one", "Threatened"), (2, None, None), (3, "three", "Threatened")], "uID int, name string, sara_status string")
+    batch = spark.createDataFrame(
+        [(1, "no", missing, None), (2, "remove", "", "two"), (3, "yes", "name", "drei")], "uID int, change_made string, missing string, name string"
+    )
+
+    def round_of(spread):
+        table = ids.join(taxonomy.taxonomy_pivot(texts, ["uID"], spread=spread), "uID", "left")
+        changed = texts.filter("uID = 1 and threat_num <> '1'").drop("uID").withColumn("docID", F.lit(3))
+        return maintain.change_round(table, batch, ["uID"], maintain.batch_categories(changed, {"docID": "uID"}, spread=spread), date_pattern="_date$")
+
+    before, after = round_of(True), round_of(False)
+    assert after.dtypes == before.dtypes and rows(after) == rows(before)
+    held = {r["uID"]: r for r in after.collect()}
+    assert set(held) == {1, 3} and held[1]["name"] == "NE" and held[3]["X8.4_iucn_impact"] == 4.5
+    assert held[1]["X8.4_iucn_impact"] is None and held[1]["X1_iucn_scope"] == (None if missing == "name" else "NE")
+
+
+def _nodes(plan):
+    children = plan.children()
+    return [plan, *[n for i in range(children.size()) for n in _nodes(children.apply(i))]]
+
+
 def test_rests_of_names_do_not_pass_through_the_driver(spark):
     # A name of 18 characters has 171 rests, and Spark takes them for as large as the name.
     wrong = written(spark.createDataFrame([(f"Customer#{i:08d}",) for i in range(30)], "name string"))
