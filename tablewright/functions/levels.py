@@ -8,7 +8,8 @@ from operator import add
 
 from pyspark.sql import Column, functions as F
 
-from tablewright.functions.text import replace_first
+from tablewright.functions.logic import any_of
+from tablewright.functions.text import found, is_plain, replace_first
 
 # Label and code of every level, per measure. Matching is on lower-case text.
 LEVEL_CODES: dict[str, tuple[tuple[str, float], ...]] = {
@@ -83,7 +84,8 @@ def _shortened(text: str) -> str:
 
 def _comparable(col: Column) -> Column:
     """Lower case, with the first "very high" cut to "very" so that it does not also read as "high"."""
-    return replace_first(F.lower(col), "very high", "very")
+    text = F.lower(col)
+    return F.when(found(text, "very high"), replace_first(text, "very high", "very")).otherwise(text)
 
 
 def recode_levels(col: Column, codes: Sequence[tuple[str, float]]) -> Column:
@@ -152,7 +154,7 @@ def fix_levels(col: Column, fixes: Sequence[tuple[str, str]] = LEVEL_FIXES) -> C
     fixed = col
     for pattern, label in fixes:
         fixed = replace_first(fixed, pattern, label)
-    return F.when(col.rlike("|".join(f"(?:{pattern})" for pattern, _ in fixes)), fixed).otherwise(col)
+    return F.when(any_of(found(col, pattern) for pattern, _ in fixes), fixed).otherwise(col)
 
 
 # Older names of sub-types, and doubled commas, repaired before lists are classified.
@@ -160,27 +162,46 @@ SUBTYPE_SYNONYMS = (
     ("manage human threats", "regulate human activities"),
     ("manage predation", "Manage native species negatively impacting species at risk"),
 )
-DOUBLED_COMMA = ",,|, ,"
+DOUBLED_COMMAS = (",,", ", ,")
 
 
 def repair_subtypes(col: Column, commas: bool = False, synonyms=SUBTYPE_SYNONYMS) -> Column:
-    """Synonyms rewritten, each on its first match; on request the first doubled comma made single."""
+    """Synonyms rewritten, each on its first match; on request the first doubled comma made single.
+
+    A text that holds none of them is looked at, but not rewritten.
+    """
+    repaired = col
     for old, new in synonyms:
-        col = replace_first(col, old, new, ignore_case=True)
-    return replace_first(col, DOUBLED_COMMA, ",") if commas else col
+        repaired = replace_first(repaired, old, new, ignore_case=True)
+    if commas:
+        repaired = replace_first(repaired, "|".join(DOUBLED_COMMAS), ",")
+    if not all(is_plain(old) and old.isascii() for old, _ in synonyms):
+        return repaired
+    # Letters beyond ASCII may be the upper case of plain ones, so texts with such letters are always gone through.
+    due = [F.octet_length(col) > F.char_length(col), *[F.contains(F.lower(col), F.lit(old.lower())) for old, _ in synonyms]]
+    due += [F.contains(col, F.lit(doubled)) for doubled in DOUBLED_COMMAS if commas]
+    return F.when(any_of(due), repaired).otherwise(col)
+
+
+# Sub-types of one type that are looked for one by one; more of them stay one pattern, which keeps the expression small.
+PLAIN_SUBTYPES = 50
 
 
 def classify_list(col: Column, taxonomy: Mapping[str, Sequence[str]], sep: str = ", ") -> Column:
     """The types whose sub-types occur in the text, joined in taxonomy order; none gives null.
 
-    Sub-types are used as patterns, without escaping.
+    Sub-types are used as patterns, without escaping; those of a type that are all plain text are looked for as such.
     """
     text = F.lower(col)
-    found = [
-        F.when(text.rlike("|".join(subtype.lower() for subtype in subtypes)), F.lit(kind))
-        for kind, subtypes in taxonomy.items()
-    ]
-    return F.nullif(F.concat_ws(sep, *found), F.lit(""))
+
+    def named(subtypes: Sequence[str]) -> Column:
+        patterns = [subtype.lower() for subtype in subtypes]
+        if len(patterns) <= PLAIN_SUBTYPES and all(map(is_plain, patterns)):
+            return any_of(found(text, pattern) for pattern in patterns)
+        return text.rlike("|".join(patterns))
+
+    types = [F.when(named(subtypes), F.lit(kind)) for kind, subtypes in taxonomy.items()]
+    return F.nullif(F.concat_ws(sep, *types), F.lit(""))
 
 
 def impute_version(uses_tool: Column, version: Column, newer_category: Column) -> Column:

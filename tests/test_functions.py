@@ -104,6 +104,28 @@ def test_repair_subtypes_changes_first_match_only(spark):
     assert evaluate(spark, value, levels.repair_subtypes) == "regulate human activities,, x,, manage human threats"
 
 
+def test_repair_subtypes_finds_letters_beyond_ascii(spark):
+    for value in ("MANAGE HUMAN THREATS", "manage human threat\u017f", "manage predat\u0130on", "\u00e9, manage predation,, x", "plain, \u00e9"):
+        plain = text.replace_first(F.col("v"), "manage human threats", "regulate human activities", ignore_case=True)
+        plain = text.replace_first(plain, "manage predation", levels.SUBTYPE_SYNONYMS[1][1], ignore_case=True)
+        expected = evaluate(spark, value, lambda c: text.replace_first(plain, ",,|, ,", ","))
+        assert evaluate(spark, value, lambda c: levels.repair_subtypes(c, commas=True)) == expected
+    assert evaluate(spark, "a.b, abb", lambda c: levels.repair_subtypes(c, synonyms=[("a.b", "x")])) == "x, abb"
+
+
+def test_plain_terms_are_not_looked_for_as_patterns(spark):
+    # A pattern is tried at every place of every text, which was most of the time of recoding.
+    df = spark.createDataFrame([("Education, monitoring",), (None,)], "v string")
+    known = {"Outreach": ["education", "outreach"], "Research": ["monitoring"]}
+    out = df.select(levels.classify_list(F.col("v"), known).alias("kind"))
+    assert rows(out) == rows(spark.createDataFrame([("Outreach, Research",), (None,)], "kind string"))
+    assert "RLIKE" not in out._jdf.queryExecution().analyzed().toString().upper()
+    for pattern in ("Hig$", "Ongoing", "a.c", "b$c", "$", ""):
+        for value in ("Hig", "High", "Hig\n", "High Hig", "Ongoing", "abc", "b$c", "", None):
+            expected = evaluate(spark, value, lambda c: c.rlike(pattern))
+            assert evaluate(spark, value, lambda c: text.found(c, pattern)) == expected
+
+
 def test_fix_levels(spark):
     assert evaluate(spark, "Hig", levels.fix_levels) == "High"
     assert evaluate(spark, "Hig - Low", levels.fix_levels) == "Hig - Low"
