@@ -20,6 +20,7 @@ from tablewright.operators.joins import anti_join, coalesce_join, semi_join
 from tablewright.plans import completeness, taxonomy
 from tablewright.plans.maintain import relabel_unreported
 from tablewright.plans.reconcile import source_priority_merge, split_by_kind
+from tablewright.session import written
 
 # Where a document's categories are kept: its own id, or null for records that name no document.
 CATEGORY_DOCUMENT = "category_document"
@@ -134,15 +135,20 @@ def orphan_categories(older: DataFrame, kind: str = completeness.STATUS_REPORT)
     return older.withColumn(CATEGORY_DOCUMENT, F.when(F.coalesce(fits, F.lit(False)), F.lit(None)).otherwise(none))
 
 
-def with_categories(documents: DataFrame, wide: DataFrame, entity: str = "uID", id_column: str = "docID") -> DataFrame:
+def with_categories(
+    documents: DataFrame, wide: DataFrame, entity: str = "uID", id_column: str = "docID", stored: str | None = None
+) -> DataFrame:
     """Documents with their wide categories, versions imputed and parents rolled up.
 
-    Categories that are still a list are joined as such and made columns after the join.
+    Categories that are still a list are joined as such and made columns after the join. ``stored`` is for a table that
+    is read more than once: what was joined is written under that name, and the columns are made from it at every reading.
     """
     if set(taxonomy.spread_names()) & set(documents.columns):
         wide = taxonomy.spread_categories(wide)
     keyed = wide.withColumnRenamed(id_column, CATEGORY_DOCUMENT)
     joined = coalesce_join(documents, keyed, [entity, CATEGORY_DOCUMENT], how="left").drop(CATEGORY_DOCUMENT)
+    if stored is not None:
+        joined = written(joined, stored)
     return taxonomy.rollup_parents(taxonomy.impute_versions(taxonomy.spread_categories(joined)))
 
 

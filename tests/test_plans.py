@@ -357,6 +357,11 @@ def test_categories_stay_lists_through_the_joins(spark, records):
     before, after = build.with_categories(documents, wide), build.with_categories(documents, listed)
     assert after.columns == before.columns and rows(after) == rows(before)
     assert widest(after) < 20 < widest(before)
+    # What is written for several readings are the lists as well.
+    stored = build.with_categories(documents, listed, stored="built")
+    scans = [n for n in _nodes(stored._jdf.queryExecution().optimizedPlan()) if "Relation" in n.nodeName()]
+    assert [n.output().size() < 20 for n in scans] == [True]
+    assert stored.columns == before.columns and rows(stored) == rows(before)
     kept = documents.withColumn("X1_iucn_scope", F.lit(9.0))
     assert rows(build.with_categories(kept, listed)) == rows(build.with_categories(kept, wide))
 
