@@ -147,7 +147,8 @@ def encoded(df: DataFrame, path: str, id_column: str = "doc_id", text: str = "te
                     if size >= IDS:
                         yield pd.DataFrame({"id": batch["id"].iloc[start : start + len(ids)].to_numpy(), "ids": ids})
                         ids, start, size = [], start + len(ids), 0
-                yield pd.DataFrame({"id": batch["id"].iloc[start:].to_numpy(), "ids": ids})
+                if ids:  # lists of an empty frame have no type that Arrow could take
+                    yield pd.DataFrame({"id": batch["id"].iloc[start:].to_numpy(), "ids": ids})
 
     kind = rows.schema["id"].dataType.simpleString()
     return in_pandas(rows, encode, f"id {kind}, ids array<int>").withColumnRenamed("id", id_column)

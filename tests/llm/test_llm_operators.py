@@ -453,6 +453,17 @@ def test_codec(spark):
     assert bpe_codec.round_trip(empty_like(spark, df), PATH).count() == 0
 
 
+def test_ids_that_fill_a_frame_with_the_last_text(spark):
+    # Nothing is left of the batch for a last frame then.
+    texts = ["one", " a" * bpe_codec.IDS, "two", " a" * bpe_codec.IDS]
+    out = bpe_codec.encoded(documents(spark, texts).coalesce(1), PATH).select("doc_id", F.size("ids").alias("n"), F.array_distinct("ids").alias("of"))
+    library = Tokenizer.from_file(PATH)
+    expected = [library.encode(t[:3], add_special_tokens=False).ids[:1] for t in texts]
+    assert [(r["n"], r["of"]) for r in out.orderBy("doc_id").collect()] == [
+        (n, ids) for n, ids in zip([1, bpe_codec.IDS, 1, bpe_codec.IDS], expected, strict=True)
+    ]
+
+
 def test_decoding_cut_characters():
     worker = bpe_codec.encoder(PATH)
     library = Tokenizer.from_file(PATH)
