@@ -391,6 +391,51 @@ def _nodes(plan):
     return [plan, *[n for i in range(children.size()) for n in _nodes(children.apply(i))]]
 
 
+def _edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("most", [0, 1, 2, 3])
+def test_proposals_of_runs_marks_and_short_names(spark, most):
+    # The letter that marks a place may be in names, characters come in runs, and all of a name may be edited.
+    rng = random.Random(most)
+    letters = "a" * 3 + "b" + reconcile.MARK
+    known = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(0, 6))) for _ in range(40)} | {"😀aa", "aa😀"})
+    wrong = sorted({"".join(rng.choice(letters) for _ in range(rng.randint(0, 6))) for _ in range(60)} | {"a😀a", "😀"})
+    expected = {(w, k, _edits(w, k)) for w in wrong if w not in known for k in known if _edits(w, k) <= most}
+    out = reconcile.propose_names(spark.createDataFrame([(w,) for w in wrong * 2], "v string"), spark.createDataFrame([(k,) for k in known * 2], "k string"), "v", "k", most)
+    found = [(r["v"], r["proposal"], r["edits"]) for r in out.collect()]
+    assert len(found) == len(expected) and set(found) == expected
+
+
+def _joined(plan, key):
+    """Rows that the joins by a column gave, in a plan that ran."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return _joined(plan.executedPlan(), key)
+    if "QueryStage" in name:
+        return _joined(plan.plan(), key)
+    own = plan.metrics().apply("numOutputRows").value() if "Join" in name and f"[{key}#" in plan.simpleString(99) else 0
+    children = plan.children()
+    return own + sum(_joined(children.apply(i), key) for i in range(children.size()))
+
+
+def test_only_names_that_are_close_meet(spark):
+    # Numbered names share most letters with hundreds of others that are three or four edits away.
+    known = spark.createDataFrame([(f"Customer#{i:09d}",) for i in range(0, 3000, 3)], "k string")
+    wrong = spark.createDataFrame([(x,) for i in range(0, 3000, 30) for x in (f"Csutomer#{i:09d}", f"Customer#{i:09d}s")], "v string")
+    out = reconcile.propose_names(wrong, known, "v", "k", 2)
+    found = out.collect()
+    met = _joined(out._jdf.queryExecution().executedPlan(), "rest")
+    # A pair of one edit meets by each further place that may be marked, others seldom by more than one rest.
+    assert len(found) <= met <= 3 * len(found)
+
+
 def test_rests_of_names_do_not_pass_through_the_driver(spark):
     # A name of 18 characters has 171 rests, and Spark takes them for as large as the name.
     wrong = written(spark.createDataFrame([(f"Customer#{i:08d}",) for i in range(30)], "name string"))
